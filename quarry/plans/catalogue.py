@@ -75,3 +75,128 @@ def _kw_rank_table(spark, sf):
 def _article_parse(spark, sf):
     parsed = src_text.parse_articles(I.article_lines(spark, sf))
     return parsed.select(F.col("title"), F.col("text"))
+
+
+# ---------------------------------------------------------------- postings / k-means
+from quarry.operators import cluster_report as cr  # noqa: E402
+from quarry.operators import kmeans as km  # noqa: E402
+from quarry.operators import qa_scores as qa  # noqa: E402
+from quarry.operators import sampling as smp  # noqa: E402
+
+
+def _vectors(spark, sf, from_text: bool = False):
+    p = src_text.parse_postings(I.posting_lines(spark, sf)) if from_text else I.postings(spark, sf)
+    return qa.vectors(qa.scored(p), I.LANGS, I.LANG_SPREAD)
+
+
+def _init_means(spark, sf, vec=None):
+    vec = vec if vec is not None else _vectors(spark, sf)
+    return smp.initial_means(vec, I.KERNELS, len(I.LANGS), I.LANG_SPREAD, I.SAMPLE_SEED)
+
+
+def _fit(spark, sf, from_text: bool = False):
+    vec = _vectors(spark, sf, from_text)
+    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+    pts = km.weighted_points(vec)
+    return pts, km.fit(pts, means, I.ETA, I.MAX_ITERATIONS)
+
+
+@query("posting_parse")
+def _posting_parse(spark, sf):
+    return src_text.parse_postings(I.posting_lines(spark, sf))
+
+
+@query("qa_pairs")
+def _qa_pairs(spark, sf):
+    return qa.qa_pairs(I.postings(spark, sf))
+
+
+@query("qa_grouped")
+def _qa_grouped(spark, sf):
+    return qa.qa_grouped(I.postings(spark, sf))
+
+
+@query("qa_scored")
+def _qa_scored(spark, sf):
+    return qa.scored(I.postings(spark, sf))
+
+
+@query("vectors")
+def _vectors_q(spark, sf):
+    return _vectors(spark, sf)
+
+
+@query("vector_count")
+def _vector_count(spark, sf):
+    return _vectors(spark, sf).agg(F.count("*").alias("n"))
+
+
+@query("sample_per_group")
+def _sample_per_group(spark, sf):
+    return smp.sample_per_group(_vectors(spark, sf), "x", I.KERNELS // len(I.LANGS), I.SAMPLE_SEED, "qid")
+
+
+@query("sample_global")
+def _sample_global(spark, sf):
+    return smp.sample_global(_vectors(spark, sf), I.KERNELS, I.SAMPLE_SEED, "qid")
+
+
+@query("kmeans_init")
+def _kmeans_init(spark, sf):
+    return _init_means(spark, sf)
+
+
+@query("kmeans_assign")
+def _kmeans_assign(spark, sf):
+    vec = _vectors(spark, sf)
+    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+    return km.assign(vec, means)
+
+
+@query("kmeans_step")
+def _kmeans_step(spark, sf):
+    vec = _vectors(spark, sf)
+    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+    return km.means_frame(spark, km.step(km.weighted_points(vec), means))
+
+
+@query("kmeans_shift")
+def _kmeans_shift(spark, sf):
+    vec = _vectors(spark, sf)
+    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+    old = km.means_frame(spark, means)
+    new = km.step_frame(km.weighted_points(vec), means).select("i", F.col("x").alias("nx"), F.col("y").alias("ny"))
+    j = old.join(new, "i", "left").select(
+        km.squared_distance(F.col("x"), F.col("y"), F.coalesce("nx", "x"), F.coalesce("ny", "y")).alias("d"))
+    return j.agg(F.coalesce(F.sum("d"), F.lit(0.0)).alias("shift"))
+
+
+@query("kmeans_fit")
+def _kmeans_fit(spark, sf):
+    _, res = _fit(spark, sf)
+    return km.means_frame(spark, res.means)
+
+
+@query("kmeans_trace")
+def _kmeans_trace(spark, sf):
+    _, res = _fit(spark, sf)
+    return km.trace_frame(spark, res)
+
+
+@query("cluster_report")
+def _cluster_report(spark, sf):
+    pts, res = _fit(spark, sf)
+    return cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD)
+
+
+@query("cluster_report_text")
+def _cluster_report_text(spark, sf):
+    pts, res = _fit(spark, sf)
+    return cr.report_text(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD))
+
+
+@query("kmeans_job")
+def _kmeans_job(spark, sf):
+    """I4: text lines → parse → join/score → vectors → sample → k-means → report."""
+    pts, res = _fit(spark, sf, from_text=True)
+    return cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD)

@@ -46,3 +46,96 @@ ORACLE["kw_rank_table"] = _RANK
 
 ORACLE["article_parse"] = """
 SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents"""
+
+# ---------------------------------------------------------------- postings / k-means
+LANGS = _sql_list(I.LANGS)
+SP = I.LANG_SPREAD
+PER = I.KERNELS // len(I.LANGS)
+SEED = I.SAMPLE_SEED
+
+
+def _d2(ax, ay, bx, by):
+    return (f"((CAST({ax} AS DOUBLE) - {bx}) * (CAST({ax} AS DOUBLE) - {bx}) + "
+            f"(CAST({ay} AS DOUBLE) - {by}) * (CAST({ay} AS DOUBLE) - {by}))")
+
+
+ORACLE["posting_parse"] = """
+SELECT 1 AS type, o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN o_orderkey * 10 + 1 END AS accepted,
+       CAST(NULL AS BIGINT) AS parent_id, 0 AS score, o_orderpriority AS tags FROM orders
+UNION ALL
+SELECT 2, l_orderkey * 10 + l_linenumber, NULL, l_orderkey, CAST(trunc(l_quantity) AS INTEGER) - 25, NULL FROM lineitem"""
+
+_QA = """
+q AS (SELECT o_orderkey AS qid, o_orderpriority AS tags FROM orders),
+a AS (SELECT l_orderkey AS qid, CAST(trunc(l_quantity) AS INTEGER) - 25 AS score FROM lineitem)"""
+
+_VEC = _QA + f""",
+scored AS (SELECT q.qid, min(q.tags) AS tags, greatest(max(a.score), 0) AS high_score
+           FROM q JOIN a ON a.qid = q.qid GROUP BY q.qid),
+vec AS (SELECT qid, CAST((list_position({LANGS}, tags) - 1) * {SP} AS INTEGER) AS x, high_score AS y FROM scored),
+samp AS (SELECT qid, x, y FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY md5('{SEED}:' || qid), qid) AS rn
+                                FROM vec) WHERE rn <= {PER}),
+init AS (SELECT CAST(row_number() OVER (ORDER BY x, md5('{SEED}:' || qid), qid) - 1 AS INTEGER) AS i, x, y FROM samp)"""
+
+ORACLE["qa_pairs"] = f"WITH {_QA} SELECT q.qid, q.tags, a.score FROM q JOIN a ON a.qid = q.qid"
+ORACLE["qa_grouped"] = f"""WITH {_QA}
+SELECT q.qid, q.tags, count(*) AS n_answers, max(a.score) AS max_score, min(a.score) AS min_score
+FROM q JOIN a ON a.qid = q.qid GROUP BY q.qid, q.tags"""
+ORACLE["qa_scored"] = f"WITH {_VEC} SELECT qid, tags, high_score FROM scored"
+ORACLE["vectors"] = f"WITH {_VEC} SELECT qid, x, y FROM vec"
+ORACLE["vector_count"] = f"WITH {_VEC} SELECT count(*) AS n FROM vec"
+ORACLE["sample_per_group"] = f"WITH {_VEC} SELECT qid, x, y FROM samp"
+ORACLE["sample_global"] = f"WITH {_VEC} SELECT qid, x, y FROM vec ORDER BY md5('{SEED}:' || qid), qid LIMIT {I.KERNELS}"
+ORACLE["kmeans_init"] = f"WITH {_VEC} SELECT i, x, y FROM init"
+ORACLE["kmeans_assign"] = f"""WITH {_VEC}
+SELECT v.qid, v.x, v.y, first(m.i ORDER BY {_d2('v.x', 'v.y', 'm.x', 'm.y')}, m.i) AS cluster
+FROM vec v, init m GROUP BY v.qid, v.x, v.y"""
+
+_STEP = f""",
+asg0 AS (SELECT v.x, v.y, first(m.i ORDER BY {_d2('v.x', 'v.y', 'm.x', 'm.y')}, m.i) AS ci
+         FROM vec v, init m GROUP BY v.qid, v.x, v.y),
+nm0 AS (SELECT ci AS i, CAST(sum(CAST(x AS BIGINT)) // count(*) AS INTEGER) AS nx,
+               CAST(sum(CAST(y AS BIGINT)) // count(*) AS INTEGER) AS ny FROM asg0 GROUP BY ci),
+step1 AS (SELECT init.i, coalesce(nx, init.x) AS x, coalesce(ny, init.y) AS y, init.x AS ox, init.y AS oy
+          FROM init LEFT JOIN nm0 ON nm0.i = init.i)"""
+ORACLE["kmeans_step"] = f"WITH {_VEC}{_STEP} SELECT i, x, y FROM step1"
+ORACLE["kmeans_shift"] = f"WITH {_VEC}{_STEP} SELECT sum({_d2('x', 'y', 'ox', 'oy')}) AS shift FROM step1"
+
+_FIT = f""",
+pts AS (SELECT x, y, count(*) AS w FROM vec GROUP BY x, y),
+it(n, i, x, y, ox, oy, done) AS (
+  SELECT 0, i, x, y, x, y, false FROM init
+  UNION ALL (
+    WITH cur AS (SELECT n, i, x, y FROM it WHERE NOT done),
+    asg AS (SELECT p.x, p.y, p.w, first(c.i ORDER BY {_d2('p.x', 'p.y', 'c.x', 'c.y')}, c.i) AS ci
+            FROM pts p, cur c GROUP BY p.x, p.y, p.w),
+    nm AS (SELECT ci AS i, CAST(sum(CAST(x AS BIGINT) * w) // sum(w) AS INTEGER) AS nx,
+                  CAST(sum(CAST(y AS BIGINT) * w) // sum(w) AS INTEGER) AS ny FROM asg GROUP BY ci),
+    nxt AS (SELECT cur.n + 1 AS n, cur.i, coalesce(nm.nx, cur.x) AS x, coalesce(nm.ny, cur.y) AS y,
+                   cur.x AS ox, cur.y AS oy FROM cur LEFT JOIN nm ON nm.i = cur.i),
+    sh AS (SELECT sum({_d2('x', 'y', 'ox', 'oy')}) AS s FROM nxt)
+    SELECT nxt.n, nxt.i, nxt.x, nxt.y, nxt.ox, nxt.oy, (sh.s < {I.ETA} OR nxt.n >= {I.MAX_ITERATIONS}) FROM nxt, sh
+  )
+),
+fm AS (SELECT i, x, y FROM it WHERE done)"""
+
+ORACLE["kmeans_fit"] = f"WITH RECURSIVE {_VEC}{_FIT} SELECT i, x, y FROM fm"
+ORACLE["kmeans_trace"] = f"""WITH RECURSIVE {_VEC}{_FIT}
+SELECT n AS iter, i, ox AS old_x, oy AS old_y, x AS new_x, y AS new_y, {_d2('ox', 'oy', 'x', 'y')} AS shift
+FROM it WHERE n > 0"""
+
+_REPORT = f""",
+casg AS (SELECT v.x, v.y, first(m.i ORDER BY {_d2('v.x', 'v.y', 'm.x', 'm.y')}, m.i) AS cluster
+         FROM vec v, fm m GROUP BY v.qid, v.x, v.y),
+per_lang AS (SELECT cluster, x, count(*) AS n FROM casg GROUP BY cluster, x),
+dom AS (SELECT cluster, first(x ORDER BY n DESC, x) AS dom_x, max(n) AS dom_n, sum(n) AS size
+        FROM per_lang GROUP BY cluster),
+med AS (SELECT cluster, CAST(trunc(median(y)) AS INTEGER) AS median FROM casg GROUP BY cluster),
+rep AS (SELECT dom.cluster, {LANGS}[dom_x // {SP} + 1] AS label,
+               (CAST(dom_n AS DOUBLE) / size) * 100 AS percent, CAST(size AS BIGINT) AS size, median
+        FROM dom JOIN med ON med.cluster = dom.cluster)"""
+
+ORACLE["cluster_report"] = f"WITH RECURSIVE {_VEC}{_FIT}{_REPORT} SELECT * FROM rep"
+ORACLE["kmeans_job"] = ORACLE["cluster_report"]
+ORACLE["cluster_report_text"] = f"""WITH RECURSIVE {_VEC}{_FIT}{_REPORT}
+SELECT cluster, printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, round(percent, 1), size) AS line FROM rep"""
