@@ -200,3 +200,61 @@ def _kmeans_job(spark, sf):
     """I4: text lines → parse → join/score → vectors → sample → k-means → report."""
     pts, res = _fit(spark, sf, from_text=True)
     return cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD)
+
+
+# ---------------------------------------------------------------- wide survey
+from quarry.operators import wide_summary as ws  # noqa: E402
+
+
+def _classified(spark, sf):
+    df = I.wide(spark, sf)
+    return df, ws.classify_columns(df.columns, I.WIDE_PRIMARY, I.WIDE_WORK, I.WIDE_OTHER)
+
+
+def _summary(spark, sf):
+    df, (p, w, o) = _classified(spark, sf)
+    return ws.summary(df, p, w, o)
+
+
+@query("wide_schema")
+def _wide_schema(spark, sf):
+    """A5: header → schema (first text, rest double), nullness asserted by a count."""
+    df = I.wide(spark, sf)
+    schema = src_text.wide_schema(df.columns)
+    labels = {f.name: f.dataType.simpleString() for f in schema.fields}
+    rep = ws.column_report(df, df.columns, labels)
+    return rep.select("pos", "name", F.col("label").alias("type"), "nulls")
+
+
+@query("wide_classify")
+def _wide_classify(spark, sf):
+    df, (p, w, o) = _classified(spark, sf)
+    labels = {**{c: "primary" for c in p}, **{c: "work" for c in w}, **{c: "other" for c in o}}
+    names = [c for c in df.columns if c in labels]
+    return ws.column_report(df, names, labels).select(
+        F.col("name"), F.col("label").alias("grp"), "n_values")
+
+
+@query("wide_summary")
+def _wide_summary(spark, sf):
+    return _summary(spark, sf)
+
+
+@query("wide_typed")
+def _wide_typed(spark, sf):
+    return ws.typed(_summary(spark, sf))
+
+
+@query("wide_grouped")
+def _wide_grouped(spark, sf):
+    return ws.grouped(_summary(spark, sf))
+
+
+@query("wide_grouped_sql")
+def _wide_grouped_sql(spark, sf):
+    return ws.grouped_sql(spark, _summary(spark, sf), "quarry_summed")
+
+
+@query("wide_grouped_typed")
+def _wide_grouped_typed(spark, sf):
+    return ws.grouped_typed(ws.typed(_summary(spark, sf)))

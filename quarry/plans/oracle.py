@@ -139,3 +139,39 @@ ORACLE["cluster_report"] = f"WITH RECURSIVE {_VEC}{_FIT}{_REPORT} SELECT * FROM
 ORACLE["kmeans_job"] = ORACLE["cluster_report"]
 ORACLE["cluster_report_text"] = f"""WITH RECURSIVE {_VEC}{_FIT}{_REPORT}
 SELECT cluster, printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, round(percent, 1), size) AS line FROM rep"""
+
+# ---------------------------------------------------------------- wide survey
+_WIDE_COLS = ["tucaseid", "telfs", "tesex", "teage", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+              "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_WIDE = """wide AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS tucaseid,
+         CAST(l_linenumber AS DOUBLE) AS telfs, CAST(l_suppkey % 2 + 1 AS DOUBLE) AS tesex,
+         CAST(l_quantity AS DOUBLE) AS teage, CAST(l_orderkey AS DOUBLE) AS l_orderkey,
+         CAST(l_partkey AS DOUBLE) AS l_partkey, CAST(l_suppkey AS DOUBLE) AS l_suppkey,
+         CAST(l_linenumber AS DOUBLE) AS l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax
+  FROM lineitem)"""
+_SUMMARY = _WIDE + """,
+summary AS (
+  SELECT CASE WHEN telfs >= 1 AND telfs < 3 THEN 'working' ELSE 'not working' END AS working,
+         CASE WHEN tesex = 1 THEN 'male' ELSE 'female' END AS sex,
+         CASE WHEN teage >= 15 AND teage <= 22 THEN 'young'
+              WHEN teage >= 23 AND teage <= 55 THEN 'active' ELSE 'elder' END AS age,
+         l_extendedprice / 60 AS primaryNeeds,
+         (l_quantity + l_tax) / 60 AS work,
+         (l_orderkey + l_partkey + l_suppkey + l_linenumber + l_discount) / 60 AS other
+  FROM wide WHERE telfs <= 4)"""
+
+ORACLE["wide_schema"] = f"WITH {_WIDE} " + " UNION ALL ".join(
+    f"SELECT {i} AS pos, '{c}' AS name, '{'string' if i == 0 else 'double'}' AS type, "
+    f"count(*) - count({c}) AS nulls FROM wide" for i, c in enumerate(_WIDE_COLS))
+_GROUPS = {"l_extendedprice": "primary", "l_quantity": "work", "l_tax": "work", "l_orderkey": "other",
+           "l_partkey": "other", "l_suppkey": "other", "l_linenumber": "other", "l_discount": "other"}
+ORACLE["wide_classify"] = f"WITH {_WIDE} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS name, '{g}' AS grp, count({c}) AS n_values FROM wide" for c, g in _GROUPS.items())
+ORACLE["wide_summary"] = f"WITH {_SUMMARY} SELECT * FROM summary"
+ORACLE["wide_typed"] = ORACLE["wide_summary"]
+ORACLE["wide_grouped"] = f"""WITH {_SUMMARY}
+SELECT working, sex, age, round(avg(primaryNeeds), 1) AS primaryNeeds, round(avg(work), 1) AS work,
+       round(avg(other), 1) AS other FROM summary GROUP BY working, sex, age"""
+ORACLE["wide_grouped_sql"] = ORACLE["wide_grouped"]
+ORACLE["wide_grouped_typed"] = ORACLE["wide_grouped"]
