@@ -258,3 +258,179 @@ def _wide_grouped_sql(spark, sf):
 @query("wide_grouped_typed")
 def _wide_grouped_typed(spark, sf):
     return ws.grouped_typed(ws.typed(_summary(spark, sf)))
+
+
+# ---------------------------------------------------------------- record sets
+from quarry.operators import record_sets as rs  # noqa: E402
+
+
+def _set(spark, sf, cond=None):
+    r = I.records(spark, sf)
+    return rs.to_set(r if cond is None else r.filter(cond))
+
+
+def _rec(df):
+    return df.select(*rs.REC)
+
+
+@query("set_from_list")
+def _set_from_list(spark, sf):
+    return _rec(_set(spark, sf))
+
+
+@query("set_union")
+def _set_union(spark, sf):
+    left = _set(spark, sf, F.col("lang").isin("en", "fr"))
+    right = _set(spark, sf, F.col("lang").isin("fr", "de", "es"))
+    return _rec(rs.union(left, right))
+
+
+@query("set_union_all")
+def _set_union_all(spark, sf):
+    rank = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
+    return _rec(rs.union_all(I.records(spark, sf), rank))
+
+
+@query("set_size")
+def _set_size(spark, sf):
+    return rs.size(_set(spark, sf))
+
+
+@query("set_filter")
+def _set_filter(spark, sf):
+    return _rec(rs.filter_set(_set(spark, sf), F.col("retweets") >= 5000))
+
+
+@query("set_contains")
+def _set_contains(spark, sf):
+    probe = I.records(spark, sf).filter(F.col("lang") == "fr").select("seq", "text")
+    return rs.contains(_set(spark, sf, F.col("lang") != "fr"), probe).select("seq", "contained")
+
+
+@query("set_remove")
+def _set_remove(spark, sf):
+    removed = I.records(spark, sf).filter(F.col("lang") == "de")
+    return _rec(rs.remove(_set(spark, sf), removed))
+
+
+@query("set_most")
+def _set_most(spark, sf):
+    return rs.most_retweeted(_set(spark, sf))
+
+
+@query("set_desc")
+def _set_desc(spark, sf):
+    return _rec(rs.descending(_set(spark, sf)))
+
+
+@query("set_head_tail")
+def _set_head_tail(spark, sf):
+    return rs.head_flagged(_set(spark, sf))
+
+
+@query("set_render")
+def _set_render(spark, sf):
+    return rs.render(_set(spark, sf))
+
+
+@query("topic_filter")
+def _topic_filter(spark, sf):
+    return _rec(rs.topic(_set(spark, sf), I.TOPIC_A))
+
+
+@query("topic_trending")
+def _topic_trending(spark, sf):
+    return _rec(rs.trending(_set(spark, sf), I.TOPIC_A, I.TOPIC_B))
+
+
+# ---------------------------------------------------------------- key sets, sums
+from quarry.operators import basics as bs  # noqa: E402
+from quarry.operators import key_sets as ks  # noqa: E402
+from quarry.sources import tables as tbl  # noqa: E402
+
+
+def _keys_a(spark, sf):
+    return ks.keys(tbl.table(spark, sf, "lineitem"), "l_partkey")
+
+
+def _keys_b(spark, sf):
+    return ks.keys(tbl.table(spark, sf, "part").filter(F.col("p_size") <= 25), "p_partkey")
+
+
+@query("keyset_union")
+def _keyset_union(spark, sf):
+    return ks.union(_keys_a(spark, sf), _keys_b(spark, sf))
+
+
+@query("keyset_intersect")
+def _keyset_intersect(spark, sf):
+    return ks.intersect(_keys_a(spark, sf), _keys_b(spark, sf))
+
+
+@query("keyset_diff")
+def _keyset_diff(spark, sf):
+    return ks.diff(_keys_a(spark, sf), _keys_b(spark, sf))
+
+
+@query("keyset_filter")
+def _keyset_filter(spark, sf):
+    return ks.filter_keys(_keys_a(spark, sf), lambda k: k.between(500, 1500))
+
+
+@query("keyset_map")
+def _keyset_map(spark, sf):
+    return ks.map_keys(_keys_a(spark, sf), lambda k: F.expr("k div 10"), bound=None)
+
+
+@query("keyset_forall")
+def _keyset_forall(spark, sf):
+    return ks.forall(_keys_a(spark, sf), lambda k: k > 0, bound=None)
+
+
+@query("keyset_exists")
+def _keyset_exists(spark, sf):
+    return ks.exists(_keys_a(spark, sf), lambda k: k > 1900, bound=None)
+
+
+@query("keyset_contains")
+def _keyset_contains(spark, sf):
+    probe = ks.keys(tbl.table(spark, sf, "part"), "p_partkey")
+    return ks.contains(_keys_a(spark, sf), probe)
+
+
+@query("keyset_render")
+def _keyset_render(spark, sf):
+    return ks.render(_keys_b(spark, sf))
+
+
+@query("list_sum")
+def _list_sum(spark, sf):
+    return bs.total(tbl.table(spark, sf, "orders"), "o_custkey")
+
+
+@query("list_max")
+def _list_max(spark, sf):
+    return bs.maximum(tbl.table(spark, sf, "orders"), "o_custkey")
+
+
+# ---------------------------------------------------------------- json
+from quarry.sources import json as sj  # noqa: E402
+
+
+@query("json_scan")
+def _json_scan(spark, sf):
+    ev = tbl.table(spark, sf, "events")
+    return ev.select("event_id", sj.json_map("props")["k"].cast("long").alias("k"))
+
+
+@query("json_records")
+def _json_records(spark, sf):
+    """A JSON array per record (field ``retweet_count``) read back into records."""
+    r = I.records(spark, sf).select("seq", F.to_json(F.array(F.struct(
+        "user", "text", F.col("retweets").cast("double").alias("retweet_count")))).alias("json"))
+    return sj.json_records(r, "json", count_field="retweet_count")
+
+
+@query("json_write")
+def _json_write(spark, sf):
+    return sj.records_to_json(I.records(spark, sf), rs.REC)

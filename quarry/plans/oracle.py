@@ -175,3 +175,57 @@ SELECT working, sex, age, round(avg(primaryNeeds), 1) AS primaryNeeds, round(avg
        round(avg(other), 1) AS other FROM summary GROUP BY working, sex, age"""
 ORACLE["wide_grouped_sql"] = ORACLE["wide_grouped"]
 ORACLE["wide_grouped_typed"] = ORACLE["wide_grouped"]
+
+# ---------------------------------------------------------------- record sets
+def _to_set(where: str = "TRUE") -> str:
+    return f"""(SELECT arg_min(source, doc_id) AS user, text, CAST(arg_min(n_chars, doc_id) AS INTEGER) AS retweets
+       FROM documents WHERE {where} GROUP BY text)"""
+
+
+_SET = _to_set()
+ORACLE["set_from_list"] = f"SELECT * FROM {_SET}"
+ORACLE["set_union"] = f"""WITH l AS {_to_set("lang IN ('en', 'fr')")}, r AS {_to_set("lang IN ('fr', 'de', 'es')")}
+SELECT * FROM r UNION ALL SELECT * FROM l WHERE text NOT IN (SELECT text FROM r)"""
+ORACLE["set_union_all"] = """
+SELECT first(source ORDER BY CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) DESC, doc_id) AS user, text,
+       CAST(first(n_chars ORDER BY CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) DESC, doc_id) AS INTEGER) AS retweets
+FROM documents GROUP BY text"""
+ORACLE["set_size"] = "SELECT count(DISTINCT text) AS n FROM documents"
+ORACLE["set_filter"] = f"SELECT * FROM {_SET} WHERE retweets >= 5000"
+ORACLE["set_contains"] = """
+SELECT d.doc_id AS seq, d.text IN (SELECT text FROM documents WHERE lang <> 'fr') AS contained
+FROM documents d WHERE d.lang = 'fr'"""
+ORACLE["set_remove"] = f"SELECT * FROM {_SET} WHERE text NOT IN (SELECT text FROM documents WHERE lang = 'de')"
+ORACLE["set_most"] = f"SELECT * FROM {_SET} ORDER BY retweets DESC, text LIMIT 1"
+ORACLE["set_desc"] = ORACLE["set_from_list"]
+ORACLE["set_head_tail"] = f"""WITH s AS {_SET}
+SELECT s.*, s.text = (SELECT text FROM s ORDER BY retweets DESC, text LIMIT 1) AS is_head FROM s"""
+ORACLE["set_render"] = f"""SELECT 'User: ' || user || chr(10) || 'Text: ' || text || ' [' || CAST(retweets AS VARCHAR) || ']' AS line
+FROM {_SET}"""
+ORACLE["topic_filter"] = f"SELECT * FROM {_SET} WHERE contains(text, 'the') OR contains(text, 'The')"
+ORACLE["topic_trending"] = f"""SELECT * FROM {_SET}
+WHERE contains(text, 'the') OR contains(text, 'The') OR contains(text, 'le') OR contains(text, 'Le')"""
+
+# ---------------------------------------------------------------- key sets, sums
+_KA = "(SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_partkey IS NOT NULL)"
+_KB = "(SELECT DISTINCT p_partkey AS k FROM part WHERE p_size <= 25 AND p_partkey IS NOT NULL)"
+ORACLE["keyset_union"] = f"SELECT k FROM {_KA} UNION SELECT k FROM {_KB}"
+ORACLE["keyset_intersect"] = f"SELECT k FROM {_KA} INTERSECT SELECT k FROM {_KB}"
+ORACLE["keyset_diff"] = f"SELECT k FROM {_KA} EXCEPT SELECT k FROM {_KB}"
+ORACLE["keyset_filter"] = f"SELECT k FROM {_KA} WHERE k BETWEEN 500 AND 1500"
+ORACLE["keyset_map"] = f"SELECT DISTINCT k // 10 AS k FROM {_KA}"
+ORACLE["keyset_forall"] = f"SELECT coalesce(bool_and(k > 0), true) AS forall FROM {_KA}"
+ORACLE["keyset_exists"] = f"SELECT coalesce(bool_or(k > 1900), false) AS exists FROM {_KA}"
+ORACLE["keyset_contains"] = f"""SELECT p.k, p.k IN (SELECT k FROM {_KA}) AS contained
+FROM (SELECT DISTINCT p_partkey AS k FROM part) p"""
+ORACLE["keyset_render"] = f"""SELECT '{{' || coalesce(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k), '') || '}}' AS text
+FROM {_KB} WHERE k BETWEEN -1000 AND 1000"""
+ORACLE["list_sum"] = "SELECT coalesce(sum(o_custkey), 0) AS total FROM orders"
+ORACLE["list_max"] = "SELECT max(o_custkey) AS maximum FROM orders"
+
+# ---------------------------------------------------------------- json
+ORACLE["json_scan"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
+ORACLE["json_records"] = "SELECT source AS user, text, CAST(n_chars AS INTEGER) AS retweets FROM documents"
+ORACLE["json_write"] = """
+SELECT CAST(to_json(struct_pack("user" := source, "text" := text, "retweets" := CAST(n_chars AS INTEGER))) AS VARCHAR) AS json
+FROM documents"""
