@@ -434,3 +434,95 @@ def _json_records(spark, sf):
 @query("json_write")
 def _json_write(spark, sf):
     return sj.records_to_json(I.records(spark, sf), rs.REC)
+
+
+# ---------------------------------------------------------------- signatures
+from quarry.operators import signatures as sg  # noqa: E402
+
+
+def _benchmark_words(spark, sf):
+    b = tbl.table(spark, sf, "benchmark")
+    w = b.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
+    return w.filter(F.col("word") != "").select(F.lower("word").alias("word"))
+
+
+def _name_words(spark, sf):
+    p = tbl.table(spark, sf, "part")
+    return p.select(F.explode(F.split("p_name", " ")).alias("word")).filter(F.col("word") != "")
+
+
+@query("word_signature")
+def _word_signature(spark, sf):
+    return sg.word_signatures(I.words(spark, sf))
+
+
+@query("signature_dictionary")
+def _signature_dictionary(spark, sf):
+    return sg.dictionary(I.words(spark, sf))
+
+
+@query("word_anagrams")
+def _word_anagrams(spark, sf):
+    return sg.word_anagrams(_benchmark_words(spark, sf), sg.dictionary(I.words(spark, sf)))
+
+
+@query("sentence_signature")
+def _sentence_signature(spark, sf):
+    return sg.sentence_signature(I.part_names(spark, sf))
+
+
+@query("multiset_subtract")
+def _multiset_subtract(spark, sf):
+    s = sg.sentence_signature(I.part_names(spark, sf)).withColumnRenamed("sig", "x")
+    from quarry.functions.text import signature
+    s = s.withColumn("y", signature(F.get(F.split("sentence", " "), 0)))
+    return sg.subtract(s, "x", "y").select("sentence", "x", "y", "rest")
+
+
+@query("sub_multisets")
+def _sub_multisets(spark, sf):
+    return sg.combinations(sg.sentence_signature(I.part_names(spark, sf))).select("sentence", "sub")
+
+
+@query("sentence_anagrams")
+def _sentence_anagrams(spark, sf):
+    return sg.sentence_anagrams(I.part_names(spark, sf), _name_words(spark, sf))
+
+
+# ---------------------------------------------------------------- characters
+from quarry.operators import char_stats as cs  # noqa: E402
+
+
+def _docs(spark, sf):
+    return tbl.table(spark, sf, "documents")
+
+
+def _name_codes(spark, sf):
+    return cs.code_table(cs.char_freq(tbl.table(spark, sf, "part"), "p_name"))
+
+
+@query("char_freq")
+def _char_freq(spark, sf):
+    return cs.char_freq(_docs(spark, sf))
+
+
+@query("char_freq_ordered")
+def _char_freq_ordered(spark, sf):
+    return cs.ordered_leaves(cs.char_freq(_docs(spark, sf)))
+
+
+@query("code_apply")
+def _code_apply(spark, sf):
+    part = tbl.table(spark, sf, "part")
+    return cs.encode(part, "p_name", _name_codes(spark, sf), "p_partkey")
+
+
+@query("code_merge")
+def _code_merge(spark, sf):
+    supp = cs.code_table(cs.char_freq(tbl.table(spark, sf, "supplier"), "s_name"))
+    return cs.merge_code_tables(_name_codes(spark, sf), supp)
+
+
+@query("balanced_text")
+def _balanced_text(spark, sf):
+    return cs.balanced_texts(_docs(spark, sf), "doc_id")

@@ -229,3 +229,89 @@ ORACLE["json_records"] = "SELECT source AS user, text, CAST(n_chars AS INTEGER)
 ORACLE["json_write"] = """
 SELECT CAST(to_json(struct_pack("user" := source, "text" := text, "retweets" := CAST(n_chars AS INTEGER))) AS VARCHAR) AS json
 FROM documents"""
+
+# ---------------------------------------------------------------- signatures
+def _sig(expr: str) -> str:
+    return f"array_to_string(list_sort(string_split(lower({expr}), '')), '')"
+
+
+def _cnt(s: str, c: str) -> str:
+    return f"(length({s}) - length(replace({s}, {c}, '')))"
+
+
+_WORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM documents)
+  WHERE w <> '')"""
+_BWORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM benchmark)
+  WHERE w <> '')"""
+_DICT = f"""(SELECT sig, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words
+  FROM (SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}) GROUP BY sig)"""
+ORACLE["word_signature"] = f"SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}"
+ORACLE["signature_dictionary"] = f"SELECT * FROM {_DICT}"
+ORACLE["word_anagrams"] = f"""
+SELECT q.word, q.sig, coalesce(d.n_words, 0) AS n_words, coalesce(d.words, '') AS anagrams
+FROM (SELECT DISTINCT word, {_sig('word')} AS sig FROM {_BWORDS}) q LEFT JOIN {_DICT} d ON d.sig = q.sig"""
+_NOSPACE = "replace(p_name, ' ', '')"
+_SENT = f"(SELECT DISTINCT p_name AS sentence, {_sig(_NOSPACE)} AS sig FROM part)"
+ORACLE["sentence_signature"] = f"SELECT sentence, sig FROM {_SENT}"
+ORACLE["multiset_subtract"] = f"""
+SELECT sentence, x, y, array_to_string(list_transform(list_sort(list_distinct(string_split(x, ''))),
+         lambda c: repeat(c, CASE WHEN {_cnt('y', 'c')} <= {_cnt('x', 'c')} THEN {_cnt('x', 'c')} - {_cnt('y', 'c')}
+                                  ELSE {_cnt('x', 'c')} END)), '') AS rest
+FROM (SELECT sentence, sig AS x, {_sig("string_split(sentence, ' ')[1]")} AS y FROM {_SENT})"""
+ORACLE["sub_multisets"] = f"""
+WITH RECURSIVE letters AS (
+  SELECT sentence, sig, c, {_cnt('sig', 'c')} AS n, row_number() OVER (PARTITION BY sentence ORDER BY c) AS k
+  FROM (SELECT sentence, sig, unnest(list_distinct(string_split(sig, ''))) AS c FROM {_SENT} WHERE sig <> '')),
+subs(sentence, k, sub) AS (
+  SELECT sentence, 0, '' FROM {_SENT}
+  UNION ALL
+  SELECT s.sentence, s.k + 1, s.sub || repeat(l.c, j.j)
+  FROM subs s JOIN letters l ON l.sentence = s.sentence AND l.k = s.k + 1, range(0, 64) j(j) WHERE j.j <= l.n)
+SELECT s.sentence, s.sub FROM subs s
+WHERE s.k = (SELECT coalesce(max(k), 0) FROM letters l WHERE l.sentence = s.sentence)"""
+_NWORDS = f"""(SELECT DISTINCT w AS word, {_sig('w')} AS sig
+  FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part) WHERE w <> '')"""
+ORACLE["sentence_anagrams"] = f"""
+WITH RECURSIVE d AS {_NWORDS},
+st(sentence, path, rem) AS (
+  SELECT sentence, CAST([] AS VARCHAR[]), sig FROM {_SENT}
+  UNION ALL
+  SELECT st.sentence, list_append(st.path, d.word),
+         array_to_string(list_transform(list_sort(list_distinct(string_split(st.rem, ''))),
+           lambda c: repeat(c, {_cnt('st.rem', 'c')} - {_cnt('d.sig', 'c')})), '')
+  FROM st JOIN d ON d.sig <> '' AND list_bool_and(list_transform(string_split(d.sig, ''),
+                       lambda c: {_cnt('d.sig', 'c')} <= {_cnt('st.rem', 'c')}))
+  WHERE st.rem <> '')
+SELECT sentence, array_to_string(path, ' ') AS anagram FROM st WHERE rem = ''"""
+
+# ---------------------------------------------------------------- characters
+_CHARS = "(SELECT unnest(string_split(text, '')) AS ch FROM documents WHERE text <> '')"
+ORACLE["char_freq"] = f"SELECT ch, count(*) AS n FROM {_CHARS} GROUP BY ch"
+ORACLE["char_freq_ordered"] = f"""
+SELECT ch, n, row_number() OVER (ORDER BY n, ch) - 1 AS pos FROM (SELECT ch, count(*) AS n FROM {_CHARS} GROUP BY ch)"""
+
+
+def _codes(tbl: str, col: str) -> str:
+    return f"""(SELECT ch, lpad(bin(row_number() OVER (ORDER BY n DESC, ch) - 1),
+                      CAST(greatest(1, length(bin(count(*) OVER () - 1))) AS INTEGER), '0') AS bits
+  FROM (SELECT ch, count(*) AS n FROM (SELECT unnest(string_split({col}, '')) AS ch FROM {tbl} WHERE {col} <> '')
+        GROUP BY ch))"""
+
+
+ORACLE["code_apply"] = f"""
+WITH codes AS {_codes('part', 'p_name')},
+chars AS (SELECT p_partkey, unnest(string_split(p_name, '')) AS ch,
+                 unnest(range(1, length(p_name) + 1)) AS pos FROM part)
+SELECT p_partkey, string_agg(bits, '' ORDER BY pos) AS bits FROM chars JOIN codes USING (ch) GROUP BY p_partkey"""
+ORACLE["code_merge"] = f"""
+WITH a AS {_codes('part', 'p_name')}, b AS {_codes('supplier', 's_name')}
+SELECT ch, bits FROM a UNION ALL SELECT ch, bits FROM b WHERE ch NOT IN (SELECT ch FROM a)"""
+ORACLE["balanced_text"] = """
+WITH p AS (SELECT doc_id, regexp_replace(text, '[^()]', '', 'g') AS s FROM documents),
+c AS (SELECT doc_id, s, unnest(range(1, length(s) + 1)) AS i FROM p),
+r AS (SELECT doc_id, sum(CASE WHEN substr(s, i, 1) = '(' THEN 1 ELSE -1 END)
+                     OVER (PARTITION BY doc_id ORDER BY i) AS depth FROM c),
+m AS (SELECT doc_id, min(depth) AS lo FROM r GROUP BY doc_id)
+SELECT p.doc_id, coalesce(m.lo, 0) >= 0
+       AND length(replace(p.s, ')', '')) = length(replace(p.s, '(', '')) AS balanced
+FROM p LEFT JOIN m ON m.doc_id = p.doc_id"""
