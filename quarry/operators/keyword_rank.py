@@ -15,8 +15,13 @@ from quarry.functions.text import mentions, space_tokens
 
 
 def keyword_table(spark: SparkSession, keywords: list[str]) -> DataFrame:
-    """Keywords with their list position (ties in rankings keep list order)."""
-    return spark.createDataFrame([(k, i) for i, k in enumerate(keywords)], "kw string, pos int")
+    """Keywords with their list position (ties in rankings keep list order).
+
+    Built as a constant relation, so the planner knows its (tiny) size and
+    broadcasts it instead of the article side.
+    """
+    rows = F.array(*[F.struct(F.lit(k).alias("kw"), F.lit(i).alias("pos")) for i, k in enumerate(keywords)])
+    return spark.range(1).select(F.inline(rows))
 
 
 def flag_mentions(articles: DataFrame, keywords: list[str], id_col: str = "doc_id",

@@ -31,13 +31,22 @@ def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return dx * dx + dy * dy
 
 
+def centres_literal(means: Means) -> Column:
+    """The k centres as one constant array (folded to a single literal).
+
+    Generated code refers to the constant instead of inlining k values, so
+    every iteration reuses the same compiled code.
+    """
+    return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(mx)).alias("cx"), F.lit(float(my)).alias("cy"))
+                     for i, (mx, my) in enumerate(means)])
+
+
 def nearest(x: Column | str, y: Column | str, means: Means) -> Column:
-    """Index of the closest centre; ties go to the lowest index."""
+    """Index of the closest centre; ties go to the lowest index (struct order d, i)."""
     xc = F.col(x) if isinstance(x, str) else x
     yc = F.col(y) if isinstance(y, str) else y
-    cands = F.array(*[
-        F.struct(squared_distance(xc, yc, F.lit(mx), F.lit(my)).alias("d"), F.lit(i).alias("i"))
-        for i, (mx, my) in enumerate(means)])
+    cands = F.transform(centres_literal(means), lambda c: F.struct(
+        squared_distance(xc, yc, c["cx"], c["cy"]).alias("d"), c["i"].alias("i")))
     return F.array_min(cands)["i"]
 
 

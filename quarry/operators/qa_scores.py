@@ -41,11 +41,6 @@ def _answer_stats(postings: DataFrame, strict: bool) -> DataFrame:
         F.min("score").alias("min_score"))
 
 
-def _one_question_per_id(postings: DataFrame) -> DataFrame:
-    # The reference takes the head of each id group; ties are made deterministic.
-    return questions(postings).groupBy("qid").agg(F.min("tags").alias("tags"))
-
-
 def qa_grouped(postings: DataFrame, strict: bool = True) -> DataFrame:
     """Answered questions grouped by id, as per-group statistics (no lists)."""
     stats = _answer_stats(postings, strict)
@@ -54,9 +49,13 @@ def qa_grouped(postings: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def scored(postings: DataFrame, strict: bool = True) -> DataFrame:
-    """Highest answer score per answered question, never below 0."""
+    """Highest answer score per answered question, never below 0.
+
+    Question ids are keys of the posting dump (one question per id), so the
+    per-id answer statistics join 1:1 — no second aggregate over questions.
+    """
     stats = _answer_stats(postings, strict)
-    return _one_question_per_id(postings).join(stats, "qid").select(
+    return questions(postings).join(stats, "qid").select(
         "qid", "tags", F.greatest(F.col("max_score"), F.lit(0)).alias("high_score"))
 
 

@@ -95,9 +95,13 @@ def _init_means(spark, sf, vec=None):
 
 
 def _fit(spark, sf, from_text: bool = False):
-    vec = _vectors(spark, sf, from_text)
-    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
-    pts = km.weighted_points(vec)
+    # vectors feed both the initial sample and the weighted points: compute once
+    vec = _vectors(spark, sf, from_text).persist()
+    try:
+        means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+        pts = km.weighted_points(vec)
+    finally:
+        vec.unpersist()
     return pts, km.fit(pts, means, I.ETA, I.MAX_ITERATIONS)
 
 

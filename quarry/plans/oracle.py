@@ -70,8 +70,8 @@ q AS (SELECT o_orderkey AS qid, o_orderpriority AS tags FROM orders),
 a AS (SELECT l_orderkey AS qid, CAST(trunc(l_quantity) AS INTEGER) - 25 AS score FROM lineitem)"""
 
 _VEC = _QA + f""",
-scored AS (SELECT q.qid, min(q.tags) AS tags, greatest(max(a.score), 0) AS high_score
-           FROM q JOIN a ON a.qid = q.qid GROUP BY q.qid),
+scored AS (SELECT q.qid, q.tags, greatest(max(a.score), 0) AS high_score
+           FROM q JOIN a ON a.qid = q.qid GROUP BY q.qid, q.tags),
 vec AS (SELECT qid, CAST((list_position({LANGS}, tags) - 1) * {SP} AS INTEGER) AS x, high_score AS y FROM scored),
 samp AS (SELECT qid, x, y FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY md5('{SEED}:' || qid), qid) AS rn
                                 FROM vec) WHERE rn <= {PER}),

@@ -52,6 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss."""
+    """Reliable checkpoint (never a local one): survives executor loss.
+
+    The frame is persisted first so the checkpoint write does not recompute
+    the whole plan a second time; the cache is released once written.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

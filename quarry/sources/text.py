@@ -55,21 +55,27 @@ def parse_postings(lines: DataFrame, line: str = "value") -> DataFrame:
     Plain split on ',' (no quoting); trailing empty fields are dropped as the
     JVM's String.split does, so ``tags`` exists only with six non-trailing
     fields; empty accepted/parent fields become null; bad integers raise.
+
+    Each line is split exactly once: the typed fields are produced by a
+    generator (``inline``), which later filters (``type = 1``) cannot be
+    pushed through — otherwise Catalyst would inline the split into every
+    predicate that mentions a field.
     """
-    trimmed = F.regexp_replace(F.col(line), ",+$", "")
-    arr = F.split(trimmed, ",")
+    arr = F.split(F.expr(f"trim(TRAILING ',' FROM `{line}`)"), ",")
 
     def opt(c: Column) -> Column:
         return F.when(c.isNull() | (c == ""), F.lit(None).cast("long")).otherwise(c.cast("long"))
 
-    return lines.select(arr.alias("_a")).select(
-        _strict_int(F.get("_a", 0), "type").cast("int").alias("type"),
-        _strict_int(F.get("_a", 1), "id").alias("id"),
-        opt(F.get("_a", 2)).alias("accepted"),
-        opt(F.get("_a", 3)).alias("parent_id"),
-        _strict_int(F.get("_a", 4), "score").cast("int").alias("score"),
-        F.get("_a", 5).alias("tags"),
+    a = F.col("_a")
+    fields = F.struct(
+        _strict_int(F.get(a, 0), "type").cast("int").alias("type"),
+        _strict_int(F.get(a, 1), "id").alias("id"),
+        opt(F.get(a, 2)).alias("accepted"),
+        opt(F.get(a, 3)).alias("parent_id"),
+        _strict_int(F.get(a, 4), "score").cast("int").alias("score"),
+        F.get(a, 5).alias("tags"),
     )
+    return lines.select(arr.alias("_a")).select(F.inline(F.array(fields)))
 
 
 def wide_schema(columns: list[str]) -> T.StructType:
