@@ -498,7 +498,8 @@ from quarry.operators import char_stats as cs  # noqa: E402
 
 
 def _docs(spark, sf):
-    return tbl.table(spark, sf, "documents")
+    from quarry.session import spread
+    return spread(tbl.table(spark, sf, "documents"))
 
 
 def _name_codes(spark, sf):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import spread
 from quarry.sources.tables import table
 
 # Keyword list for ranking over `documents`.
@@ -30,7 +31,7 @@ TOPIC_B = ["le", "Le"]
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Articles = documents (id, text)."""
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +65,7 @@ def posting_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def article_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents rendered in the article line layout (14-char head, 16-char tail)."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     return d.select(F.concat(F.lit("<page> <title>"), F.col("doc_id").cast("string"),
                              F.lit("</title><text>"), F.col("text"),
                              F.lit("</text> </page> ")).alias("value"))
@@ -99,7 +100,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
     """Word occurrences of documents: split on non-letters, lower-cased, one row each."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     w = d.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
     return w.filter(F.col("word") != "").select(F.lower("word").alias("word"))
 

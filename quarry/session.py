@@ -62,3 +62,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Spread an under-split input across the task slots before CPU-heavy row work.
+
+    A file with one large row group scans as one task, and every narrow step
+    after it (splitting, exploding, regex) would run single-threaded until the
+    first shuffle.  When the scan has fewer partitions than task slots, a
+    round-robin repartition spreads it; at cluster scale the scan already has
+    far more splits than slots and this is a no-op (no extra shuffle).
+    """
+    want = slots or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
