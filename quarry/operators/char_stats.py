@@ -28,7 +28,7 @@ def ordered_leaves(freqs: DataFrame) -> DataFrame:
 
     The numbering window runs over one row per distinct character.
     """
-    return freqs.select("ch", "n", (F.row_number().over(Window.orderBy("n", "ch")) - 1).alias("pos"))
+    return freqs.select("ch", "n", (F.row_number().over(Window.orderBy("n", "ch")) - 1).cast("long").alias("pos"))
 
 
 def code_table(freqs: DataFrame) -> DataFrame:

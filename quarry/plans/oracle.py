@@ -220,7 +220,7 @@ ORACLE["keyset_contains"] = f"""SELECT p.k, p.k IN (SELECT k FROM {_KA}) AS cont
 FROM (SELECT DISTINCT p_partkey AS k FROM part) p"""
 ORACLE["keyset_render"] = f"""SELECT '{{' || coalesce(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k), '') || '}}' AS text
 FROM {_KB} WHERE k BETWEEN -1000 AND 1000"""
-ORACLE["list_sum"] = "SELECT coalesce(sum(o_custkey), 0) AS total FROM orders"
+ORACLE["list_sum"] = "SELECT CAST(coalesce(sum(o_custkey), 0) AS BIGINT) AS total FROM orders"
 ORACLE["list_max"] = "SELECT max(o_custkey) AS maximum FROM orders"
 
 # ---------------------------------------------------------------- json
