@@ -31,23 +31,24 @@ def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return dx * dx + dy * dy
 
 
-def centres_literal(means: Means) -> Column:
-    """The k centres as one constant array (folded to a single literal).
+def centres_sql(means: Means) -> str:
+    """The k centres as one constant array expression (folded to a single literal).
 
     Generated code refers to the constant instead of inlining k values, so
-    every iteration reuses the same compiled code.
+    every iteration reuses the same compiled code; it is one SQL string, so
+    building the plan costs one call, not one per centre.
     """
-    return F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(mx)).alias("cx"), F.lit(float(my)).alias("cy"))
-                     for i, (mx, my) in enumerate(means)])
+    items = ", ".join(f"named_struct('i', {i}, 'cx', {float(mx)!r}D, 'cy', {float(my)!r}D)"
+                      for i, (mx, my) in enumerate(means))
+    return f"array({items})"
 
 
-def nearest(x: Column | str, y: Column | str, means: Means) -> Column:
+def nearest(x: str, y: str, means: Means) -> Column:
     """Index of the closest centre; ties go to the lowest index (struct order d, i)."""
-    xc = F.col(x) if isinstance(x, str) else x
-    yc = F.col(y) if isinstance(y, str) else y
-    cands = F.transform(centres_literal(means), lambda c: F.struct(
-        squared_distance(xc, yc, c["cx"], c["cy"]).alias("d"), c["i"].alias("i")))
-    return F.array_min(cands)["i"]
+    dx = f"(CAST(`{x}` AS DOUBLE) - c.cx)"
+    dy = f"(CAST(`{y}` AS DOUBLE) - c.cy)"
+    return F.expr(f"array_min(transform({centres_sql(means)}, "
+                  f"c -> named_struct('d', {dx} * {dx} + {dy} * {dy}, 'i', c.i))).i")
 
 
 def weighted_points(vectors: DataFrame, checkpoint: bool = True) -> DataFrame:
