@@ -1,10 +1,12 @@
 """Record sets keyed by text, with defined clash rules.
 
 A set holds at most one record per ``text``.  Building a set keeps the
-*first* record (lowest ``seq``); a union keeps the *argument's* record on a
-clash; a union of many sources keeps the *last* source's record.  Every
-rule is a single grouped ``min_by``/``max_by`` — a partial aggregate, so a
-text shared by a third of all rows collapses map-side before the shuffle.
+*first* record (lowest ``seq``, a unique record number); a union keeps the
+*argument's* record on a clash; a union of many sources keeps the *last*
+source's record.  Each rule picks the winning ``seq`` with a fixed-width
+hash aggregate (partial + final, so a text shared by a third of all rows
+collapses map-side), then fetches the winner's small columns by key — no
+record is ever sorted by its text.
 """
 
 from __future__ import annotations
@@ -17,31 +19,39 @@ from quarry.functions.text import contains_any
 REC = ["user", "text", "retweets"]
 
 
+def _fetch(winners: DataFrame, records: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """Attach user/retweets to one winning key per text (keys are unique per record)."""
+    return winners.join(records.select(*keys, "user", "retweets"), keys).select("user", "text", "retweets", seq)
+
+
 def to_set(records: DataFrame, seq: str = "seq") -> DataFrame:
-    """One record per text, the first by ``seq`` wins."""
-    best = F.min_by(F.struct("user", "retweets", seq), F.col(seq))
-    return records.groupBy("text").agg(best.alias("_r")).select(
-        F.col("_r.user").alias("user"), "text", F.col("_r.retweets").alias("retweets"),
-        F.col(f"_r.{seq}").alias(seq))
+    """One record per text, the first by ``seq`` wins (``seq`` is unique per record).
+
+    The winner is found with a fixed-width hash aggregate (min of a long), so
+    no record is sorted by its text; its small columns are then fetched by key.
+    """
+    winners = records.groupBy("text").agg(F.min(seq).alias(seq))
+    return _fetch(winners, records, [seq], seq)
 
 
 def union(this: DataFrame, that: DataFrame, seq: str = "seq") -> DataFrame:
-    """Union by text; on a clash the argument (``that``) wins."""
-    both = this.select(*REC, seq, F.lit(0).alias("_side")).unionByName(
-        that.select(*REC, seq, F.lit(1).alias("_side")))
-    best = F.max_by(F.struct("user", "retweets", seq), F.col("_side"))
-    return both.groupBy("text").agg(best.alias("_r")).select(
-        F.col("_r.user").alias("user"), "text", F.col("_r.retweets").alias("retweets"),
-        F.col(f"_r.{seq}").alias(seq))
+    """Union of two sets by text; on a clash the argument (``that``) wins.
+
+    Both inputs are sets (one record per text), so the result is all of
+    ``that`` plus the records of ``this`` whose text ``that`` lacks: one
+    anti-join on the text, no aggregate.
+    """
+    cols = [*REC, seq]
+    missing = this.select(*cols).join(that.select("text"), "text", "left_anti")
+    return that.select(*cols).unionByName(missing.select(*cols))
 
 
 def union_all(records: DataFrame, source_rank: Column, seq: str = "seq") -> DataFrame:
     """Union of all sources left to right: the last source wins, first record within it."""
     r = records.withColumn("_rank", source_rank)
-    best = F.max_by(F.struct("user", "retweets", seq), F.struct(F.col("_rank"), -F.col(seq)))
-    return r.groupBy("text").agg(best.alias("_r")).select(
-        F.col("_r.user").alias("user"), "text", F.col("_r.retweets").alias("retweets"),
-        F.col(f"_r.{seq}").alias(seq))
+    firsts = r.groupBy("text", "_rank").agg(F.min(seq).alias(seq))            # set per source
+    winners = firsts.groupBy("text").agg(F.max_by(seq, "_rank").alias(seq))   # last source wins
+    return _fetch(winners, r, [seq], seq)
 
 
 def size(s: DataFrame) -> DataFrame:
