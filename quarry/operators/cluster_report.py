@@ -17,8 +17,11 @@ from quarry.operators.kmeans import Means, nearest
 def report(points: DataFrame, means: Means, langs: list[str], spread: int) -> DataFrame:
     a = points.select(nearest("x", "y", means).alias("cluster"), "x", "y", "w")
     per_lang = a.groupBy("cluster", "x").agg(F.sum("w").alias("n"))
+    # exact tie-break key: more weight first, then the lower language index
+    n_langs = len(langs)
+    key = F.col("n") * n_langs + (n_langs - 1 - F.expr(f"x div {int(spread)}"))
     dom = per_lang.groupBy("cluster").agg(
-        F.max_by("x", F.struct(F.col("n"), -F.col("x"))).alias("dom_x"),
+        F.max_by("x", key).alias("dom_x"),
         F.max("n").alias("dom_n"), F.sum("n").alias("size"))
     med = a.groupBy("cluster").agg(
         F.percentile(F.col("y"), F.lit(0.5), F.col("w")).alias("_m"))
