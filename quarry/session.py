@@ -72,6 +72,8 @@ def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
     first shuffle.  When the scan has fewer partitions than task slots, a
     round-robin repartition spreads it; at cluster scale the scan already has
     far more splits than slots and this is a no-op (no extra shuffle).
+    Meant for a scan (plus narrow steps): counting partitions of a plan that
+    already contains a shuffle would run its stages.
     """
     want = slots or df.sparkSession.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()

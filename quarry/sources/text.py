@@ -45,8 +45,10 @@ def parse_articles(lines: DataFrame, line: str = "value",
 
 
 def _strict_int(c: Column, what: str) -> Column:
-    """ANSI cast raises on bad text; empty strings are rejected explicitly too."""
-    return F.when(c == "", F.raise_error(F.lit(f"empty {what}"))).otherwise(c.cast("long"))
+    """Integer field that raises on empty or malformed text, whatever the session's ANSI setting."""
+    v = c.try_cast("long")
+    return F.when(v.isNull(), F.raise_error(F.concat(F.lit(f"bad {what}: "), F.coalesce(c, F.lit("null"))))
+                  ).otherwise(v)
 
 
 def parse_postings(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -64,7 +66,9 @@ def parse_postings(lines: DataFrame, line: str = "value") -> DataFrame:
     arr = F.split(F.expr(f"trim(TRAILING ',' FROM `{line}`)"), ",")
 
     def opt(c: Column) -> Column:
-        return F.when(c.isNull() | (c == ""), F.lit(None).cast("long")).otherwise(c.cast("long"))
+        v = c.try_cast("long")
+        bad = F.raise_error(F.concat(F.lit("bad integer field: "), c))
+        return F.when(c.isNull() | (c == ""), F.lit(None).cast("long")).when(v.isNull(), bad).otherwise(v)
 
     a = F.col("_a")
     fields = F.struct(

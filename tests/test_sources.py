@@ -65,3 +65,15 @@ def test_json_records_roundtrip(spark):
 def test_json_map(spark):
     df = spark.createDataFrame([('{"k": 69}',)], "props string")
     assert rows(df.select(sj.json_map("props")["k"].alias("k"))) == [("69",)]
+
+
+def test_parse_postings_strict_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("1,x1,,,5,Java",)], "value string")
+        with pytest.raises(Exception):
+            st.parse_postings(df).collect()
+        ok = spark.createDataFrame([("2,7,,3,-1",)], "value string")
+        assert rows(st.parse_postings(ok)) == [(2, 7, None, 3, -1, None)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
