@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
+import contextlib
+import io
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -75,6 +78,17 @@ def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
     Meant for a scan (plus narrow steps): counting partitions of a plan that
     already contains a shuffle would run its stages.
     """
-    want = slots or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = slots or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a remote session): leave as is
+        return df
     return df.repartition(want) if have < want else df
+
+
+def plan_text(df: DataFrame, mode: str = "formatted") -> str:
+    """The text ``df.explain(mode)`` prints, for plan checks in tests and audits."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

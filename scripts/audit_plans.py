@@ -12,7 +12,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
-from quarry.session import local_session  # noqa: E402
+from quarry.session import local_session, plan_text  # noqa: E402
 
 FLAGS = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "ObjectHashAggregate",
          "Exchange SinglePartition", "WindowGroupLimit", "BroadcastHashJoin", "SortMergeJoin",
@@ -26,7 +26,7 @@ def main() -> None:
     spark = local_session(8)
     for name in names:
         df = E.queries()[name](spark, sf)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(df, "simple")
         found = {f.strip(): plan.count(f) for f in FLAGS if f in plan}
         schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
         print(f"{name:22s} {found} exchanges={plan.count('Exchange ')} reads={schemas}")
