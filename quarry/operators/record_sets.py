@@ -18,6 +18,11 @@ from quarry.functions.text import contains_any
 
 REC = ["user", "text", "retweets"]
 
+# The reference's topic keyword lists and its source order.
+GOOGLE_KEYWORDS = ["android", "Android", "galaxy", "Galaxy", "nexus", "Nexus"]
+APPLE_KEYWORDS = ["ios", "iOS", "iphone", "iPhone", "ipad", "iPad"]
+SITES = ["gizmodo", "TechCrunch", "engadget", "amazondeals", "CNET", "gadgetlab", "mashable"]
+
 
 def _fetch(winners: DataFrame, records: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """Attach user/retweets to one winning key per text (keys are unique per record)."""
@@ -113,6 +118,7 @@ def topic(s: DataFrame, keywords: list[str]) -> DataFrame:
     return s.filter(contains_any("text", keywords))
 
 
-def trending(s: DataFrame, topic_a: list[str], topic_b: list[str], seq: str = "seq") -> DataFrame:
+def trending(s: DataFrame, topic_a: list[str] = GOOGLE_KEYWORDS, topic_b: list[str] = APPLE_KEYWORDS,
+             seq: str = "seq") -> DataFrame:
     """Topic A ∪ topic B (B wins clashes), by retweets descending."""
     return descending(union(topic(s, topic_a), topic(s, topic_b), seq))

@@ -66,3 +66,13 @@ def test_contains_remove_render_topic(spark, sets):
     assert rows(rs.render(rs.filter_set(sets["set5"], F.col("user") == "c"))) == [("User: c\nText: c body [7]",)]
     assert sorted(r[0] for r in rows(rs.topic(sets["set5"], ["a b", "c"]), "user")) == ["a", "c"]
     assert rows(rs.trending(sets["set5"], ["a "], ["d "]), "user") == [("a",), ("d",)]
+
+
+def test_trending_with_reference_topics(spark):
+    data = [("gizmodo", "new Galaxy phone", 5), ("CNET", "the iPad review", 9),
+            ("mashable", "nothing relevant", 50), ("engadget", "android vs iOS", 7)]
+    sites = {u: i for i, u in enumerate(rs.SITES)}
+    df = spark.createDataFrame([(u, t, n, i, sites[u]) for i, (u, t, n) in enumerate(data)],
+                               SCHEMA + ", src int")
+    allsets = rs.union_all(df, F.col("src"))
+    assert [r[0] for r in rows(rs.trending(allsets), "retweets")] == [9, 7, 5]
