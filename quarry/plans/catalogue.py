@@ -94,14 +94,23 @@ def _init_means(spark, sf, vec=None):
     return smp.initial_means(vec, I.KERNELS, len(I.LANGS), I.LANG_SPREAD, I.SAMPLE_SEED)
 
 
-def _fit(spark, sf, from_text: bool = False):
-    # vectors feed both the initial sample and the weighted points: compute once
+def _start(spark, sf, from_text: bool = False):
+    """Checkpointed weighted points and the k starting centres.
+
+    The vectors feed both the initial sample and the weighted points, so they
+    are computed once (persisted) and released when both are done.
+    """
     vec = _vectors(spark, sf, from_text).persist()
     try:
         means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
         pts = km.weighted_points(vec)
     finally:
         vec.unpersist()
+    return pts, means
+
+
+def _fit(spark, sf, from_text: bool = False):
+    pts, means = _start(spark, sf, from_text)
     return pts, km.fit(pts, means, I.ETA, I.MAX_ITERATIONS)
 
 
@@ -159,17 +168,15 @@ def _kmeans_assign(spark, sf):
 
 @query("kmeans_step")
 def _kmeans_step(spark, sf):
-    vec = _vectors(spark, sf)
-    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
-    return km.means_frame(spark, km.step(km.weighted_points(vec), means))
+    pts, means = _start(spark, sf)
+    return km.means_frame(spark, km.step(pts, means))
 
 
 @query("kmeans_shift")
 def _kmeans_shift(spark, sf):
-    vec = _vectors(spark, sf)
-    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+    pts, means = _start(spark, sf)
     old = km.means_frame(spark, means)
-    new = km.step_frame(km.weighted_points(vec), means).select("i", F.col("x").alias("nx"), F.col("y").alias("ny"))
+    new = km.step_frame(pts, means).select("i", F.col("x").alias("nx"), F.col("y").alias("ny"))
     j = old.join(new, "i", "left").select(
         km.squared_distance(F.col("x"), F.col("y"), F.coalesce("nx", "x"), F.coalesce("ny", "y")).alias("d"))
     return j.agg(F.coalesce(F.sum("d"), F.lit(0.0)).alias("shift"))

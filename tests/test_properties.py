@@ -38,3 +38,23 @@ def test_union_idempotent(spark, data):
     s = rs.to_set(df)
     assert sorted(rows(rs.union(s, s), "user", "text", "retweets")) == \
         sorted(rows(s, "user", "text", "retweets"))
+
+
+def test_hot_keys_stay_correct(spark):
+    """A third of all rows on one key: set building, per-group sampling and ranking stay exact."""
+    from quarry.operators import keyword_rank as kr
+    from quarry.operators import sampling as smp
+    n = 3000
+    recs = [("u%d" % (i % 7), "hot" if i % 3 == 0 else "t%d" % i, i % 50, i) for i in range(n)]
+    df = spark.createDataFrame(recs, "user string, text string, retweets int, seq long").repartition(8)
+    s = rs.to_set(df)
+    assert s.count() == n - n // 3 + 1
+    assert rows(s.filter("text = 'hot'"), "seq") == [(0,)]
+    vec = spark.createDataFrame([(i, 0 if i % 3 == 0 else (i % 5 + 1) * 50000, i % 40) for i in range(n)],
+                                "qid long, x int, y int").repartition(8)
+    picked = rows(smp.sample_per_group(vec, "x", 3, 42, "qid"), "x")
+    assert sorted(set(picked)) == [(0,), (50000,), (100000,), (150000,), (200000,), (250000,)]
+    assert len(picked) == 18
+    arts = spark.createDataFrame([(i, "hot word" if i % 3 == 0 else "cold") for i in range(n)],
+                                 "doc_id long, text string")
+    assert dict(rows(kr.rank_reduce(arts, ["hot", "cold"]))) == {"hot": n // 3, "cold": n - n // 3}
