@@ -263,7 +263,8 @@ def _wide_grouped(spark, sf):
 
 @query("wide_grouped_sql")
 def _wide_grouped_sql(spark, sf):
-    return ws.grouped_sql(spark, _summary(spark, sf), "quarry_summed")
+    import uuid
+    return ws.grouped_sql(spark, _summary(spark, sf), f"quarry_summed_{uuid.uuid4().hex[:12]}")
 
 
 @query("wide_grouped_typed")

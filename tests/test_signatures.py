@@ -55,3 +55,45 @@ def test_sentence_anagrams(spark, words):
     out = rows(sg.sentence_anagrams(sents, words))
     assert sorted(a for s, a in out if s == "Linux rulez") == sorted(GOLDEN)
     assert [a for s, a in out if s == ""] == [""]
+
+
+def _brute_anagrams(sentence, dictionary):
+    """Plain-Python model: every word sequence using exactly the sentence's letters."""
+    def sig(w):
+        return "".join(sorted(w.lower()))
+
+    def remove(rest, w):
+        rest = list(rest)
+        for c in sig(w):
+            if c not in rest:
+                return None
+            rest.remove(c)
+        return "".join(rest)
+
+    out = []
+
+    def go(rest, path):
+        if not rest:
+            out.append(" ".join(path))
+            return
+        for w in dictionary:
+            r = remove(rest, w)
+            if r is not None:
+                go(r, path + [w])
+
+    go(sig("".join(sentence.split(" "))) if sentence else "", [])
+    return sorted(out)
+
+
+def test_sentence_anagrams_match_brute_force(spark):
+    import random
+    rnd = random.Random(3)
+    letters = "aeinrst"
+    dictionary = sorted({"".join(rnd.choice(letters) for _ in range(rnd.randint(1, 3))) for _ in range(14)})
+    sentences = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 4))) + " " +
+                 "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 3))) for _ in range(4)]
+    words = spark.createDataFrame([(w,) for w in dictionary], "word string")
+    sents = spark.createDataFrame([(s,) for s in sentences], "sentence string")
+    got = rows(sg.sentence_anagrams(sents, words))
+    for s in sentences:
+        assert sorted(a for x, a in got if x == s) == _brute_anagrams(s, dictionary)
