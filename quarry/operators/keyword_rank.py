@@ -28,8 +28,10 @@ def flag_mentions(articles: DataFrame, keywords: list[str], id_col: str = "doc_i
                   text: str = "text") -> DataFrame:
     """B1 for a keyword list: one row per (article, keyword) with the boolean test."""
     toks = articles.select(id_col, space_tokens(text).alias("_t"))
-    return toks.select(id_col, F.explode(F.array(*[F.lit(k) for k in keywords])).alias("kw"), "_t") \
-        .select(id_col, "kw", F.array_contains("_t", F.col("kw")).alias("mentions"))
+    # flags are computed next to the tokens; only (kw, flag) pairs are exploded, never the token array
+    flags = F.array(*[F.struct(F.lit(k).alias("kw"), F.array_contains("_t", F.lit(k)).alias("mentions"))
+                      for k in keywords])
+    return toks.select(id_col, F.inline(flags))
 
 
 def articles_mentioning(articles: DataFrame, keyword: str, text: str = "text") -> DataFrame:

@@ -65,7 +65,7 @@ def sentence_anagrams(sentences: DataFrame, dict_words: DataFrame, col: str = "s
     Returns ``(sentence, anagram)`` with the words joined by a space.
     """
     d = word_signatures(dict_words, word).filter(F.col("sig") != "")
-    frontier = cut_lineage(sentence_signature(sentences, col).select(
+    frontier = cut_lineage(sentence_signature(sentences.select(col).distinct(), col).select(
         F.col(col).alias("sentence"), F.array().cast("array<string>").alias("path"), F.col("sig").alias("rem")))
     done: list[DataFrame] = []
     while True:
