@@ -84,9 +84,10 @@ from quarry.operators import qa_scores as qa  # noqa: E402
 from quarry.operators import sampling as smp  # noqa: E402
 
 
-def _vectors(spark, sf, from_text: bool = False):
-    p = src_text.parse_postings(I.posting_lines(spark, sf)) if from_text else I.postings(spark, sf)
-    return qa.vectors(qa.scored(p), I.LANGS, I.LANG_SPREAD)
+def _vectors(spark, sf, from_text: bool = False, postings=None):
+    if postings is None:
+        postings = src_text.parse_postings(I.posting_lines(spark, sf)) if from_text else I.postings(spark, sf)
+    return qa.vectors(qa.scored(postings), I.LANGS, I.LANG_SPREAD)
 
 
 def _init_means(spark, sf, vec=None):
@@ -100,12 +101,16 @@ def _start(spark, sf, from_text: bool = False):
     The vectors feed both the initial sample and the weighted points, so they
     are computed once (persisted) and released when both are done.
     """
-    vec = _vectors(spark, sf, from_text).persist()
+    # parsed text feeds both the question and the answer side: parse once
+    parsed = src_text.parse_postings(I.posting_lines(spark, sf)).persist() if from_text else None
+    vec = _vectors(spark, sf, from_text, parsed).persist()
     try:
         means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
         pts = km.weighted_points(vec)
     finally:
         vec.unpersist()
+        if parsed is not None:
+            parsed.unpersist()
     return pts, means
 
 
