@@ -14,22 +14,34 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 from quarry.session import local_session, plan_text  # noqa: E402
 
-FLAGS = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "ObjectHashAggregate",
+FLAGS = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "ObjectHashAggregate", "HashAggregate",
          "Exchange SinglePartition", "WindowGroupLimit", "BroadcastHashJoin", "SortMergeJoin",
-         "Generate", "Window "]
+         "Generate", "Window ", "Subquery"]
 
 
 def main() -> None:
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in args if not a.startswith("/")] or sorted(E.queries())
+    names = [a for a in args if not a.startswith(("/", "--"))] or sorted(E.queries())
     spark = local_session(8)
+    md = "--md" in args
+    if md:
+        print("| query | shuffles | operators | scans (pruned read schema) |")
+        print("| --- | --- | --- | --- |")
     for name in names:
         df = E.queries()[name](spark, sf)
         plan = plan_text(df, "simple")
         found = {f.strip(): plan.count(f) for f in FLAGS if f in plan}
+        found.pop("HashAggregate", None) if found.get("HashAggregate", 0) == found.get("ObjectHashAggregate", 0) \
+            else None
         schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
-        print(f"{name:22s} {found} exchanges={plan.count('Exchange ')} reads={schemas}")
+        shuffles = plan.count("Exchange ") - plan.count("BroadcastExchange")
+        if md:
+            ops = ", ".join(f"{k}×{v}" for k, v in found.items())
+            reads = "; ".join(sorted(set(x.replace("struct<", "").rstrip(">") for x in schemas)))
+            print(f"| `{name}` | {shuffles} | {ops} | {reads} |")
+        else:
+            print(f"{name:22s} {found} shuffles={shuffles} reads={schemas}")
 
 
 if __name__ == "__main__":

@@ -49,3 +49,10 @@ def test_keyword_table_is_broadcast_not_the_articles(spark):
 def test_postings_parsed_once_per_line(spark):
     p = plan(spark, "posting_parse")
     assert p.count("split(") == p.count("FileScan parquet") == 2
+
+
+def test_filters_reach_the_scan(spark):
+    p = plan_text(E.queries()["wide_summary"](spark, SF), "formatted")
+    assert "LessThanOrEqual(l_linenumber,4)" in p          # cast on telfs unwrapped and pushed
+    p = plan_text(E.queries()["set_contains"](spark, SF), "formatted")
+    assert "EqualTo(lang,fr)" in p
