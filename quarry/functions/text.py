@@ -78,13 +78,6 @@ def sub_multisets(sig: Column | str) -> Column:
     return F.aggregate(distinct, start, grow)
 
 
-def contains_multiset(big: Column | str, small: Column | str) -> Column:
-    """True when every letter of ``small`` occurs in ``big`` at least as often."""
-    b, sm = _c(big), _c(small)
-    return F.forall(F.array_distinct(characters(sm)),
-                    lambda c: letter_count(sm, c) <= letter_count(b, c))
-
-
 def balanced(text: Column | str) -> Column:
     """Parentheses never close below depth 0 and end at depth 0.
 
