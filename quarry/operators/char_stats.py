@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import balanced, characters
 
 # A code table up to this many entries is inlined into the plan as a map literal.
-INLINE_CODE_LIMIT = 100_000
+INLINE_CODE_LIMIT = 10_000
 
 
 def char_freq(texts: DataFrame, text: str = "text") -> DataFrame:
