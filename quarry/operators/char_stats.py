@@ -49,9 +49,8 @@ def merge_code_tables(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def encode(df: DataFrame, text: str, table: DataFrame, key: str, out: str = "bits") -> DataFrame:
     """Text → concatenated codes of its characters; an unknown character raises."""
-    n = table.count()
-    if n <= INLINE_CODE_LIMIT:
-        pairs = table.select("ch", "bits").collect()      # size checked just above
+    pairs = table.select("ch", "bits").limit(INLINE_CODE_LIMIT + 1).collect()   # bounded fetch
+    if len(pairs) <= INLINE_CODE_LIMIT:
         m = F.create_map(*[F.lit(v) for r in pairs for v in (r["ch"], r["bits"])]) if pairs \
             else F.create_map().cast("map<string,string>")
 
