@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.constants import LANG_SPREAD, LANGUAGES
 from quarry.operators.kmeans import Means, nearest
 
 
-def report(points: DataFrame, means: Means, langs: list[str], spread: int) -> DataFrame:
+def report(points: DataFrame, means: Means, langs: list[str] = LANGUAGES, spread: int = LANG_SPREAD) -> DataFrame:
     a = points.select(nearest("x", "y", means).alias("cluster"), "x", "y", "w")
     per_lang = a.groupBy("cluster", "x").agg(F.sum("w").alias("n"))
     # exact tie-break key: more weight first, then the lower language index

@@ -13,8 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Enumeration bound of the characteristic-function sets.
-BOUND = 1000
+from quarry.constants import KEYSET_BOUND as BOUND
 
 
 def keys(df: DataFrame, col: str) -> DataFrame:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.constants import ETA, MAX_ITERATIONS
 from quarry.session import cut_lineage
 
 Means = list[tuple[int, int]]
@@ -101,7 +102,7 @@ class FitResult:
     trace: list[tuple[int, int, int, int, int, int, float]]  # iter, i, ox, oy, nx, ny, d
 
 
-def fit(points: DataFrame, means: Means, eta: float = 20.0, max_iter: int = 120) -> FitResult:
+def fit(points: DataFrame, means: Means, eta: float = ETA, max_iter: int = MAX_ITERATIONS) -> FitResult:
     """Iterate until the shift is below eta or max_iter steps were made."""
     trace = []
     it = 1

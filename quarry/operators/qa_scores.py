@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.constants import LANG_SPREAD, LANGUAGES
+
 
 def questions(postings: DataFrame) -> DataFrame:
     """Type-1 postings keyed by id."""
@@ -59,7 +61,8 @@ def scored(postings: DataFrame, strict: bool = True) -> DataFrame:
         "qid", "tags", F.greatest(F.col("max_score"), F.lit(0)).alias("high_score"))
 
 
-def vectors(scored_df: DataFrame, langs: list[str], spread: int, strict: bool = True) -> DataFrame:
+def vectors(scored_df: DataFrame, langs: list[str] = LANGUAGES, spread: int = LANG_SPREAD,
+            strict: bool = True) -> DataFrame:
     """(qid, x = first matching language index × spread, y = high score).
 
     The tag must equal a language exactly; no match raises when strict and

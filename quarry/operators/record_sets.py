@@ -14,15 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.constants import APPLE_KEYWORDS, GOOGLE_KEYWORDS, SITES  # noqa: F401  (SITES re-exported)
 from quarry.functions.text import contains_any
 
 REC = ["user", "text", "retweets"]
 
-# The reference's topic keyword lists and its source order.
-GOOGLE_KEYWORDS = ["android", "Android", "galaxy", "Galaxy", "nexus", "Nexus"]
-APPLE_KEYWORDS = ["ios", "iOS", "iphone", "iPhone", "ipad", "iPad"]
-SITES = ["gizmodo", "TechCrunch", "engadget", "amazondeals", "CNET", "gadgetlab", "mashable"]
-
 
 def _fetch(winners: DataFrame, records: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """Attach user/retweets to one winning key per text (keys are unique per record)."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.constants import KERNELS, LANG_SPREAD, LANGUAGES
 from quarry.functions.text import hash_order
 
 
@@ -32,8 +33,8 @@ def sample_global(df: DataFrame, n: int, seed: int, id_col: str) -> DataFrame:
     return df.orderBy(hash_order(seed, F.col(id_col)), F.col(id_col)).limit(n)
 
 
-def initial_means(vectors: DataFrame, kernels: int, n_langs: int, spread: int, seed: int,
-                  id_col: str = "qid") -> DataFrame:
+def initial_means(vectors: DataFrame, kernels: int = KERNELS, n_langs: int = len(LANGUAGES),
+                  spread: int = LANG_SPREAD, seed: int = 42, id_col: str = "qid") -> DataFrame:
     """F8: the k starting centres as ``(i, x, y)``.
 
     Per-language sampling with kernels/n_langs each when the spread is at

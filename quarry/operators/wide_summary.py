@@ -16,10 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Activity prefixes of the time-use survey, in precedence order.
-PRIMARY_PREFIXES = ["t01", "t03", "t11", "t1801", "t1803"]
-WORK_PREFIXES = ["t05", "t1805"]
-OTHER_PREFIXES = ["t02", "t04", "t06", "t07", "t08", "t09", "t10", "t12", "t13", "t14", "t15", "t16", "t18"]
+from quarry.constants import OTHER_PREFIXES, PRIMARY_PREFIXES, WORK_PREFIXES
 
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("working", T.StringType(), False),

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from quarry.session import spread
 from quarry.sources.tables import table
 
-# Keyword list for ranking over `documents`.
+# Stand-in parameters: keyword list for ranking over `documents`.
 KEYWORDS = ["the", "le", "and", "of,", "zzz-absent"]
 
-# Question tags in language-list order, and k-means settings.
+# Stand-in parameters: question tags in language-list order, and k-means settings.
 LANGS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 LANG_SPREAD = 50000
 KERNELS = 15
@@ -24,7 +24,7 @@ ETA = 20.0
 MAX_ITERATIONS = 120
 SAMPLE_SEED = 42
 
-# Topic keyword lists for the record-set queries.
+# Stand-in parameters: topic keyword lists for the record-set queries.
 TOPIC_A = ["the", "The"]
 TOPIC_B = ["le", "Le"]
 

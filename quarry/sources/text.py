@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Article line layout of the course data file.
-ARTICLE_SEPARATOR = "</title><text>"
-ARTICLE_TITLE_START = 14   # 0-based offset where the title starts
-ARTICLE_TAIL = 16          # characters dropped from the end of the line
+from quarry.constants import ARTICLE_SEPARATOR, ARTICLE_TAIL, ARTICLE_TITLE_START
 
 POSTING_SCHEMA = T.StructType([
     T.StructField("type", T.IntegerType(), False),

@@ -11,9 +11,7 @@ from quarry.operators import qa_scores as qa
 from quarry.operators import sampling as smp
 from quarry.sources import text as st
 
-# The course's language list.
-LANGS15 = ["JavaScript", "Java", "PHP", "Python", "C#", "C++", "Ruby", "CSS",
-           "Objective-C", "Perl", "Scala", "Haskell", "MATLAB", "Clojure", "Groovy"]
+from quarry.constants import LANGUAGES as LANGS15
 LINES = ["1,100,,,5,Java", "1,101,,,0,", "1,102,105,,7,Scala", "2,103,,100,-4,",
          "2,104,,100,-1", "2,105,,102,9,", "2,106,,999,3,", "3,107,,,1,"]
 
