@@ -78,3 +78,39 @@ def vectors(scored_df: DataFrame, langs: list[str] = LANGUAGES, spread: int = LA
         base = scored_df.filter(pos > 0)
     return base.select("qid", (idx * F.lit(spread)).cast("int").alias("x"),
                        F.col("high_score").cast("int").alias("y"))
+
+
+def vectors_from_postings(postings: DataFrame, langs: list[str] = LANGUAGES, spread: int = LANG_SPREAD,
+                          strict: bool = True) -> DataFrame:
+    """B4–B7 + C1 + D7 fused: (qid, x, y) for every answered question in one aggregate.
+
+    Questions and answers are co-grouped by question id (own id / parent id)
+    instead of joined: the tag becomes its language index first, so every
+    aggregation buffer is fixed-width (hash aggregate, map-side combine) and
+    the postings are scanned and shuffled once.  Only ids holding both a
+    question and an answer survive — the inner-join rule.  An unknown tag
+    raises (strict) or drops the question, as in ``vectors``.
+    """
+    is_q, is_a = F.col("type") == 1, F.col("type") == 2
+    pos = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("tags"))   # 0 = unknown
+    if strict:
+        parent = F.when(F.col("parent_id").isNull(),
+                        F.raise_error(F.concat(F.lit("answer without parent: "), F.col("id").cast("string")))
+                        ).otherwise(F.col("parent_id"))
+    else:
+        parent = F.col("parent_id")
+    keyed = postings.filter(is_q | is_a).select(
+        F.when(is_q, F.col("id")).otherwise(parent).alias("qid"),
+        F.when(is_q, pos.cast("int")).alias("lang"),
+        F.when(is_a, F.col("score")).alias("score"))
+    g = keyed.groupBy("qid").agg(F.max("lang").alias("lang"), F.max("score").alias("max_score"),
+                                 F.count("score").alias("n_answers"))
+    answered = g.filter(F.col("lang").isNotNull() & (F.col("n_answers") > 0) & F.col("qid").isNotNull())
+    if strict:
+        idx = F.when(F.col("lang") > 0, F.col("lang") - 1).otherwise(
+            F.raise_error(F.concat(F.lit("unknown tag for question "), F.col("qid").cast("string"))))
+    else:
+        answered = answered.filter(F.col("lang") > 0)
+        idx = F.col("lang") - 1
+    return answered.select("qid", (idx * F.lit(spread)).cast("int").alias("x"),
+                           F.greatest(F.col("max_score"), F.lit(0)).cast("int").alias("y"))

@@ -95,10 +95,10 @@ def _article_parse(spark, sf):
 # ---------------------------------------------------------------- postings / k-means
 
 
-def _vectors(spark, sf, from_text: bool = False, postings=None):
-    if postings is None:
-        postings = src_text.parse_postings(I.posting_lines(spark, sf)) if from_text else I.postings(spark, sf)
-    return qa.vectors(qa.scored(postings), I.LANGS, I.LANG_SPREAD)
+def _vectors(spark, sf, from_text: bool = False):
+    """Vectors by the fused co-grouping aggregate (one scan, one shuffle, no join)."""
+    postings = src_text.parse_postings(I.posting_lines(spark, sf)) if from_text else I.postings(spark, sf)
+    return qa.vectors_from_postings(postings, I.LANGS, I.LANG_SPREAD)
 
 
 def _init_means(spark, sf, vec=None):
@@ -112,16 +112,12 @@ def _start(spark, sf, from_text: bool = False):
     The vectors feed both the initial sample and the weighted points, so they
     are computed once (persisted) and released when both are done.
     """
-    # parsed text feeds both the question and the answer side: parse once
-    parsed = src_text.parse_postings(I.posting_lines(spark, sf)).persist() if from_text else None
-    vec = _vectors(spark, sf, from_text, parsed).persist()
+    vec = _vectors(spark, sf, from_text).persist()
     try:
         means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
         pts = km.weighted_points(vec)
     finally:
         vec.unpersist()
-        if parsed is not None:
-            parsed.unpersist()
     return pts, means
 
 
@@ -155,6 +151,12 @@ def _vectors_q(spark, sf):
     return _vectors(spark, sf)
 
 
+@query("vectors_joined")
+def _vectors_joined(spark, sf):
+    """B6/B7 from the joined and scored questions (the two-step form of ``vectors``)."""
+    return qa.vectors(qa.scored(I.postings(spark, sf)), I.LANGS, I.LANG_SPREAD)
+
+
 @query("vector_count")
 def _vector_count(spark, sf):
     return _vectors(spark, sf).agg(F.count("*").alias("n"))

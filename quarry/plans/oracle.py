@@ -83,6 +83,7 @@ SELECT q.qid, q.tags, count(*) AS n_answers, max(a.score) AS max_score, min(a.sc
 FROM q JOIN a ON a.qid = q.qid GROUP BY q.qid, q.tags"""
 ORACLE["qa_scored"] = f"WITH {_VEC} SELECT qid, tags, high_score FROM scored"
 ORACLE["vectors"] = f"WITH {_VEC} SELECT qid, x, y FROM vec"
+ORACLE["vectors_joined"] = ORACLE["vectors"]
 ORACLE["vector_count"] = f"WITH {_VEC} SELECT count(*) AS n FROM vec"
 ORACLE["sample_per_group"] = f"WITH {_VEC} SELECT qid, x, y FROM samp"
 ORACLE["sample_global"] = f"WITH {_VEC} SELECT qid, x, y FROM vec ORDER BY md5('{SEED}:' || qid), qid LIMIT {I.KERNELS}"

@@ -128,3 +128,13 @@ def test_report_text_format(spark):
     df = spark.createDataFrame([(0, 3, 1)], "x int, y int, w long")
     line = rows(cr.report_text(cr.report(df, [(0, 0)], ["Java"], 50000)), "line")[0][0]
     assert line == "      3  Java              (100.0%)            1"
+
+
+def test_fused_vectors_equal_joined_form(postings, spark):
+    fused = sorted(rows(qa.vectors_from_postings(postings, LANGS15, 50000), "qid", "x", "y"))
+    joined = sorted(rows(qa.vectors(qa.scored(postings), LANGS15, 50000), "qid", "x", "y"))
+    assert fused == joined == [(100, 50000, 0), (102, 500000, 9)]
+    bad = st.parse_postings(spark.createDataFrame([("1,1,,,0,Cobol",), ("2,2,,1,3,",)], "value string"))
+    with pytest.raises(Exception):
+        qa.vectors_from_postings(bad, LANGS15, 50000).collect()
+    assert qa.vectors_from_postings(bad, LANGS15, 50000, strict=False).count() == 0
