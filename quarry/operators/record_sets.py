@@ -66,8 +66,11 @@ def filter_set(s: DataFrame, predicate: Column) -> DataFrame:
 
 
 def contains(s: DataFrame, probe: DataFrame) -> DataFrame:
-    """B18 in bulk: every probe row with ``contained`` = its text is in the set."""
-    keys = s.select("text").distinct().withColumn("_hit", F.lit(True))
+    """B18 in bulk: every probe row with ``contained`` = its text is in the set.
+
+    ``s`` is a set (one record per text), so the lookup side needs no dedupe.
+    """
+    keys = s.select("text").withColumn("_hit", F.lit(True))
     return probe.join(keys, "text", "left").withColumn(
         "contained", F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit")
 
