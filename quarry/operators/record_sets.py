@@ -119,5 +119,9 @@ def topic(s: DataFrame, keywords: list[str]) -> DataFrame:
 
 def trending(s: DataFrame, topic_a: list[str] = GOOGLE_KEYWORDS, topic_b: list[str] = APPLE_KEYWORDS,
              seq: str = "seq") -> DataFrame:
-    """Topic A ∪ topic B (B wins clashes), by retweets descending."""
-    return descending(union(topic(s, topic_a), topic(s, topic_b), seq))
+    """Topic A ∪ topic B (B wins clashes), by retweets descending.
+
+    Both topics are subsets of the same set, so a clashing text carries the
+    same record on both sides and the union is one filter with both lists.
+    """
+    return descending(topic(s, list(topic_a) + [k for k in topic_b if k not in topic_a]))
