@@ -28,22 +28,32 @@ def sentence_signature(sentences: DataFrame, col: str = "sentence") -> DataFrame
     return sentences.select(col, signature(joined).alias("sig"))
 
 
-def dictionary(words: DataFrame, word: str = "word") -> DataFrame:
-    """Words grouped by signature: ``(sig, n_words, words)``, words sorted, space separated.
+# Most words listed in one dictionary row; larger anagram classes span several rows.
+ANAGRAM_CHUNK = 10_000
 
-    The distinct words per signature form one anagram class, a group bounded
-    by the permutations of the letters — not by table size.
+
+def dictionary(words: DataFrame, word: str = "word", chunk: int = ANAGRAM_CHUNK) -> DataFrame:
+    """Words grouped by signature: ``(sig, chunk, n_words, words)``.
+
+    ``words`` holds the class's words sorted and space separated.  A class
+    is counted first (partial aggregate); a class larger than ``chunk`` is
+    spread over ceil(n / chunk) rows by a hash of the word, so no single row
+    or task collects an unbounded list.  Real classes fit in chunk 0.
     """
     ws = word_signatures(words, word)
-    return ws.groupBy("sig").agg(F.count("*").alias("n_words"),
-                                 F.array_join(F.array_sort(F.collect_list("word")), " ").alias("words"))
+    sizes = ws.groupBy("sig").agg(F.count("*").alias("n_words"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n_words") / F.lit(chunk)))
+    tagged = ws.join(sizes, "sig").withColumn("chunk", F.pmod(F.xxhash64("word"), parts).cast("int"))
+    return tagged.groupBy("sig", "chunk", "n_words").agg(
+        F.array_join(F.array_sort(F.collect_list("word")), " ").alias("words"))
 
 
 def word_anagrams(query_words: DataFrame, dict_df: DataFrame, word: str = "word") -> DataFrame:
     """For each distinct query word, the dictionary words with the same letters ('' if none)."""
     q = word_signatures(query_words, word)
     return q.join(dict_df, "sig", "left").select(
-        "word", "sig", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
+        "word", "sig", F.coalesce("chunk", F.lit(0)).alias("chunk"),
+        F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
         F.coalesce("words", F.lit("")).alias("anagrams"))
 
 

@@ -244,12 +244,13 @@ _WORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(t
   WHERE w <> '')"""
 _BWORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM benchmark)
   WHERE w <> '')"""
-_DICT = f"""(SELECT sig, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words
+_DICT = f"""(SELECT sig, 0 AS chunk, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words
   FROM (SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}) GROUP BY sig)"""
 ORACLE["word_signature"] = f"SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}"
 ORACLE["signature_dictionary"] = f"SELECT * FROM {_DICT}"
 ORACLE["word_anagrams"] = f"""
-SELECT q.word, q.sig, coalesce(d.n_words, 0) AS n_words, coalesce(d.words, '') AS anagrams
+SELECT q.word, q.sig, coalesce(d.chunk, 0) AS chunk, coalesce(d.n_words, 0) AS n_words,
+       coalesce(d.words, '') AS anagrams
 FROM (SELECT DISTINCT word, {_sig('word')} AS sig FROM {_BWORDS}) q LEFT JOIN {_DICT} d ON d.sig = q.sig"""
 _NOSPACE = "replace(p_name, ' ', '')"
 _SENT = f"(SELECT DISTINCT p_name AS sentence, {_sig(_NOSPACE)} AS sig FROM part)"

@@ -97,3 +97,14 @@ def test_sentence_anagrams_match_brute_force(spark):
     got = rows(sg.sentence_anagrams(sents, words))
     for s in sentences:
         assert sorted(a for x, a in got if x == s) == _brute_anagrams(s, dictionary)
+
+
+def test_large_anagram_class_is_chunked(spark):
+    import itertools
+    perms = sorted({"".join(p) for p in itertools.permutations("abcdef")})       # 720 words, one class
+    words = spark.createDataFrame([(w,) for w in perms], "word string")
+    d = rows(sg.dictionary(words, chunk=100), "chunk", "n_words", "words")
+    assert len(d) > 1 and all(n == 720 for _, n, _ in d)
+    listed = sorted(w for _, _, ws in d for w in ws.split(" "))
+    assert listed == perms
+    assert len({c for c, _, _ in d}) == len(d)
