@@ -30,3 +30,9 @@ SITES = ["gizmodo", "TechCrunch", "engadget", "amazondeals", "CNET", "gadgetlab"
 
 # Enumeration bound of the characteristic-function key sets.
 KEYSET_BOUND = 1000
+
+# Header and line format of the printed cluster report.
+REPORT_HEADER = ["Resulting clusters:",
+                 "  Score  Dominant language (%percent)  Questions",
+                 "================================================"]
+REPORT_LINE = "%7d  %-17s (%-5.1f%%)      %7d"

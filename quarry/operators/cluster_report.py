@@ -8,10 +8,10 @@ distinct score, so memory is bounded by distinct values, not by rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.constants import LANG_SPREAD, LANGUAGES
+from quarry.constants import LANG_SPREAD, LANGUAGES, REPORT_HEADER, REPORT_LINE
 from quarry.operators.kmeans import Means, nearest
 
 
@@ -37,6 +37,14 @@ def report(points: DataFrame, means: Means, langs: list[str] = LANGUAGES, spread
 
 
 def report_text(rep: DataFrame) -> DataFrame:
-    """The fixed-width report line."""
-    return rep.select("cluster", F.format_string("%7d  %-17s (%-5.1f%%)      %7d",
-                                                 "median", "label", "percent", "size").alias("line"))
+    """The printed report as numbered lines — the header, then one line per cluster by median.
+
+    Numbering runs over the k report rows only (a window over k rows).
+    """
+    spark = rep.sparkSession
+    header = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("line_no"), F.lit(t).alias("line")) for i, t in enumerate(REPORT_HEADER)])))
+    order = Window.orderBy("median", "cluster")
+    body = rep.select((F.row_number().over(order) + len(REPORT_HEADER) - 1).alias("line_no"),
+                      F.format_string(REPORT_LINE, "median", "label", "percent", "size").alias("line"))
+    return header.unionByName(body).orderBy("line_no")

@@ -139,7 +139,11 @@ rep AS (SELECT dom.cluster, {LANGS}[dom_x // {SP} + 1] AS label,
 ORACLE["cluster_report"] = f"WITH RECURSIVE {_VEC}{_FIT}{_REPORT} SELECT * FROM rep"
 ORACLE["kmeans_job"] = ORACLE["cluster_report"]
 ORACLE["cluster_report_text"] = f"""WITH RECURSIVE {_VEC}{_FIT}{_REPORT}
-SELECT cluster, printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, round(percent, 1), size) AS line FROM rep"""
+SELECT * FROM (VALUES (0, 'Resulting clusters:'), (1, '  Score  Dominant language (%percent)  Questions'),
+                      (2, '================================================')) AS h(line_no, line)
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY median, cluster) + 2 AS INTEGER) AS line_no,
+       printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, round(percent, 1), size) AS line FROM rep"""
 
 # ---------------------------------------------------------------- wide survey
 _WIDE_COLS = ["tucaseid", "telfs", "tesex", "teage", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",

@@ -126,8 +126,10 @@ def test_sampling_per_group_and_global(spark):
 
 def test_report_text_format(spark):
     df = spark.createDataFrame([(0, 3, 1)], "x int, y int, w long")
-    line = rows(cr.report_text(cr.report(df, [(0, 0)], ["Java"], 50000)), "line")[0][0]
-    assert line == "      3  Java              (100.0%)            1"
+    lines = rows(cr.report_text(cr.report(df, [(0, 0)], ["Java"], 50000)), "line_no", "line")
+    assert [n for n, _ in lines] == [0, 1, 2, 3]
+    assert lines[0][1] == "Resulting clusters:" and lines[2][1] == "=" * 48
+    assert lines[3][1] == "      3  Java              (100.0%)            1"
 
 
 def test_fused_vectors_equal_joined_form(postings, spark):
