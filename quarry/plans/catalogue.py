@@ -459,6 +459,12 @@ def _json_write(spark, sf):
     return sj.records_to_json(I.records(spark, sf), rs.REC)
 
 
+@query("json_unparse")
+def _json_unparse(spark, sf):
+    """A11 in the reference's own record text form."""
+    return sj.records_to_course_lines(I.records(spark, sf))
+
+
 # ---------------------------------------------------------------- signatures
 
 

@@ -235,6 +235,11 @@ ORACLE["json_write"] = """
 SELECT CAST(to_json(struct_pack("user" := source, "text" := text, "retweets" := CAST(n_chars AS INTEGER))) AS VARCHAR) AS json
 FROM documents"""
 
+ORACLE["json_unparse"] = """
+SELECT '{ "user": "' || source || '", "text": "' || replace(text, '"', '\\"') || '", "retweets": '
+       || CAST(n_chars AS VARCHAR) || '.0 },' AS line
+FROM documents"""
+
 # ---------------------------------------------------------------- signatures
 def _sig(expr: str) -> str:
     return f"array_to_string(list_sort(string_split(lower({expr}), '')), '')"

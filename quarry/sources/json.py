@@ -33,3 +33,22 @@ def records_to_json(df: DataFrame, cols: list[str], alias: str = "json") -> Data
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """A11 sink: JSON lines, one object per record, written by the executors."""
     df.write.mode(mode).json(path)
+
+
+def records_to_course_lines(df: DataFrame, alias: str = "line") -> DataFrame:
+    """A11 in the reference's own text form, one record per line.
+
+    ``{ "user": "u", "text": "t", "retweets": N.0 },`` — only ``"`` in the
+    text is escaped and the count is printed with ``.0``.  Written with
+    ``write.text`` every line ends in a newline, which gives the reference's
+    ``,\\n`` separation without concatenating records on the driver.
+    """
+    return df.select(F.concat(
+        F.lit('{ "user": "'), F.col("user"), F.lit('", "text": "'),
+        F.replace(F.col("text"), F.lit('"'), F.lit('\\"')),
+        F.lit('", "retweets": '), F.col("retweets").cast("long").cast("string"), F.lit(".0 },")).alias(alias))
+
+
+def write_course_lines(df: DataFrame, path: str, mode: str = "error") -> None:
+    """Sink for ``records_to_course_lines``: plain text, one record per line."""
+    records_to_course_lines(df).write.mode(mode).text(path)

@@ -51,3 +51,12 @@ def test_spread_only_when_under_split(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(0, 100, 1, 8)
     assert spread(many, 4).rdd.getNumPartitions() == 8
+
+
+def test_course_json_lines(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="quarry-test-"), "out")
+    df = spark.createDataFrame([("gizmodo", 'say "hi"', 51)], "user string, text string, retweets int")
+    line = rows(sj.records_to_course_lines(df))[0][0]
+    assert line == '{ "user": "gizmodo", "text": "say \\"hi\\"", "retweets": 51.0 },'
+    sj.write_course_lines(df, out)
+    assert [r[0] for r in rows(spark.read.text(out))] == [line]
