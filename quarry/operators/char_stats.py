@@ -41,10 +41,13 @@ def code_table(freqs: DataFrame) -> DataFrame:
 
 
 def merge_code_tables(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Append two tables; lookups see the first entry per character."""
-    both = first.select("ch", "bits", F.lit(0).alias("_side")).unionByName(
-        second.select("ch", "bits", F.lit(1).alias("_side")))
-    return both.groupBy("ch").agg(F.min_by("bits", "_side").alias("bits"))
+    """Append two tables; lookups see the first entry per character.
+
+    Code tables hold one entry per character, so the merged lookup is the
+    first table plus the second's characters the first lacks (an anti-join).
+    """
+    extra = second.select("ch", "bits").join(first.select("ch"), "ch", "left_anti")
+    return first.select("ch", "bits").unionByName(extra)
 
 
 def encode(df: DataFrame, text: str, table: DataFrame, key: str, out: str = "bits") -> DataFrame:
