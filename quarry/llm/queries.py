@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.set_join import shingle_components
 from quarry.llm.substring_dedup import dedup_substrings
 from quarry.sources.tables import table
 
@@ -21,3 +22,8 @@ def query(fn):
 @query
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_substrings(table(spark, sf, "documents"))
+
+
+@query
+def op3_set_join(spark: SparkSession, sf: str) -> DataFrame:
+    return shingle_components(table(spark, sf, "documents"))
