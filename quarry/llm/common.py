@@ -28,7 +28,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     that survives a lost executor and is scanned, not recomputed, by each later use."""
     path = f"{shared_dir(df.sparkSession)}/quarry-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read again, and lets finished shuffles go."""
+    spark = tables[0].sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(conf).delete(path, True)
+    let_go(spark)
 
 
 def let_go(spark: SparkSession) -> None:

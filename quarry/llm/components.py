@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let_go, written
+from quarry.llm.common import forget, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -22,21 +22,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:                           # neighbours up to u, and u itself, hang on it
         out = joined.where("v < u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.where("m < u").select("u", F.col("m").alias("v")))
-    return written(out.where("u != v").distinct(), "edges")
+    out = written(out.where("u != v").distinct(), "edges")
+    forget(least, edges)
+    return out
 
 
 def components(edges: DataFrame, u: str, v: str) -> DataFrame:
     """``(node, component)`` for every node that stands in an edge; component is its least node.
 
     Loops and repeated edges do not matter; an empty edge table gives an empty result."""
-    spark = edges.sparkSession
     now = written(edges.select(F.least(u, v).alias("v"), F.greatest(u, v).alias("u"))
                   .where("u != v").distinct(), "edges")
     state = None
     while True:
         now = _star(_star(now, large=True), large=False)
         before, state = state, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        let_go(spark)
         if state == before:
             break
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let_go, texts, written
+from quarry.llm.common import forget, let_go, texts, written
 from quarry.llm.components import components
 from quarry.llm.words import U, Words, mix, slices, window_sums
 
@@ -153,11 +153,13 @@ def _compared(pairs: DataFrame, base: DataFrame, sets: DataFrame, k: int) -> Dat
                    .agg(F.min("key").alias("key")), "reps")
     held = written(base.select("key", "text").join(reps, "key")
                    .mapInArrow(_tokens(k), "cls long, as_a boolean, as_b boolean, tokens array<long>"), "sets")
+    forget(reps)
     left = held.where("as_a").select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
     right = held.where("as_b").select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
     out = written(pairs.join(right, "b").join(left, "a")
                   .select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("overlap")).distinct(), "overlaps")
-    let_go(base.sparkSession)
+    del left, right
+    forget(held)
     return out
 
 
@@ -194,7 +196,7 @@ def shingle_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
                     .where("p.cls != top").select("token", F.col("p.cls").alias("pcls"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos")), "lists")
     let_go(spark)
     shared = written(entries.join(lists, "token"), "shared")
-    let_go(spark)
+    forget(entries, lists)
     star = written(shared.where("cls != pcls").where(_possible("n", "pos", "pn", "ppos", t))
                    .select(F.col("pcls").alias("a"), F.col("cls").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb")).distinct(), "star")
     answers = _compared(star, base, sets, shingle)
@@ -209,17 +211,22 @@ def shingle_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
               .select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"),
                       (F.col("cls") == F.col("pcls")).alias("pivot"), F.when(F.col("cls") == F.col("pcls"), 0.0).otherwise(F.col("far")).alias("far")))
     placed = written(placed, "placed")
+    forget(shared)
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")) \
         .where("lo != hi and c > 2").select("token")
     open_ = written(placed.where("not pivot").join(mixed, "token", "left_semi").distinct(), "open")
-    let_go(spark)
+    del mixed
+    forget(placed)
     x, y = open_.alias("x"), open_.alias("y")
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & F.expr("x.cls < y.cls and x.comp != y.comp")
                    & F.expr(_possible("x.n", "x.pos", "y.n", "y.pos", t))
                    & F.expr(f"not coalesce(abs(x.far - y.far) > {1 - t / 100} + 1e-9, false)"))
             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct())
     done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _compared(written(rest.join(done, ["a", "b"], "left_anti"), "rest"), base, sets, shingle).where(linked)
+    rest = written(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    del x, y, done
+    forget(open_)
+    more = _compared(rest, base, sets, shingle).where(linked)
     at = first.select(F.col("node"), F.col("component"))
     lifted = (more.join(at.toDF("a", "ca"), "a", "left").join(at.toDF("b", "cb"), "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
