@@ -6,7 +6,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,8 +53,11 @@ def let_go(spark: SparkSession) -> None:
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(key, id, text)``: key is a 64-bit hash of id and text, so it needs no unique ids and is the same
     however often the input is computed; only rows that repeat both share it."""
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return own.select(F.xxhash64(F.col("id").cast("string"), F.lit("|"), "text").alias("key"), "id", "text")
+    return docs.select(texts_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
+def texts_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"), F.lit("|"), F.col(text_col))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -12,6 +12,8 @@ Set relations do the skipping, at the level of index lists and at the level of a
   pivot's answers: two entries already in one component need no comparison, and as Jaccard distance is a
   metric, two entries whose distances to the pivot differ by more than 1 - t cannot link.  A large group of
   near copies thus costs a few comparisons per member, not all pairs.
+* *Comparisons.*  A bit vector of token parities, an eighth of a byte or two per shingle, bounds the symmetric
+  difference of two sets from below; whole sets move only for pairs that it leaves open.
 
 Shingles and classes are 64-bit hashes.  The broadcast sketch has a fixed size, whatever the input.
 """
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import forget, let_go, texts, written
+from quarry.llm.common import forget, let_go, texts, texts_key, written
 from quarry.llm.components import components
 from quarry.llm.words import U, Words, mix, slices, window_sums
 
@@ -56,10 +58,36 @@ def _class(tokens: np.ndarray) -> int:
     return int(mix(total[:1] ^ mix(total[1:])).view(np.int64)[0]) if len(tokens) else 0
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """One bit per hash value modulo the least power of two not below the set's size (64 at least): whether an
+    odd number of tokens fall there."""
+    width = 1 << max(6, (len(tokens) - 1).bit_length())
+    return np.packbits((np.bincount((tokens & U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """A lower bound of the size of the symmetric difference: every token in one set alone flips one bit."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):                       # the finer one is folded to the coarser one's width
+        a = a[: len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2:]
+    return int(_ONES[a ^ b].sum())
+
+
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        low = [apart(x, y) for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "na", "nb")), pa.array(low, pa.int64())], names=["a", "b", "na", "nb", "apart"])
+
+
 def _scan(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["id", "key", "n", "cls", "part", "counts"]
+        names = ["id", "key", "n", "cls", "bits", "part", "counts"]
         kind = None
         for batch in batches:
             kind = batch.schema.field("id").type
@@ -70,11 +98,12 @@ def _scan(k: int):
                 none = pa.nulls(len(part), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("key"), pa.array([len(x) for x in sets], pa.int64()),
-                     pa.array([_class(x) for x in sets], pa.int64()), none, pa.nulls(len(part), pa.binary())], names=names)
+                     pa.array([_class(x) for x in sets], pa.int64()),
+                     pa.array([parity(x) for x in sets], pa.binary()), none, pa.nulls(len(part), pa.binary())], names=names)
         if kind is not None:
             m = SKETCH_PARTS
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
                  pa.array(range(m), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in np.split(counts, m)], pa.binary())], names=names)
     return run
 
@@ -144,22 +173,30 @@ def _tokens(k: int):
     return run
 
 
-def _compared(pairs: DataFrame, base: DataFrame, sets: DataFrame, k: int) -> DataFrame:
-    """The pairs (a, b, na, nb) with their exact overlap."""
-    roles = pairs.select(F.col("a").alias("cls"), F.lit(True).alias("as_a"), F.lit(False).alias("as_b")).union(
-        pairs.select(F.col("b").alias("cls"), F.lit(False).alias("as_a"), F.lit(True).alias("as_b")))
-    roles = roles.groupBy("cls").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
-    reps = written(sets.select("cls", "key").join(roles, "cls").groupBy("cls", "as_a", "as_b")
-                   .agg(F.min("key").alias("key")), "reps")
-    held = written(base.select("key", "text").join(reps, "key")
-                   .mapInArrow(_tokens(k), "cls long, as_a boolean, as_b boolean, tokens array<long>"), "sets")
+def _compared(pairs: DataFrame, base: DataFrame, sets: DataFrame, k: int, t: int) -> DataFrame:
+    """The pairs (a, b, na, nb) with ``apart``, a lower bound of their symmetric difference by parity bits, and
+    where that leaves a link possible the exact ``overlap`` of their sets."""
+    both = lambda x: x.select(F.col("a").alias("cls"), F.lit(True).alias("as_a"), F.lit(False).alias("as_b")).union(
+        x.select(F.col("b").alias("cls"), F.lit(False).alias("as_a"), F.lit(True).alias("as_b"))).groupBy("cls").agg(
+        F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
+    reps = written(sets.select("cls", "key", "bits").join(both(pairs).select("cls"), "cls").groupBy("cls")
+                   .agg(F.min("key").alias("key"), F.min("bits").alias("bits")), "reps")
+    bound = written(pairs.join(reps.select(F.col("cls").alias("b"), F.col("bits").alias("xb")), "b")
+                    .join(reps.select(F.col("cls").alias("a"), F.col("bits").alias("xa")), "a")
+                    .mapInArrow(_apart, "a long, b long, na int, nb int, apart long"), "bound")
+    open_ = bound.where(f"{100 + t} * (na + nb - apart) >= {2 * t} * (na + nb)")
+    asked = written(reps.select("cls", "key").join(both(open_), "cls"), "asked")
     forget(reps)
+    held = written(base.select("key", "text").join(asked, "key")
+                   .mapInArrow(_tokens(k), "cls long, as_a boolean, as_b boolean, tokens array<long>"), "sets")
+    forget(asked)
     left = held.where("as_a").select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
     right = held.where("as_b").select(F.col("cls").alias("b"), F.col("tokens").alias("tb"))
-    out = written(pairs.join(right, "b").join(left, "a")
-                  .select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("overlap")).distinct(), "overlaps")
-    del left, right
-    forget(held)
+    exact = (open_.join(right, "b").join(left, "a")
+             .select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("overlap")).distinct())
+    out = written(bound.join(exact, ["a", "b"], "left"), "overlaps")
+    del left, right, exact, open_
+    forget(held, bound)
     return out
 
 
@@ -169,20 +206,12 @@ def _possible(n1: str, p1: str, n2: str, p2: str, t: int) -> str:
             f"{100 + t} * (1 + least({n1} - {p1}, {n2} - {p2}) - 1) >= {t} * ({n1} + {n2})")
 
 
-def shingle_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_shingles, component_id)``, one row per row of ``docs``.
-
-    Words are runs of non-space, A-Z lower-cased.  Two documents link when 100 * intersection is at least
-    ``percent`` * union of their sets of ``shingle``-word shingles; component_id is the least id reachable.  A
-    text of fewer words is one shingle; a null or wordless text has an empty set, links with nothing and is
-    its own component.  Null ids are passed over when the least id is taken (null if there is no other).
-    Repeated rows and repeated ids are rows of their own."""
-    spark = docs.sparkSession
-    base = texts(docs, id_col, text_col)
+def _classes(base: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The scanned rows ``(id, key, n, cls)`` and the classes with words ``(cls, c)``, c naming the component."""
+    spark = base.sparkSession
     kind = base.schema["id"].dataType.simpleString()
-    scanned = written(base.mapInArrow(_scan(shingle), f"id {kind}, key long, n long, cls long, part int, counts binary"), "scan")
-    sets = scanned.where("part is null").select("id", "key", "n", "cls")
+    scanned = written(base.mapInArrow(_scan(shingle), f"id {kind}, key long, n long, cls long, bits binary, part int, counts binary"), "scan")
+    sets = scanned.where("part is null").select("id", "key", "n", "cls", "bits")
     parts = (scanned.where("part is not null").select("part", "counts").repartition("part")
              .mapInArrow(_sum_sketch, "part int, counts binary").collect())        # SKETCH_PARTS rows
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
@@ -199,17 +228,18 @@ def shingle_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     forget(entries, lists)
     star = written(shared.where("cls != pcls").where(_possible("n", "pos", "pn", "ppos", t))
                    .select(F.col("pcls").alias("a"), F.col("cls").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb")).distinct(), "star")
-    answers = _compared(star, base, sets, shingle)
+    answers = _compared(star, base, sets, shingle, t)
     linked = F.expr(f"{100 + t} * overlap >= {t} * (na + nb)")
     first = written(components(answers.where(linked), "a", "b"), "first")
 
     # What the pivots' answers leave open: lists of three or more classes in two or more components.
     dist = F.expr("1 - overlap / (na + nb - overlap)")
-    known = answers.select(F.col("a").alias("pcls"), F.col("b").alias("cls"), dist.alias("far"))
+    known = answers.select(F.col("a").alias("pcls"), F.col("b").alias("cls"), F.coalesce(dist, F.expr("2 * apart / (na + nb + apart)")).alias("least"),
+                           F.coalesce(dist, F.lit(1.0)).alias("most"))
     placed = (shared.select("token", "cls", "n", "pos", "pcls").join(first.withColumnRenamed("node", "cls"), "cls", "left")
               .join(known, ["pcls", "cls"], "left")
               .select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"),
-                      (F.col("cls") == F.col("pcls")).alias("pivot"), F.when(F.col("cls") == F.col("pcls"), 0.0).otherwise(F.col("far")).alias("far")))
+                      (F.col("cls") == F.col("pcls")).alias("pivot"), "least", "most"))
     placed = written(placed, "placed")
     forget(shared)
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")) \
@@ -220,25 +250,61 @@ def shingle_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     x, y = open_.alias("x"), open_.alias("y")
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & F.expr("x.cls < y.cls and x.comp != y.comp")
                    & F.expr(_possible("x.n", "x.pos", "y.n", "y.pos", t))
-                   & F.expr(f"not coalesce(abs(x.far - y.far) > {1 - t / 100} + 1e-9, false)"))
+                   & F.expr(f"not coalesce(greatest(x.least - y.most, y.least - x.most) > {1 - t / 100} + 1e-9, false)"))
             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct())
     done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(rest.join(done, ["a", "b"], "left_anti"), "rest")
     del x, y, done
     forget(open_)
-    more = _compared(rest, base, sets, shingle).where(linked)
+    more = _compared(rest, base, sets, shingle, t).where(linked)
     at = first.select(F.col("node"), F.col("component"))
     lifted = (more.join(at.toDF("a", "ca"), "a", "left").join(at.toDF("b", "cb"), "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     second = written(components(lifted, "a", "b"), "second")
 
-    own = sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"))
+    own = sets.where("n > 0").select("cls").distinct()
     whole = (own.join(first.withColumnRenamed("node", "cls"), "cls", "left").withColumn("c1", F.coalesce("component", "cls")).drop("component")
-             .join(second.withColumnRenamed("node", "c1"), "c1", "left").withColumn("c", F.coalesce("component", "c1")).select("cls", "least", "c"))
+             .join(second.withColumnRenamed("node", "c1"), "c1", "left").select("cls", F.coalesce("component", "c1").alias("c")))
     whole = written(whole, "classes")
-    least = written(whole.groupBy("c").agg(F.min("least").alias("component_id")), "least")
-    place = written(whole.join(least, "c").select("cls", "component_id"), "place")
     let_go(spark)
+    return sets, whole
+
+
+def shingle_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_shingles, component_id)``, one row per row of ``docs``.
+
+    Words are runs of non-space, A-Z lower-cased.  Two documents link when 100 * intersection is at least
+    ``percent`` * union of their sets of ``shingle``-word shingles; component_id is the least id reachable.  A
+    text of fewer words is one shingle; a null or wordless text has an empty set, links with nothing and is
+    its own component.  Null ids are passed over when the least id is taken (null if there is no other).
+    Repeated rows and repeated ids are rows of their own."""
+    sets, classes = _classes(texts(docs, id_col, text_col), shingle, percent)
+    own = sets.where("n > 0").groupBy("cls").agg(F.min("id").alias("least"))          # one row per class and task
+    own = written(own.join(classes, "cls"), "own")
+    least = written(own.groupBy("c").agg(F.min("least").alias("component_id")), "least")
+    place = written(own.join(least, "c").select("cls", "component_id"), "place")
+    let_go(docs.sparkSession)
     return (sets.join(place, "cls", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, all columns, without those that link, directly or through others, with a row of smaller id
+    (null ids last; equal ids by a hash of the text).  Of rows that repeat id and text one stays; rows without
+    words all stay."""
+    sets, classes = _classes(texts(docs, id_col, text_col), shingle, percent)
+    rank = F.struct(F.col("id").isNull(), "id", "key")
+    own = written(sets.where("n > 0").groupBy("cls").agg(F.min(rank).alias("first")).join(classes, "cls"), "own")
+    best = written(own.groupBy("c").agg(F.min("first").alias("first")), "best")
+    place = written(own.select("cls", "c").join(best, "c").select("cls", F.col("first.key").alias("stays")), "place")
+    words = sets.where("n > 0").join(place, "cls")
+    gone = written(words.where("key != stays").select(F.col("key").alias("_key")).distinct(), "gone")
+    again = written(words.where("key = stays").groupBy(F.col("key").alias("_key")).count().where("count > 1").select("_key"), "again")
+    let_go(docs.sparkSession)
+    keyed = docs.withColumn("_key", texts_key(id_col, text_col))
+    left = keyed.join(gone, "_key", "left_anti")
+    if not again.isEmpty():
+        left = left.join(again, "_key", "left_anti").unionByName(left.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

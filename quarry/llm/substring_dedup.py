@@ -24,8 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from quarry.llm.common import let_go, partitions, texts, written
+from quarry.llm.common import let_go, partitions, texts, texts_key, written
 from quarry.llm.words import U, Words, mix, slices, window_sums
 
 WINDOW = 35
@@ -184,37 +185,52 @@ def _remove(window: int, with_text: bool):
                        pa.array([hashlib.sha256(x).hexdigest() for x in kept])]
                 names = ["id", "n_words", "n_removed", "kept_sha256"]
                 if with_text:
-                    out, names = [*out, part.column("key"), pa.array([x.decode() for x in kept])], [*names, "key", "kept"]
+                    out, names = [*out, part.column("row"), pa.array([x.decode() for x in kept]), part.column("text")], [*names, "row", "kept", "text"]
                 yield pa.RecordBatch.from_arrays(out, names=names)
     return run
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                     with_text: bool = False) -> DataFrame:
-    """One row per row of ``docs``: its id, ``n_words``, ``n_removed``, ``kept_sha256`` (and with
-    ``with_text`` the row's ``key`` and its ``kept`` words joined by a space).
-
-    A word goes if a window of ``window`` words covers it whose word sequence also starts elsewhere, in the
-    same text or another; all copies go, also the first.  A null or empty text has no words.  Rows that
-    repeat an id (or have none) are documents of their own, so a repeated row makes both rows' windows
-    repeat.  Other columns of ``docs`` are not looked at.  No text is cut, whatever its length."""
+def _judged(base: DataFrame, window: int) -> DataFrame:
+    """The base rows with the places of their repeated half windows (pos) and of candidates that do not repeat (failed)."""
     if window < 2:
         raise ValueError("a window holds two words or more")
-    spark = docs.sparkSession
-    base = texts(docs, id_col, text_col)
-    id_type = base.schema["id"].dataType.simpleString()
-    anchors = base.select("key", "text").mapInArrow(_anchors(window), "half long, key long, pos long")
+    spark = base.sparkSession
+    own = base.select("key", "text")
+    anchors = own.mapInArrow(_anchors(window), "half long, key long, pos long")
     again = written(anchors.groupBy("half").count().where("count > 1").select("half"), "halves")
     let_go(spark)
     found = written(anchors.join(again, "half", "left_semi").select("key", "pos")
                     .groupBy("key").agg(F.collect_set("pos").alias("pos")), "found")   # per text: its own places
     let_go(spark)
     n = partitions(spark)
-    dealt = (base.select("key", "text").join(found, "key")
-             .mapInArrow(_deal(window, 4 * n), "bucket int, hashes array<long>, keys array<long>, starts array<int>, many array<boolean>"))
-    once = (dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_single, "key long, start int"))
+    dealt = own.join(found, "key").mapInArrow(
+        _deal(window, 4 * n), "bucket int, hashes array<long>, keys array<long>, starts array<int>, many array<boolean>")
+    once = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_single, "key long, start int")
     failed = written(once.groupBy("key").agg(F.collect_list("start").alias("failed")), "failed")
     let_go(spark)
-    full = base.join(found.join(failed, "key", "left"), "key", "left")
-    return full.mapInArrow(_remove(window, with_text), f"id {id_type}, n_words long, n_removed long, kept_sha256 string"
-                           + (", key long, kept string" if with_text else "")).withColumnRenamed("id", id_col)
+    return base.join(found.join(failed, "key", "left"), "key", "left")
+
+
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: its id, ``n_words``, ``n_removed`` and ``kept_sha256``, of the kept words
+    joined by a space.
+
+    A word goes if a window of ``window`` words covers it whose word sequence also starts elsewhere, in the
+    same text or another; all copies go, also the first.  A null or empty text has no words.  Rows that
+    repeat an id (or have none) are documents of their own, so a repeated row makes both rows' windows
+    repeat.  Other columns of ``docs`` are not looked at.  No text is cut, whatever its length."""
+    base = texts(docs, id_col, text_col)
+    kind = base.schema["id"].dataType.simpleString()
+    out = _judged(base, window).mapInArrow(_remove(window, False), f"id {kind}, n_words long, n_removed long, kept_sha256 string")
+    return out.withColumnRenamed("id", id_col)
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, all columns, with the kept words as text; a text that loses nothing stays as it is (also null)."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    base = docs.select(texts_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*rest).alias("row"))
+    schema = StructType([base.schema["id"], StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType()),
+                         base.schema["row"], StructField("kept", StringType()), base.schema["text"]])
+    out = _judged(base, window).mapInArrow(_remove(window, True), schema)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from quarry.llm.substring_dedup import dedup_substrings
+from quarry.llm.substring_dedup import dedup_substrings, without_repeats
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,7 +48,9 @@ def test_empty_table_and_extra_columns(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, key string, pos int, failed string")
     assert dedup_substrings(empty).count() == 0
     docs = spark.createDataFrame([(1, "a b c", "k", 1, "f")], "doc_id long, text string, key string, pos int, failed string")
-    assert dedup_substrings(docs, with_text=True).first()["kept"] == "a b c"
+    assert without_repeats(docs, 2).first().asDict() == {"doc_id": 1, "text": "a b c", "key": "k", "pos": 1, "failed": "f"}
+    twice = spark.createDataFrame([(1, "x  a b c", "k"), (2, "y a b c\nz", "l"), (3, None, None), (4, "q\n r", "")], "doc_id long, text string, `odd.key` string")
+    assert sorted(map(tuple, without_repeats(twice, 3).collect())) == [(1, "x", "k"), (2, "y z", "l"), (3, None, None), (4, "q\n r", "")]
 
 
 @pytest.mark.parametrize("window", [35])
