@@ -10,6 +10,7 @@ from quarry.llm.decontaminate import find_leaks
 from quarry.llm.language_id import identify_languages
 from quarry.llm.license_scan import scan_licenses
 from quarry.llm.packing import pack_documents
+from quarry.llm.oracle import LLM_ORACLE
 from quarry.llm.page_extract import extract_pages
 from quarry.llm.preference_format import preference_pairs
 from quarry.llm.set_join import shingle_components
@@ -19,7 +20,7 @@ from quarry.llm.vector_dedup import near_vectors
 from quarry.sources.tables import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_ORACLE: dict[str, str] = {}
+
 
 
 def query(fn):

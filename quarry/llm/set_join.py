@@ -7,7 +7,8 @@ Set relations do the skipping, at the level of index lists and at the level of a
   (rare levels first, by a counting sketch of fixed size; then by hash).  A list entry holds the set's size
   and the shingle's position, and entries whose sizes or remaining positions rule out enough overlap are
   skipped.  Lists with one class are dropped.
-* *Answers.*  Each list has one pivot, its least class.  Every entry is compared with the pivot of its lists
+* *Answers.*  Each list has one pivot, the class whose entries stand in the longest lists (of
+  a group of edited copies the one nearest to all).  Every entry is compared with the pivot of its lists
   alone; the answers join classes into components.  What is left to compare in a list is derived from the
   pivot's answers: two entries already in one component need no comparison, and as Jaccard distance is a
   metric, two entries whose distances to the pivot differ by more than 1 - t cannot link.  A large group of
@@ -37,6 +38,8 @@ PERCENT = 90
 #: Counters of the frequency sketch (4 bytes each) and the parts it is summed in.
 SKETCH_BITS = 18
 SKETCH_PARTS = 64
+#: Keys of texts to fetch, at most, that are broadcast (some 30 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def doc_sets(part: pa.RecordBatch, k: int) -> list[np.ndarray]:
@@ -187,7 +190,8 @@ def _compared(pairs: DataFrame, base: DataFrame, sets: DataFrame, k: int, t: int
     open_ = bound.where(f"{100 + t} * (na + nb - apart) >= {2 * t} * (na + nb)")
     asked = written(reps.select("cls", "key").join(both(open_), "cls"), "asked")
     forget(reps)
-    held = written(base.select("key", "text").join(asked, "key")
+    few = asked.count() <= BROADCAST_ROWS                     # else the texts are shuffled to the keys
+    held = written(base.select("key", "text").join(F.broadcast(asked) if few else asked, "key")
                    .mapInArrow(_tokens(k), "cls long, as_a boolean, as_b boolean, tokens array<long>"), "sets")
     forget(asked)
     left = held.where("as_a").select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
@@ -221,11 +225,19 @@ def _classes(base: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
 
     t = percent
     entries = written(base.select("text").mapInArrow(_entries(shingle, t, levels), "token long, cls long, n int, pos int"), "entries")
-    lists = written(entries.groupBy("token").agg(F.min(F.struct("cls", "n", "pos")).alias("p"), F.max("cls").alias("top"))
-                    .where("p.cls != top").select("token", F.col("p.cls").alias("pcls"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos")), "lists")
+    # Lists of two or more classes; the pivot of each is the class whose entries stand in the longest lists.
+    lists = written(entries.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("c"))
+                    .where("lo != hi").select("token", "c"), "lists")
     let_go(spark)
-    shared = written(entries.join(lists, "token"), "shared")
+    listed = written(entries.join(lists, "token"), "listed")
     forget(entries, lists)
+    score = written(listed.groupBy("cls").agg((F.sum(F.col("c") - 1) / F.first(F.col("n") - F.ceil(F.col("n") * t / 100) + 1)).alias("score")), "score")
+    scored = written(listed.join(score, "cls").drop("c"), "scored")
+    forget(listed, score)
+    pivots = written(scored.groupBy("token").agg(F.max(F.struct("score", "cls", "n", "pos")).alias("p"))
+                     .select("token", F.col("p.cls").alias("pcls"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos")), "pivots")
+    shared = written(scored.drop("score").join(pivots, "token"), "shared")
+    forget(scored, pivots)
     star = written(shared.where("cls != pcls").where(_possible("n", "pos", "pn", "ppos", t))
                    .select(F.col("pcls").alias("a"), F.col("cls").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb")).distinct(), "star")
     answers = _compared(star, base, sets, shingle, t)
