@@ -36,7 +36,7 @@ from quarry.llm.words import U, Words, mix, slices, window_sums
 SHINGLE = 3
 PERCENT = 90
 #: Counters of the frequency sketch (4 bytes each) and the parts it is summed in.
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 SKETCH_PARTS = 64
 #: Keys of texts to fetch, at most, that are broadcast (some 30 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -221,7 +221,7 @@ def _classes(base: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
     for row in parts:
         counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
-    levels = spark.sparkContext.broadcast(_levels(counts.ravel()))                 # 256 KB
+    levels = spark.sparkContext.broadcast(_levels(counts.ravel()))                 # 1 MB
 
     t = percent
     entries = written(base.select("text").mapInArrow(_entries(shingle, t, levels), "token long, cls long, n int, pos int"), "entries")
