@@ -59,25 +59,64 @@ def words_of(col: pa.Array) -> pa.ListArray:
     return split
 
 
+class Pieces:
+    """The vocabulary's pieces by length, as sorted polynomial hashes of their characters; a bit table in front
+    of each keeps most substrings from the search."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, vocabulary: list[str]):
+        self.vocabulary = vocabulary
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        found: dict[int, list[tuple[int, int]]] = {}
+        for i, text in enumerate(vocabulary):
+            h = 0
+            for c in map(ord, text):
+                h = (h * int(self.BASE) + c + 1) % (1 << 64)
+            found.setdefault(len(text), []).append((h, i))
+        for n, rows in found.items():
+            rows.sort()
+            keys = np.array([h for h, _ in rows], np.uint64)
+            front = np.zeros(1 << 16, bool)
+            front[(keys >> np.uint64(48)).astype(np.int64)] = True
+            self.by_length[n] = keys, np.array([i for _, i in rows], np.int64), front
+
+    def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(word, from, to, piece) of every piece in the marked words; piece -1 for a character that is none."""
+        codes = np.frombuffer(("".join(_START + w for w in words)).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        size = np.array([len(w) + 1 for w in words], np.int64)
+        word = np.repeat(np.arange(len(words)), size)
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
+        room = np.repeat(size, size) - place
+        out: list[tuple[np.ndarray, ...]] = []
+        at = np.arange(len(codes))
+        h = np.zeros(len(codes), np.uint64)
+        for n in range(1, max(self.by_length, default=1) + 1):
+            fits = room[at] >= n
+            at, h = at[fits], h[fits] * self.BASE + codes[at[fits] + n - 1]
+            if not len(at):
+                break
+            keys, index, front = self.by_length.get(n, (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1 << 16, bool)))
+            hit = np.flatnonzero(front[(h >> np.uint64(48)).astype(np.int64)])
+            slot = np.minimum(np.searchsorted(keys, h[hit]), max(len(keys) - 1, 0))
+            ok = keys[slot] == h[hit] if len(keys) else np.zeros(0, bool)
+            hit, piece = hit[ok], index[slot[ok]] if len(keys) else np.zeros(0, np.int64)
+            if n == 1:
+                whole = np.full(len(at), -1, np.int64)
+                whole[hit] = piece
+                hit, piece = np.arange(len(at)), whole
+            own = at[hit]
+            out.append((word[own], place[own], place[own] + n, piece))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
+
+
 class Lattice:
     """The pieces inside a list of words: edges (word, from, to, piece), piece -1 for an unknown character."""
 
-    def __init__(self, words: list[str], rank: dict[str, int], longest: int):
-        word, lo, hi, piece = [], [], [], []
-        get = rank.get
-        for w, text in enumerate(words):
-            text = _START + text
-            n = len(text)
-            for a in range(n):
-                single = get(text[a], -1)
-                word.append(w); lo.append(a); hi.append(a + 1); piece.append(single)  # noqa: E702
-                for b in range(a + 2, min(n, a + longest) + 1):
-                    p = get(text[a:b], -1)
-                    if p >= 0:
-                        word.append(w); lo.append(a); hi.append(b); piece.append(p)  # noqa: E702
+    def __init__(self, words: list[str], pieces: Pieces):
         self.n = len(words)
         self.ends = np.array([len(x) + 1 for x in words], np.int64)
-        self.word, self.lo, self.hi, self.piece = (np.array(x, np.int64) for x in (word, lo, hi, piece))
+        self.word, self.lo, self.hi, self.piece = pieces.edges(words)
         self.order = np.argsort(self.hi, kind="stable")
         self.cuts = np.searchsorted(self.hi[self.order], np.arange(int(self.ends.max(initial=0)) + 2))
 
@@ -135,7 +174,7 @@ class Lattice:
         return out
 
 
-def word_scores(words: list[str], prob: np.ndarray, rank: dict[str, int], longest: int) -> np.ndarray:
+def word_scores(words: list[str], prob: np.ndarray, pieces: Pieces) -> np.ndarray:
     """Log probabilities (word, language); words of like length are handled together, in bounded groups."""
     out = np.zeros((len(words), prob.shape[1]))
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
@@ -145,7 +184,7 @@ def word_scores(words: list[str], prob: np.ndarray, rank: dict[str, int], longes
         while to > at + 1 and len(words[order[to - 1]]) > 2 * len(words[order[at]]) + 8:
             to = (at + to + 1) // 2
         own = order[at:to]
-        out[own] = Lattice([words[i] for i in own], rank, longest).score(prob)
+        out[own] = Lattice([words[i] for i in own], pieces).score(prob)
         at = to
     return out
 
@@ -155,8 +194,7 @@ class Model:
 
     def __init__(self, langs: list[str], vocabulary: list[str], prob: np.ndarray):
         self.langs, self.prob = langs, prob
-        self.rank = {p: i for i, p in enumerate(vocabulary)}
-        self.longest = max(map(len, vocabulary), default=1)
+        self.pieces = Pieces(vocabulary)
         self.known: dict[str, np.ndarray] = {}
 
     def predict(self, col: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -176,7 +214,7 @@ class Model:
                     new.append(i)
                 else:
                     score[i] = got
-            fresh = word_scores([names[i] for i in new], self.prob, self.rank, self.longest)
+            fresh = word_scores([names[i] for i in new], self.prob, self.pieces)
             score[new] = fresh
             if len(self.known) < KEPT_WORDS:
                 self.known.update((names[i], fresh[j]) for j, i in enumerate(new[:KEPT_WORDS - len(self.known)]))
@@ -237,7 +275,7 @@ def train(labelled: DataFrame, vocabulary: list[str] | None = None, docs_per_lan
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             langs, vocabulary, prob = held.value
             at = {x: i for i, x in enumerate(langs)}
-            rank, longest = {p: i for i, p in enumerate(vocabulary)}, max(map(len, vocabulary))
+            known = Pieces(vocabulary)
             total = np.zeros_like(prob)
             for batch in batches:
                 for lo in range(0, len(batch), 2000):
@@ -250,7 +288,7 @@ def train(labelled: DataFrame, vocabulary: list[str] | None = None, docs_per_lan
                         weight = np.zeros((len(own), len(langs)))
                         for j, i in enumerate(own):
                             weight[j, at[lang[i]]] = n[i]
-                        total += Lattice([names[i] for i in own], rank, longest).expected(prob, weight)
+                        total += Lattice([names[i] for i in own], known).expected(prob, weight)
             p, k = np.nonzero(total[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[p, k])], names=["piece", "lang", "uses"])
 
@@ -264,7 +302,7 @@ def train(labelled: DataFrame, vocabulary: list[str] | None = None, docs_per_lan
 def predict_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, lang_pred, score)`` per row; ``und`` with score 0 where text is null or holds no letter."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    held = docs.sparkSession.sparkContext.broadcast((model.langs, list(model.rank), model.prob))
+    held = docs.sparkSession.sparkContext.broadcast((model.langs, model.pieces.vocabulary, model.prob))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*held.value)
@@ -278,7 +316,7 @@ def predict_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows, all columns, whose language is determined with at least ``min_score``; rows are not moved."""
-    held = docs.sparkSession.sparkContext.broadcast((model.langs, list(model.rank), model.prob))
+    held = docs.sparkSession.sparkContext.broadcast((model.langs, model.pieces.vocabulary, model.prob))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*held.value)

@@ -4,7 +4,7 @@ import math
 import numpy as np
 import pyarrow as pa
 
-from quarry.llm.language_id import UNKNOWN, Lattice, Model, identify_languages, keep_identified, pieces, train, word_scores, words_of
+from quarry.llm.language_id import UNKNOWN, Lattice, Model, Pieces, identify_languages, keep_identified, pieces, train, word_scores, words_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -28,8 +28,8 @@ def test_forward_sums_all_segmentations_and_expected_uses_agree():
     rank = {p: i for i, p in enumerate(vocab)}
     prob = np.vstack([np.linspace(0.05, 0.2, len(vocab))[:, None], [[UNKNOWN]]])
     for word in ("a", "ab", "abba", "bxab", "abbabba"):
-        assert math.isclose(math.exp(word_scores([word], prob, rank, 3)[0, 0]), by_hand(word, prob, rank), rel_tol=1e-9)
-    uses = Lattice(["abba"], rank, 3).expected(prob, np.ones((1, 1)))[:-1, 0]
+        assert math.isclose(math.exp(word_scores([word], prob, Pieces(vocab))[0, 0]), by_hand(word, prob, rank), rel_tol=1e-9)
+    uses = Lattice(["abba"], Pieces(vocab)).expected(prob, np.ones((1, 1)))[:-1, 0]
     for i, p in enumerate(vocab):                # d log P / d log prob is the expected number of uses
         up = prob.copy()
         up[i] *= 1 + 1e-6
@@ -40,7 +40,7 @@ def test_forward_sums_all_segmentations_and_expected_uses_agree():
 def test_very_long_words_do_not_underflow():
     vocab = ["▁", "a"]
     prob = np.array([[0.5], [0.01], [UNKNOWN]])
-    got = word_scores(["a" * 5000, "q" * 300], prob, {"▁": 0, "a": 1}, 1)[:, 0]
+    got = word_scores(["a" * 5000, "q" * 300], prob, Pieces(vocab))[:, 0]
     assert np.allclose(got, [math.log(0.5) + 5000 * math.log(0.01), math.log(0.5) + 300 * math.log(UNKNOWN)])
 
 
