@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import shared_dir
 from quarry.llm.repair import Shard, compress
-from quarry.llm.tokens import WordTokenizer
+from quarry.llm.tokens import ENCODE_BYTES, WordTokenizer
 from quarry.llm.words import slices
 
 END = 1
@@ -50,7 +50,7 @@ def _encode(path: str | None, end: int, shard_ids: int):
 
         total = 0
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, size=ENCODE_BYTES):
                 flat, bounds = tokenizer.encode(some.column("text"))
                 counts = np.diff(bounds) + 1
                 ids = np.insert(flat, bounds[1:], end)

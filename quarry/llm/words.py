@@ -59,14 +59,14 @@ def window_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return (total[ends] - total[starts]) * down[starts]
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of at most SLICE_BYTES of text (a longer text alone)."""
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of at most ``size`` bytes of text (a longer text alone)."""
     col = batch.column(text)
     sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, at = np.cumsum(sizes), 0
     while at < len(sizes):
         done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
         yield batch.slice(at, to - at)
         at = to
 
