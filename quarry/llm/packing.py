@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.tokens import WordTokenizer
+from quarry.llm.tokens import ENCODE_BYTES, WordTokenizer
 from quarry.llm.words import slices
 
 SIZE = 4096
@@ -156,7 +156,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
         tokenizer = WordTokenizer(vocabulary)
         packer = Packer(sentence_enders(tokenizer), TaskContext.get().partitionId() << 40, size)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=ENCODE_BYTES):
                 flat, bounds = tokenizer.encode(part.column("text"))
                 out = packer.add(part.column("id"), np.insert(flat, bounds[1:], end), np.diff(bounds) + 1)
                 if out is not None:
