@@ -85,7 +85,7 @@ class WordTokenizer:
         for i, x in enumerate(parts):
             if x.isalpha():
                 if x.isascii():
-                    out[i] = array("I", [t.id for t in merge(x)]).tobytes()
+                    out[i] = array("I", [t.id for t in merge(x.lower())]).tobytes()
                     continue
                 if max(x) < "\u0180" and "\u0130" not in x:
                     out[i] = array("I", [t.id for t in merge(x.lower().encode().decode("latin-1").translate(spelt))]).tobytes()
