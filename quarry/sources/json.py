@@ -6,23 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+_STRICT = {"mode": "FAILFAST"}
+
+
 def json_map(col: Column | str) -> Column:
-    """A7 ``getMap``: a JSON object as map<string,string>."""
-    return F.from_json(col, "map<string,string>")
+    """A7 ``getMap``: a JSON object as map<string,string>; broken JSON raises, null stays null."""
+    return F.from_json(col, "map<string,string>", _STRICT)
 
 
-def json_records(df: DataFrame, json_col: str, user_col: str | None = None,
-                 count_field: str = "retweets") -> DataFrame:
-    """A JSON array of {user,text,<count_field>} objects → one row per record.
+def json_records(df: DataFrame, json_col: str, user_col: str, count_field: str = "retweets") -> DataFrame:
+    """A JSON array of {text, <count_field>} objects → one row per record, its user from ``user_col``.
 
     The count is read as double and truncated to int, as the reference
-    reads ``retweets`` / ``retweet_count`` numbers.
+    reads ``retweets`` / ``retweet_count`` numbers.  Broken JSON, a record without text or count and a null
+    array raise.
     """
-    schema = f"array<struct<user:string,text:string,{count_field}:double>>"
-    keep = [user_col] if user_col else []
-    out = df.select(*keep, F.inline(F.from_json(F.col(json_col), schema)))
-    cols = [F.col(user_col).alias("source")] if user_col else []
-    return out.select(*cols, "user", "text", F.col(count_field).cast("int").alias("retweets"))
+    c = F.col(json_col)
+    items = F.from_json(c, f"array<struct<text:string,{count_field}:double>>", _STRICT)
+    checked = F.when(items.isNull(), F.raise_error(F.concat(F.lit("no JSON array: "), F.coalesce(F.substring(c, 1, 80), F.lit("null"))))).otherwise(items)
+    out = df.select(F.col(user_col).alias("user"), F.inline(checked))
+
+    def need(name: str) -> Column:
+        return F.when(F.col(name).isNull(), F.raise_error(F.lit(f"record without {name}"))).otherwise(F.col(name))
+
+    return out.select("user", need("text").alias("text"), need(count_field).cast("int").alias("retweets"))
 
 
 def records_to_json(df: DataFrame, cols: list[str], alias: str = "json") -> DataFrame:
@@ -35,7 +42,7 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).json(path)
 
 
-def records_to_course_lines(df: DataFrame, alias: str = "line") -> DataFrame:
+def records_to_lines(df: DataFrame, alias: str = "line") -> DataFrame:
     """A11 in the reference's own text form, one record per line.
 
     ``{ "user": "u", "text": "t", "retweets": N.0 },`` — only ``"`` in the
@@ -49,6 +56,6 @@ def records_to_course_lines(df: DataFrame, alias: str = "line") -> DataFrame:
         F.lit('", "retweets": '), F.col("retweets").cast("long").cast("string"), F.lit(".0 },")).alias(alias))
 
 
-def write_course_lines(df: DataFrame, path: str, mode: str = "error") -> None:
-    """Sink for ``records_to_course_lines``: plain text, one record per line."""
-    records_to_course_lines(df).write.mode(mode).text(path)
+def write_lines(df: DataFrame, path: str, mode: str = "error") -> None:
+    """Sink for ``records_to_lines``: plain text, one record per line."""
+    records_to_lines(df).write.mode(mode).text(path)

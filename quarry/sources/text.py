@@ -41,9 +41,14 @@ def parse_articles(lines: DataFrame, line: str = "value",
     )
 
 
-def _strict_int(c: Column, what: str) -> Column:
-    """Integer field that raises on empty or malformed text, whatever the session's ANSI setting."""
-    v = c.try_cast("long")
+def _whole(c: Column, kind: str) -> Column:
+    """The number, or null where the text is no plain integer of that size (blanks and overflow are not)."""
+    return F.when(c.rlike("^[+-]?[0-9]+$"), c.try_cast(kind))
+
+
+def _strict_int(c: Column, what: str, kind: str = "long") -> Column:
+    """Integer field that raises on empty, malformed, padded or oversized text, whatever the session's ANSI setting."""
+    v = _whole(c, kind)
     return F.when(v.isNull(), F.raise_error(F.concat(F.lit(f"bad {what}: "), F.coalesce(c, F.lit("null"))))
                   ).otherwise(v)
 
@@ -63,17 +68,17 @@ def parse_postings(lines: DataFrame, line: str = "value") -> DataFrame:
     arr = F.split(F.expr(f"trim(TRAILING ',' FROM `{line}`)"), ",")
 
     def opt(c: Column) -> Column:
-        v = c.try_cast("long")
+        v = _whole(c, "long")
         bad = F.raise_error(F.concat(F.lit("bad integer field: "), c))
         return F.when(c.isNull() | (c == ""), F.lit(None).cast("long")).when(v.isNull(), bad).otherwise(v)
 
     a = F.col("_a")
     fields = F.struct(
-        _strict_int(F.get(a, 0), "type").cast("int").alias("type"),
+        _strict_int(F.get(a, 0), "type", "int").alias("type"),
         _strict_int(F.get(a, 1), "id").alias("id"),
         opt(F.get(a, 2)).alias("accepted"),
         opt(F.get(a, 3)).alias("parent_id"),
-        _strict_int(F.get(a, 4), "score").cast("int").alias("score"),
+        _strict_int(F.get(a, 4), "score", "int").alias("score"),
         F.get(a, 5).alias("tags"),
     )
     return lines.select(arr.alias("_a")).select(F.inline(F.array(fields)))
@@ -88,15 +93,22 @@ def wide_schema(columns: list[str]) -> T.StructType:
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
-    """CSV whose first line is the header; no quoting; bad numbers raise.
+    """CSV files whose first line is the header; no quoting.
 
     The header is read with a one-line job; the body is parsed by the CSV
-    source with an explicit schema (no inference pass over the data).
+    source with an explicit schema (no inference pass over the data).  A file whose header differs from the
+    first one's, a bad number and an empty number raise; an empty text is the empty string.
     """
     header = spark.read.text(path).first()
     if header is None:
         raise ValueError(f"{path}: empty file")
     columns = header[0].split(",")
-    df = (spark.read.option("header", True).option("quote", "\u0000")
+    df = (spark.read.option("header", True).option("quote", "\u0000").option("enforceSchema", False)
           .option("mode", "FAILFAST").schema(wide_schema(columns)).csv(path))
-    return columns, df
+
+    def need(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return F.when(c.isNull(), F.raise_error(F.lit(f"empty number in column {name}"))).otherwise(c).alias(name)
+
+    first = F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")).alias(columns[0])
+    return columns, df.select(first, *[need(c) for c in columns[1:]])

@@ -52,11 +52,11 @@ def test_wide_csv_header_schema(spark):
 
 
 def test_json_records_roundtrip(spark):
-    data = [{"user": "gizmodo", "text": "a \"quoted\"\nline", "retweets": 51.0},
-            {"user": "x", "text": "y", "retweets": 7.9}]
-    df = spark.createDataFrame([("src", json.dumps(data))], "source string, json string")
-    out = rows(sj.json_records(df, "json", user_col="source"))
-    assert out == [("src", "gizmodo", "a \"quoted\"\nline", 51), ("src", "x", "y", 7)]
+    data = [{"user": "ignored", "text": "a \"quoted\"\nline", "retweets": 51.0},
+            {"text": "y", "retweets": 7.9}]
+    df = spark.createDataFrame([("src", json.dumps(data)), ("none", "[]")], "source string, json string")
+    out = rows(sj.json_records(df, "json", "source"))
+    assert out == [("src", "a \"quoted\"\nline", 51), ("src", "y", 7)]
     back = rows(sj.records_to_json(spark.createDataFrame(
         [("u", 't"1', 3)], "user string, text string, retweets int"), ["user", "text", "retweets"]))
     assert json.loads(back[0][0]) == {"user": "u", "text": 't"1', "retweets": 3}
@@ -77,3 +77,54 @@ def test_parse_postings_strict_without_ansi(spark):
         assert rows(st.parse_postings(ok)) == [(2, 7, None, 3, -1, None)]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("text", ['[{"text": "a", "retweets": 1', '[{"retweets": 1}]', '[{"text": "a"}]', '[{"text": null, "retweets": 2}]', "nonsense", None])
+def test_broken_json_and_missing_fields_raise(spark, ansi, text):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([("u", text)], "source string, json string")
+        with pytest.raises(Exception):
+            sj.json_records(df, "json", "source").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_broken_json_object_raises_and_null_stays(spark):
+    with pytest.raises(Exception):
+        spark.createDataFrame([("{broken",)], "props string").select(sj.json_map("props")).collect()
+    assert rows(spark.createDataFrame([(None,)], "props string").select(sj.json_map("props").alias("m"))) == [(None,)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("line", ["1, 7,,,5,Java", "1,7 ,,,5,Java", "4294967297,7,,,5,Java", "1,7,,,99999999999,Java", "1,99999999999999999999,,,5,Java",
+                                  "1,7,x,,5,Java", "1,7,, 8,5,Java", ",7,,,5,Java", "1,7"])
+def test_bad_integers_raise(spark, ansi, line):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception):
+            st.parse_postings(spark.createDataFrame([(line,)], "value string")).collect()
+        assert rows(st.parse_postings(spark.createDataFrame([("+1,-7,,,5,Java",)], "value string")), "type", "id") == [(1, -7)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_csv_empty_numbers_and_swapped_headers_raise(spark, ansi, tmp_path):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        (tmp_path / "a").mkdir()
+        (tmp_path / "a" / "x.csv").write_text("id,t1,t2\nr1,1,2\n,3,4\n")
+        assert sorted(rows(st.read_wide_csv(spark, str(tmp_path / "a"))[1])) == [("", 3.0, 4.0), ("r1", 1.0, 2.0)]
+        (tmp_path / "a" / "y.csv").write_text("id,t2,t1\nr2,1,2\n")
+        with pytest.raises(Exception):
+            st.read_wide_csv(spark, str(tmp_path / "a"))[1].collect()
+        (tmp_path / "b.csv").write_text("id,t1,t2\nr1,,2\n")
+        with pytest.raises(Exception, match="empty number"):
+            st.read_wide_csv(spark, str(tmp_path / "b.csv"))[1].collect()
+        (tmp_path / "c.csv").write_text("id,t1\nr1,x\n")
+        with pytest.raises(Exception):
+            st.read_wide_csv(spark, str(tmp_path / "c.csv"))[1].collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
