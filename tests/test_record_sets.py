@@ -1,10 +1,12 @@
-"""Record sets (FIXTURES §1.4): filter, union with clashes, ordering, clash rules."""
+"""Record sets: filter, union with clashes, ordering, clash rules."""
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from quarry.constants import SITES
 from quarry.operators import record_sets as rs
+from quarry.session import plan_text
 
 SCHEMA = "user string, text string, retweets int, seq long"
 
@@ -41,6 +43,42 @@ def test_descending_head(sets):
     assert rows(rs.most_retweeted(sets["set5"]), "user") == [("a",)]
 
 
+def test_list_head_tail_and_emptiness(sets):
+    assert rows(rs.head(sets["set5"]), "user") == [("a",)]
+    assert rows(rs.tail(sets["set5"]), "user") == [("b",), ("d",), ("c",)]
+    assert rows(rs.is_empty(sets["set5"])) == [(False,)] and rows(rs.is_empty(sets["empty"])) == [(True,)]
+    with pytest.raises(Exception):
+        rs.head(sets["empty"]).collect()
+
+
+def test_members_are_small_and_never_join_on_text(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = mk(spark, [("a", "t1", 1), ("b", "t1", 2), ("c", None, 3), ("d", None, 4)])
+        m = rs.members(r)
+        assert m.columns == ["digest", "seq"] and sorted(rows(rs.fetch(m, r), "user")) == [("a",), ("c",)]
+        for df in (rs.to_set(r), rs.fetch(rs.union_members(m, m), r), rs.remove(rs.to_set(r), r), rs.contains(m, r), rs.union(rs.to_set(r), rs.to_set(r))):
+            plan = plan_text(df, "simple")
+            assert "hashpartitioning(text" not in plan and "Sort [text" not in plan
+        assert "Join" not in plan_text(rs.size(m), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_named_sources_in_list_order(spark):
+    frames = [mk(spark, [(f"u{i}", "same text", i)]).withColumn("seq", F.col("seq") + i) for i in range(7)]
+    named = rs.named_sources(SITES, frames)
+    assert sorted(rows(named.select("source", rs.source_rank("source").alias("r")))) == sorted((s, i) for i, s in enumerate(SITES))
+    assert rows(rs.by_site(named, SITES[3]), "user") == [("u3",)]
+    assert rows(rs.union_all(named, rs.source_rank("source")), "user") == [("u6",)]
+    with pytest.raises(ValueError):
+        rs.named_sources(SITES, frames[:2])
+    with pytest.raises(KeyError):
+        rs.by_site(named, "nowhere")
+    with pytest.raises(Exception):
+        named.withColumn("source", F.lit("nowhere")).select(rs.source_rank("source")).collect()
+
+
 def test_most_retweeted_empty_raises(sets):
     with pytest.raises(Exception):
         rs.most_retweeted(sets["empty"]).collect()
@@ -71,7 +109,7 @@ def test_contains_remove_render_topic(spark, sets):
 def test_trending_with_reference_topics(spark):
     data = [("gizmodo", "new Galaxy phone", 5), ("CNET", "the iPad review", 9),
             ("mashable", "nothing relevant", 50), ("engadget", "android vs iOS", 7)]
-    sites = {u: i for i, u in enumerate(rs.SITES)}
+    sites = {u: i for i, u in enumerate(SITES)}
     df = spark.createDataFrame([(u, t, n, i, sites[u]) for i, (u, t, n) in enumerate(data)],
                                SCHEMA + ", src int")
     allsets = rs.union_all(df, F.col("src"))
