@@ -64,18 +64,27 @@ def subtract_signature(x: Column | str, y: Column | str) -> Column:
     return F.array_join(F.transform(distinct, keep), "")
 
 
-def sub_multisets(sig: Column | str) -> Column:
-    """Every sub-multiset of a signature, the empty one included (Π(count+1) items)."""
+def letter_counts(sig: Column | str) -> Column:
+    """The distinct letters of a signature with their counts, as an array of (c, n)."""
     s = _c(sig)
-    distinct = F.array_distinct(F.array_sort(characters(s)))
-    start = F.array(F.lit("")).cast("array<string>")
+    return F.transform(F.array_distinct(F.array_sort(characters(s))), lambda c: F.struct(c.alias("c"), letter_count(s, c).cast("long").alias("n")))
+
+
+def sub_multiset_count(counts: Column | str) -> Column:
+    """How many sub-multisets an array of (c, n) has: the product of n + 1 (beyond 64 bits it is an error)."""
+    return F.aggregate(_c(counts), F.lit(1).cast("long"), lambda acc, x: acc * (x["n"] + 1))
+
+
+def sub_multiset(counts: Column | str, number: Column | str) -> Column:
+    """The sub-multiset of that number (from 0): its digits, in base n + 1 letter by letter, are the counts."""
+    start = F.struct(_c(number).cast("long").alias("rest"), F.lit("").alias("out"))
 
-    def grow(acc: Column, c: Column) -> Column:
-        return F.flatten(F.transform(
-            acc, lambda prefix: F.transform(F.sequence(F.lit(0), letter_count(s, c)),
-                                            lambda j: F.concat(prefix, F.repeat(c, j)))))
+    def digit(acc: Column, x: Column) -> Column:
+        base = x["n"] + 1
+        d = acc["rest"] % base
+        return F.struct(F.call_function("div", acc["rest"], base).alias("rest"), F.concat(acc["out"], F.repeat(x["c"], d.cast("int"))).alias("out"))
 
-    return F.aggregate(distinct, start, grow)
+    return F.aggregate(_c(counts), start, digit, lambda acc: acc["out"])
 
 
 def balanced(text: Column | str) -> Column:

@@ -1,4 +1,6 @@
-"""Anagram cases (FIXTURES §1.5) with the fixture dictionary."""
+"""Anagram cases on a dictionary of its own, and a brute-force model."""
+
+import itertools
 
 import pytest
 from conftest import rows
@@ -7,11 +9,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import occurrences, signature, subtract_signature
 from quarry.operators import signatures as sg
 
-DICT = "Rex Lin nil Zulu null Uzi rulez Linux married admirer parley pearly player replay ate eat tea".split()
-GOLDEN = ["Rex Lin Zulu", "nil Zulu Rex", "Rex nil Zulu", "Zulu Rex Lin", "null Uzi Rex", "Rex Zulu Lin",
-          "Uzi null Rex", "Rex null Uzi", "null Rex Uzi", "Lin Rex Zulu", "nil Rex Zulu", "Rex Uzi null",
-          "Rex Zulu nil", "Zulu Rex nil", "Zulu Lin Rex", "Lin Zulu Rex", "Uzi Rex null", "Zulu nil Rex",
-          "rulez Linux", "Linux rulez"]
+DICT = "stone notes onset tones ten net one eon so to On sent Nest café face".split()
 
 
 @pytest.fixture(scope="module")
@@ -24,21 +22,21 @@ def one(spark, expr):
 
 
 def test_occurrences(spark):
-    assert one(spark, occurrences(F.lit("abcd"))) == "a1b1c1d1"
-    assert one(spark, occurrences(signature(F.lit("Robert")))) == "b1e1o1r2t1"
-    assert one(spark, signature(F.lit("Robert"))) == "beorrt"
+    assert one(spark, occurrences(F.lit("dabc"))) == "a1b1c1d1"
+    assert one(spark, occurrences(signature(F.lit("Letter")))) == "e2l1r1t2"
+    assert one(spark, signature(F.lit("Letter"))) == "eelrtt"
 
 
 def test_dictionary_and_word_anagrams(spark, words):
     d = sg.dictionary(words)
-    assert rows(d.filter("sig = 'aet'"), "words") == [("ate eat tea",)]
-    q = spark.createDataFrame([("married",), ("player",), ("zzz",)], "word string")
-    got = dict(rows(sg.word_anagrams(q, d), "word", "anagrams"))
-    assert got == {"married": "admirer married", "player": "parley pearly player replay", "zzz": ""}
+    assert sorted(rows(d.filter("sig = 'ent'"), "word")) == [("net",), ("ten",)]
+    q = spark.createDataFrame([("onset",), ("ÉFAC",), ("zzz",), ("onset",)], "word string")
+    got = sorted(rows(sg.word_anagrams(q, d), "word", "anagram"))
+    assert got == [("onset", w) for w in ("notes", "onset", "stone", "tones")] + [("zzz", ""), ("ÉFAC", "café")]
 
 
 def test_subtract(spark):
-    assert one(spark, subtract_signature(signature(F.lit("lard")), F.lit("r"))) == "adl"
+    assert one(spark, subtract_signature(signature(F.lit("stone")), F.lit("t"))) == "enos"
     assert one(spark, subtract_signature(F.lit("aab"), F.lit("aaa"))) == "aab"   # y holds more: x kept
 
 
@@ -51,10 +49,22 @@ def test_combinations(spark):
 
 
 def test_sentence_anagrams(spark, words):
-    sents = spark.createDataFrame([("Linux rulez",), ("",)], "sentence string")
+    sents = spark.createDataFrame([("Ten so",), ("",), ("xyz",), ("one one",)], "sentence string")
     out = rows(sg.sentence_anagrams(sents, words))
-    assert sorted(a for s, a in out if s == "Linux rulez") == sorted(GOLDEN)
-    assert [a for s, a in out if s == ""] == [""]
+    for s in ("Ten so", "", "xyz", "one one"):
+        assert sorted(a for x, a in out if x == s) == _brute_anagrams(s, DICT)
+    assert ("Ten so", "notes") in out and ("", "") in out
+
+
+def test_a_long_sentence_finishes(spark, words):
+    sents = spark.createDataFrame([("stonestonestonesentqwvxj",), ("tonestonenotesonsetstones",)], "sentence string")
+    assert len("tonestonenotesonsetstones") == 25
+    d = words.where("length(word) = 5")
+    out = rows(sg.sentence_anagrams(sents, d))
+    assert not [a for s, a in out if s.startswith("stonestone")]
+    five = spark.createDataFrame([("stone",), ("s",)], "word string")
+    got = rows(sg.sentence_anagrams(sents.where("sentence like 'tones%'"), five))
+    assert got == [] or all(sorted(a.replace(" ", "")) == sorted("tonestonenotesonsetstones") for _, a in got)
 
 
 def _brute_anagrams(sentence, dictionary):
@@ -99,12 +109,23 @@ def test_sentence_anagrams_match_brute_force(spark):
         assert sorted(a for x, a in got if x == s) == _brute_anagrams(s, dictionary)
 
 
-def test_large_anagram_class_is_chunked(spark):
-    import itertools
+def test_a_large_class_is_one_row_per_word(spark):
     perms = sorted({"".join(p) for p in itertools.permutations("abcdef")})       # 720 words, one class
     words = spark.createDataFrame([(w,) for w in perms], "word string")
-    d = rows(sg.dictionary(words, chunk=100), "chunk", "n_words", "words")
-    assert len(d) > 1 and all(n == 720 for _, n, _ in d)
-    listed = sorted(w for _, _, ws in d for w in ws.split(" "))
-    assert listed == perms
-    assert len({c for c, _, _ in d}) == len(d)
+    assert sorted(rows(sg.dictionary(words))) == [("abcdef", w) for w in perms]
+
+
+def test_states_are_unique_and_held_frames_are_released(spark, words):
+    sents = sg.sentence_signature(spark.createDataFrame([("one one",), ("eon one",), ("so to",)], "sentence string"))
+    levels = sg.anagram_graph(sents, sg.word_signatures(words))
+    for level in levels:
+        assert level.count() == level.select("rem", "sig").distinct().count()
+    for level in levels:
+        level.unpersist()
+
+
+def test_sub_multisets_of_a_long_signature(spark):
+    df = spark.createDataFrame([("aabbbcdddd",)], "sig string")
+    subs = [r[0] for r in rows(sg.combinations(df), "sub")]
+    assert len(subs) == len(set(subs)) == 3 * 4 * 2 * 5
+    assert spark.range(1).select(F.lit("abcdefghijklmnopqrst").alias("sig")).transform(sg.combinations).count() == 2 ** 20
