@@ -6,7 +6,7 @@ truncation toward zero; a centre with no points keeps its mean; stop when
 the summed squared shift is below eta, or after max_iter steps.
 
 Scale plan: points are first reduced to distinct (x, y) with a weight (a
-partial aggregate, skew-proof); that table is checkpointed once.  Each
+partial aggregate, skew-proof); that table is persisted while it is used.  Each
 iteration is one aggregate job whose centres are literals in the plan, so
 nearest-centre search is a projection (no join, no nested loop) and the
 plan never grows; only the k new centres come back to the driver.
@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.constants import ETA, MAX_ITERATIONS
-from quarry.session import cut_lineage
 
 Means = list[tuple[int, int]]
 
@@ -52,10 +51,9 @@ def nearest(x: str, y: str, means: Means) -> Column:
                   f"c -> named_struct('d', {dx} * {dx} + {dy} * {dy}, 'i', c.i))).i")
 
 
-def weighted_points(vectors: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Distinct (x, y) with weight w — exact for integer means, and tiny."""
-    pts = vectors.groupBy("x", "y").agg(F.count("*").alias("w"))
-    return cut_lineage(pts) if checkpoint else pts.persist()
+def weighted_points(vectors: DataFrame) -> DataFrame:
+    """Distinct (x, y) with weight w — exact for integer means, and tiny.  Persisted: the caller releases it."""
+    return vectors.groupBy("x", "y").agg(F.count("*").alias("w")).persist()
 
 
 def assign(vectors: DataFrame, means: Means) -> DataFrame:
@@ -102,8 +100,10 @@ class FitResult:
     trace: list[tuple[int, int, int, int, int, int, float]]  # iter, i, ox, oy, nx, ny, d
 
 
-def fit(points: DataFrame, means: Means, eta: float = ETA, max_iter: int = MAX_ITERATIONS) -> FitResult:
-    """Iterate until the shift is below eta or max_iter steps were made."""
+def fit(points: DataFrame, means: Means, eta: float = ETA, max_iter: int = MAX_ITERATIONS, strict: bool = False) -> FitResult:
+    """Iterate until the shift is below eta or max_iter steps were made (the reference's rule).
+
+    The result says which of the two it was; when strict, centres that have not converged raise."""
     trace = []
     it = 1
     while True:
@@ -114,10 +114,17 @@ def fit(points: DataFrame, means: Means, eta: float = ETA, max_iter: int = MAX_I
         if d < eta:
             return FitResult(new, it, True, trace)
         if it >= max_iter:
+            if strict:
+                raise RuntimeError(f"k-means has not converged after {it} iterations (shift {d})")
             return FitResult(new, it, False, trace)
         means, it = new, it + 1
 
 
+def with_state(df: DataFrame, res: FitResult) -> DataFrame:
+    """The frame with how the fit ended: ``iterations`` and ``converged``."""
+    return df.withColumn("iterations", F.lit(res.iterations)).withColumn("converged", F.lit(res.converged))
+
+
 def trace_frame(spark: SparkSession, res: FitResult) -> DataFrame:
     return spark.createDataFrame(
         res.trace, "iter int, i int, old_x int, old_y int, new_x int, new_y int, shift double")

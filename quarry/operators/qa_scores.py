@@ -19,6 +19,18 @@ def questions(postings: DataFrame) -> DataFrame:
     return postings.filter(F.col("type") == 1).select(F.col("id").alias("qid"), "tags")
 
 
+def distinct_questions(postings: DataFrame, langs: list[str] = LANGUAGES) -> DataFrame:
+    """Questions with one row per id.  An id that stands on several rows takes its least tag in text order among
+    the languages; an unknown or null tag only if it has no other (then the least, null last)."""
+    unknown = F.coalesce(F.array_position(_langs(langs), F.col("tags")), F.lit(0)) == 0
+    best = F.min(F.struct(unknown.alias("unknown"), F.col("tags").isNull().alias("none"), F.col("tags").alias("tags")))
+    return questions(postings).groupBy("qid").agg(best.alias("_b")).select("qid", F.col("_b.tags").alias("tags"))
+
+
+def _langs(langs: list[str]):
+    return F.array(*[F.lit(x) for x in langs])
+
+
 def answers(postings: DataFrame, strict: bool = True) -> DataFrame:
     """Type-2 postings keyed by parent id; a missing parent raises when strict."""
     a = postings.filter(F.col("type") == 2)
@@ -50,14 +62,11 @@ def qa_grouped(postings: DataFrame, strict: bool = True) -> DataFrame:
         "qid", "tags", "n_answers", "max_score", "min_score")
 
 
-def scored(postings: DataFrame, strict: bool = True) -> DataFrame:
-    """Highest answer score per answered question, never below 0.
-
-    Question ids are keys of the posting dump (one question per id), so the
-    per-id answer statistics join 1:1 — no second aggregate over questions.
-    """
+def scored(postings: DataFrame, strict: bool = True, langs: list[str] = LANGUAGES) -> DataFrame:
+    """Highest answer score per answered question, never below 0; one row per question id (the rule for
+    repeated ids is ``distinct_questions``').  Both sides are aggregates by id, so the join moves nothing more."""
     stats = _answer_stats(postings, strict)
-    return questions(postings).join(stats, "qid").select(
+    return distinct_questions(postings, langs).join(stats, "qid").select(
         "qid", "tags", F.greatest(F.col("max_score"), F.lit(0)).alias("high_score"))
 
 
@@ -65,10 +74,10 @@ def vectors(scored_df: DataFrame, langs: list[str] = LANGUAGES, spread: int = LA
             strict: bool = True) -> DataFrame:
     """(qid, x = first matching language index × spread, y = high score).
 
-    The tag must equal a language exactly; no match raises when strict and
-    drops the row otherwise.
+    The tag must equal a language exactly; no match, also a null tag, raises when strict and drops the row
+    otherwise.
     """
-    pos = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("tags"))  # 1-based, 0 = none
+    pos = F.coalesce(F.array_position(_langs(langs), F.col("tags")), F.lit(0))  # 1-based, 0 = none
     if strict:
         idx = F.when(pos > 0, pos - 1).otherwise(
             F.raise_error(F.concat(F.lit("unknown tag: "), F.coalesce(F.col("tags"), F.lit("null")))))
@@ -85,14 +94,16 @@ def vectors_from_postings(postings: DataFrame, langs: list[str] = LANGUAGES, spr
     """B4–B7 + C1 + D7 fused: (qid, x, y) for every answered question in one aggregate.
 
     Questions and answers are co-grouped by question id (own id / parent id)
-    instead of joined: the tag becomes its language index first, so every
-    aggregation buffer is fixed-width (hash aggregate, map-side combine) and
-    the postings are scanned and shuffled once.  Only ids holding both a
-    question and an answer survive — the inner-join rule.  An unknown tag
-    raises (strict) or drops the question, as in ``vectors``.
+    instead of joined: the tag becomes a rank first (of its language in text order, unknown and null tags
+    last), so every aggregation buffer is fixed-width (hash aggregate, map-side combine), the postings are
+    scanned and shuffled once, and an id on several question rows takes the same tag as in ``scored``.  Only
+    ids holding both a question and an answer survive — the inner-join rule.  An unknown or null tag raises
+    (strict) or drops the question, as in ``vectors``.
     """
     is_q, is_a = F.col("type") == 1, F.col("type") == 2
-    pos = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("tags"))   # 0 = unknown
+    ordered = sorted(set(langs))                                                 # the language index of each rank
+    rank = F.coalesce(F.array_position(_langs(ordered), F.col("tags")), F.lit(0))
+    rank = F.when(rank > 0, rank).otherwise(F.lit(len(ordered) + 1)).cast("int")
     if strict:
         parent = F.when(F.col("parent_id").isNull(),
                         F.raise_error(F.concat(F.lit("answer without parent: "), F.col("id").cast("string")))
@@ -101,16 +112,17 @@ def vectors_from_postings(postings: DataFrame, langs: list[str] = LANGUAGES, spr
         parent = F.col("parent_id")
     keyed = postings.filter(is_q | is_a).select(
         F.when(is_q, F.col("id")).otherwise(parent).alias("qid"),
-        F.when(is_q, pos.cast("int")).alias("lang"),
+        F.when(is_q, rank).alias("rank"),
         F.when(is_a, F.col("score")).alias("score"))
-    g = keyed.groupBy("qid").agg(F.max("lang").alias("lang"), F.max("score").alias("max_score"),
-                                 F.count("score").alias("n_answers"))
-    answered = g.filter(F.col("lang").isNotNull() & (F.col("n_answers") > 0) & F.col("qid").isNotNull())
+    g = keyed.groupBy("qid").agg(F.min("rank").alias("rank"), F.max("score").alias("max_score"),
+                                 F.count("rank").alias("n_questions"), F.count("score").alias("n_answers"))
+    answered = g.filter((F.col("n_questions") > 0) & (F.col("n_answers") > 0) & F.col("qid").isNotNull())
+    known = F.col("rank") <= len(ordered)
+    idx = F.get(F.array(*[F.lit(langs.index(x)) for x in ordered]), F.col("rank") - 1)
     if strict:
-        idx = F.when(F.col("lang") > 0, F.col("lang") - 1).otherwise(
+        idx = F.when(known, idx).otherwise(
             F.raise_error(F.concat(F.lit("unknown tag for question "), F.col("qid").cast("string"))))
     else:
-        answered = answered.filter(F.col("lang") > 0)
-        idx = F.col("lang") - 1
+        answered = answered.filter(known)
     return answered.select("qid", (idx * F.lit(spread)).cast("int").alias("x"),
                            F.greatest(F.col("max_score"), F.lit(0)).cast("int").alias("y"))

@@ -1,4 +1,4 @@
-"""Postings, scoring, sampling and k-means rules (FIXTURES §1.2) plus a plain-Python model."""
+"""Postings, scoring, sampling and k-means rules plus a plain-Python model."""
 
 import random
 
@@ -116,12 +116,12 @@ def test_sampling_per_group_and_global(spark):
     again = rows(smp.sample_per_group(df, "x", 4, 42, "qid"), "qid")
     assert sorted(again) == sorted(rows(smp.sample_per_group(df, "x", 4, 42, "qid"), "qid"))
     assert smp.sample_global(df, 5, 42, "qid").count() == 5
-    init = rows(smp.initial_means(df, 6, 3, 50000, 42), "i")
+    init = rows(smp.initial_means(df, 6, 3, seed=42), "i")
     assert sorted(init) == [(i,) for i in range(6)]
     with pytest.raises(Exception):
         smp.sample_per_group(df, "x", 25, 42, "qid").collect()
     with pytest.raises(ValueError):
-        smp.initial_means(df, 7, 3, 50000, 42)
+        smp.initial_means(df, 7, 3, seed=42)
 
 
 def test_report_text_format(spark):
@@ -140,3 +140,61 @@ def test_fused_vectors_equal_joined_form(postings, spark):
     with pytest.raises(Exception):
         qa.vectors_from_postings(bad, LANGS15, 50000).collect()
     assert qa.vectors_from_postings(bad, LANGS15, 50000, strict=False).count() == 0
+
+
+def _postings(spark, lines):
+    return st.parse_postings(spark.createDataFrame([(x,) for x in lines], "value string"))
+
+
+def test_null_tags_raise_in_both_forms(spark):
+    p = _postings(spark, ["1,1,,,0,", "2,2,,1,3,"])
+    for df in (qa.vectors_from_postings(p, LANGS15, 50000), qa.vectors(qa.scored(p), LANGS15, 50000)):
+        with pytest.raises(Exception, match="tag"):
+            df.collect()
+    assert qa.vectors_from_postings(p, LANGS15, 50000, strict=False).count() == 0
+    assert qa.vectors(qa.scored(p), LANGS15, 50000, strict=False).count() == 0
+    unanswered = _postings(spark, ["1,1,,,0,", "1,2,,,0,Java", "2,3,,2,3,"])
+    assert rows(qa.vectors_from_postings(unanswered, LANGS15, 50000), "qid") == [(2,)]
+
+
+def test_repeated_question_ids_are_one_row(spark):
+    p = _postings(spark, ["1,1,,,0,Scala", "1,1,,,0,Java", "1,1,,,0,Cobol", "1,1,,,0,", "2,2,,1,3,", "2,3,,1,8,"])
+    assert rows(qa.scored(p), "qid", "tags", "high_score") == [(1, "Java", 8)]
+    want = [(1, 50000, 8)]
+    assert rows(qa.vectors_from_postings(p, LANGS15, 50000), "qid", "x", "y") == want
+    assert rows(qa.vectors(qa.scored(p), LANGS15, 50000), "qid", "x", "y") == want
+
+
+def test_too_few_initial_means_raise(spark):
+    df = spark.createDataFrame([(i, (i % 2) * 50000, i) for i in range(60)], "qid long, x int, y int")   # one language is absent
+    with pytest.raises(Exception, match="fewer than"):
+        smp.initial_means(df, 45, 3).collect()
+    with pytest.raises(Exception, match="fewer than"):
+        smp.initial_means(df.limit(5), 6, 3, method="global").collect()
+    assert smp.initial_means(df, 6, 3, method="global").count() == 6
+    with pytest.raises(ValueError):
+        smp.initial_means(df, 6, 3, method="other")
+
+
+def test_more_than_a_thousand_rows_a_group(spark):
+    df = spark.range(5000).selectExpr("id AS qid", "cast(id % 2 as int) AS x", "cast(id as int) AS y")
+    picked = rows(smp.sample_per_group(df, "x", 1001, 42, "qid"), "qid", "x")
+    import hashlib
+    want = []
+    for g in (0, 1):
+        ids = sorted(range(g, 5000, 2), key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+        want += [(i, g) for i in ids[:1001]]
+    assert sorted(picked) == sorted(want)
+
+
+def test_fit_says_how_it_ended(spark):
+    vec = spark.createDataFrame([(0, y) for y in range(0, 400, 3)], "x int, y int")
+    points = km.weighted_points(vec)
+    short = km.fit(points, [(0, 0), (0, 1)], 20.0, 1)
+    assert (short.converged, short.iterations) == (False, 1)
+    with pytest.raises(RuntimeError):
+        km.fit(points, [(0, 0), (0, 1)], 20.0, 1, strict=True)
+    full = km.fit(points, [(0, 0), (0, 1)], 20.0, 120)
+    assert full.converged
+    assert rows(km.with_state(km.means_frame(spark, full.means), full), "converged", "iterations")[0] == (True, full.iterations)
+    points.unpersist()
