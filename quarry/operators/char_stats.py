@@ -2,9 +2,8 @@
 
 Character counts are an explode + partial hash aggregate: each map task
 collapses its rows to one counter per distinct character before the
-shuffle.  Code tables are bounded by the alphabet; one that passes a size
-check is applied as a literal map inside the projection (no join, no
-shuffle), a larger one through a join on the character.
+shuffle.  A code table is bounded by the alphabet; it becomes one array by
+code point, and encoding is a projection that reads it (no join, no shuffle).
 """
 
 from __future__ import annotations
@@ -14,9 +13,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import balanced, characters
 
-# A code table up to this many entries is inlined into the plan as a map literal.
-INLINE_CODE_LIMIT = 10_000
-
 
 def char_freq(texts: DataFrame, text: str = "text") -> DataFrame:
     """(ch, n) over all characters, case-sensitive."""
@@ -50,24 +46,28 @@ def merge_code_tables(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.select("ch", "bits").unionByName(extra)
 
 
+def code_array(table: DataFrame) -> DataFrame:
+    """The code table as one row: an array of codes by code point (at most Unicode's size), null where the
+    alphabet has none.  A character with two codes raises."""
+    codes = table.groupBy(F.ascii("ch").alias("cp")).agg(
+        F.when(F.count("*") > 1, F.raise_error(F.concat(F.lit("two codes for "), F.min("ch")))).otherwise(F.min("bits")).alias("bits"))
+    points = codes.agg(F.max("cp").alias("m")).select(F.explode(F.sequence(F.lit(0), F.coalesce("m", F.lit(0)))).alias("cp"))
+    rows = points.join(codes, "cp", "left").agg(F.array_sort(F.collect_list(F.struct("cp", "bits"))).alias("a"))
+    return rows.select(F.transform("a", lambda s: s["bits"]).alias("codes"))
+
+
 def encode(df: DataFrame, text: str, table: DataFrame, key: str, out: str = "bits") -> DataFrame:
-    """Text → concatenated codes of its characters; an unknown character raises."""
-    pairs = table.select("ch", "bits").limit(INLINE_CODE_LIMIT + 1).collect()   # bounded fetch
-    if len(pairs) <= INLINE_CODE_LIMIT:
-        m = F.create_map(*[F.lit(v) for r in pairs for v in (r["ch"], r["bits"])]) if pairs \
-            else F.create_map().cast("map<string,string>")
-
-        def look(c):
-            return F.coalesce(F.element_at(m, c), F.raise_error(F.concat(F.lit("no code for "), c)))
-
-        return df.select(key, F.array_join(F.transform(characters(text), look), "").alias(out))
-    exploded = df.select(key, F.posexplode_outer(characters(text)).alias("pos", "ch"))  # '' keeps its row
-    coded = exploded.join(table.select("ch", "bits"), "ch", "left").select(
-        key, "pos", F.when(F.col("ch").isNull(), F.lit(""))
-        .when(F.col("bits").isNull(), F.raise_error(F.concat(F.lit("no code for "), F.col("ch"))))
-        .otherwise(F.col("bits")).alias("bits"))
-    return coded.groupBy(key).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "bits"))), lambda s: s["bits"]), "").alias(out))
+    """Each row's text as the concatenated codes of its characters, by one lookup per character.
+
+    A null text stays null, the empty text is empty, rows that share a key stay rows of their own, an unknown
+    character raises.  The same plan for a table of any size: the code array is a scalar subquery.
+    """
+    held = df.select(key, F.col(text).alias("_text"), code_array(table).scalar().alias("_codes"))
+
+    def look(c):
+        return F.coalesce(F.get("_codes", F.ascii(c)), F.raise_error(F.concat(F.lit("no code for "), c)))
+
+    return held.select(key, F.array_join(F.transform(characters("_text"), look), "").alias(out))
 
 
 def balanced_texts(df: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -2,8 +2,8 @@
 
 The reference's sets are predicates that can only be enumerated inside
 [-1000, 1000].  Here a set is a table of distinct keys; the bound is a
-parameter (``None`` = the whole table) and applies where the reference
-enumerates: forall, exists, map and the text form.
+parameter (``None``, the default, = the whole table) and applies where the
+reference enumerates: forall, exists, map and the text form.
 """
 
 from __future__ import annotations
@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.constants import KEYSET_BOUND as BOUND
+
+def key_rows(df: DataFrame, col: str) -> DataFrame:
+    """The keys of a column, repeats included (for ``union``, which de-duplicates once)."""
+    return df.select(F.col(col).alias("k")).filter(F.col("k").isNotNull())
 
 
 def keys(df: DataFrame, col: str) -> DataFrame:
@@ -27,7 +30,7 @@ def singleton(spark: SparkSession, elem: int) -> DataFrame:
 
 
 def union(s: DataFrame, t: DataFrame) -> DataFrame:
-    """G7."""
+    """G7 (both sides are sets of distinct keys, so one de-duplication of the whole does)."""
     return s.union(t).distinct()
 
 
@@ -57,23 +60,24 @@ def contains(s: DataFrame, probe: DataFrame) -> DataFrame:
         "k", F.coalesce("_hit", F.lit(False)).alias("contained"))
 
 
-def map_keys(s: DataFrame, f: Callable[[Column], Column], bound: int | None = BOUND) -> DataFrame:
+def map_keys(s: DataFrame, f: Callable[[Column], Column], bound: int | None = None) -> DataFrame:
     """Image of the (bounded) set under f; the image itself is not bounded."""
     return _bounded(s, bound).select(f(F.col("k")).alias("k")).distinct()
 
 
-def forall(s: DataFrame, p: Callable[[Column], Column], bound: int | None = BOUND) -> DataFrame:
+def forall(s: DataFrame, p: Callable[[Column], Column], bound: int | None = None) -> DataFrame:
     """Every element satisfies p (true on an empty set)."""
     return _bounded(s, bound).agg(F.coalesce(F.bool_and(p(F.col("k"))), F.lit(True)).alias("forall"))
 
 
-def exists(s: DataFrame, p: Callable[[Column], Column], bound: int | None = BOUND) -> DataFrame:
+def exists(s: DataFrame, p: Callable[[Column], Column], bound: int | None = None) -> DataFrame:
     """Some element satisfies p (false on an empty set)."""
     return _bounded(s, bound).agg(F.coalesce(F.bool_or(p(F.col("k"))), F.lit(False)).alias("exists"))
 
 
-def render(s: DataFrame, bound: int = BOUND) -> DataFrame:
-    """``{a,b,c}`` ascending; only keys in [-bound, bound] (at most 2·bound+1 of them)."""
-    b = _bounded(s, bound)
-    return b.agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_set("k")), ","),
-                          F.lit("}")).alias("text"))
+def render(s: DataFrame, bound: int | None = None, width: int = 1000) -> DataFrame:
+    """The whole set as text, one row per key range: ``(lo, text)`` with ``{a,b,c}`` ascending for the keys
+    from ``lo`` to ``lo + width - 1``, so no row holds more than ``width`` keys.  ``bound`` limits the keys to
+    [-bound, bound] (the reference's rule is KEYSET_BOUND)."""
+    b = _bounded(s, bound).select("k", (F.floor(F.col("k") / width) * width).alias("lo"))
+    return b.groupBy("lo").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_set("k")), ","), F.lit("}")).alias("text"))

@@ -26,12 +26,9 @@ def keyword_table(spark: SparkSession, keywords: list[str]) -> DataFrame:
 
 def flag_mentions(articles: DataFrame, keywords: list[str], id_col: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """B1 for a keyword list: one row per (article, keyword) with the boolean test."""
+    """B1 for a keyword list: one row per article with a struct ``flags``, field ``m<i>`` for the i-th keyword."""
     toks = articles.select(id_col, space_tokens(text).alias("_t"))
-    # flags are computed next to the tokens; only (kw, flag) pairs are exploded, never the token array
-    flags = F.array(*[F.struct(F.lit(k).alias("kw"), F.array_contains("_t", F.lit(k)).alias("mentions"))
-                      for k in keywords])
-    return toks.select(id_col, F.inline(flags))
+    return toks.select(id_col, F.struct(*[F.array_contains("_t", F.lit(k)).alias(f"m{i}") for i, k in enumerate(keywords)]).alias("flags"))
 
 
 def articles_mentioning(articles: DataFrame, keyword: str, text: str = "text") -> DataFrame:
@@ -75,22 +72,34 @@ def rank_all(articles: DataFrame, keywords: list[str], text: str = "text") -> Da
     return counts.select(F.inline(pairs)).orderBy(F.desc("n"), "pos").select("kw", "n")
 
 
+#: Article ids per block of a posting list.
+BLOCK = 4096
+
+
 def make_index(articles: DataFrame, keywords: list[str] | DataFrame,
-               id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """D3: inverted index keyword → article ids, in long form ``(kw, id)``.
+               id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+    """D3: inverted index ``(kw, block, ids)``: the ascending article ids of each keyword, in posting lists by
+    blocks of ``block`` consecutive ids, so a row is bounded whatever the keyword.  Article ids are unique.
 
-    Keywords without articles are absent.  Ids, never article bodies, and no
-    per-keyword list: a hot keyword must not become one huge row.
-    """
-    return keyword_pairs(articles, keywords, id_col, text)
+    Keywords without articles are absent; ids, never article bodies."""
+    pairs = keyword_pairs(articles, keywords, id_col, text)
+    return pairs.groupBy("kw", F.floor(F.col(id_col) / block).alias("block")).agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
 
 
-def rank_from_index(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rank keywords by index group size; zero-count keywords absent."""
-    return index.groupBy("kw").agg(F.count(id_col).alias("n")).orderBy(F.desc("n"), "kw")
+def rank_from_index(index: DataFrame) -> DataFrame:
+    """Rank keywords by the sizes of their posting lists; zero-count keywords absent."""
+    return index.groupBy("kw").agg(F.sum(F.size("ids")).alias("n")).orderBy(F.desc("n"), "kw")
 
 
 def rank_reduce(articles: DataFrame, keywords: list[str] | DataFrame,
                 id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pairs counted with a map-side combine; zero-count keywords absent."""
-    return rank_from_index(keyword_pairs(articles, keywords, id_col, text), id_col)
+    """Pairs counted with a map-side combine; zero-count keywords absent.
+
+    With a keyword table, tokens are counted before they meet it, so a frequent token crosses the shuffle as
+    one row per task."""
+    if isinstance(keywords, DataFrame):
+        counts = articles.select(F.explode(F.array_distinct(space_tokens(text))).alias("kw")).groupBy("kw").agg(F.count("*").alias("n"))
+        found = counts.join(keywords.select("kw").distinct(), "kw").select("kw", "n")
+    else:
+        found = keyword_pairs(articles, keywords, id_col, text).groupBy("kw").agg(F.count("*").alias("n"))
+    return found.orderBy(F.desc("n"), "kw")

@@ -1,8 +1,9 @@
-"""Key-set algebra (FIXTURES §1.6) and the enumeration bound."""
+"""Key-set algebra and the enumeration bound."""
 
 from conftest import rows
 from pyspark.sql import functions as F
 
+from quarry.constants import KEYSET_BOUND
 from quarry.operators import basics as bs
 from quarry.operators import key_sets as ks
 
@@ -22,15 +23,18 @@ def test_algebra(spark):
     assert rows(ks.contains(u, keys(spark, [2, 9])).orderBy("k")) == [(2, True), (9, False)]
 
 
-def test_bounded_quantifiers_and_map(spark):
+def test_quantifiers_map_and_text_hold_the_whole_set(spark):
     s = keys(spark, [1, 3, 4, 5, 7, 1000, 5000])
-    assert rows(ks.forall(s, lambda k: k < 1001)) == [(True,)]          # 5000 is outside the bound
-    assert rows(ks.forall(s, lambda k: k < 1001, bound=None)) == [(False,)]
-    assert rows(ks.exists(s, lambda k: k == 5000)) == [(False,)]
+    assert rows(ks.forall(s, lambda k: k < 1001)) == [(False,)]
+    assert rows(ks.forall(s, lambda k: k < 1001, bound=KEYSET_BOUND)) == [(True,)]      # the reference's rule, asked for
+    assert rows(ks.exists(s, lambda k: k == 5000)) == [(True,)]
+    assert rows(ks.exists(s, lambda k: k == 5000, bound=KEYSET_BOUND)) == [(False,)]
     assert rows(ks.exists(keys(spark, []), lambda k: k > 0)) == [(False,)]
     assert rows(ks.forall(keys(spark, []), lambda k: k > 0)) == [(True,)]
-    assert sorted(rows(ks.map_keys(s, lambda k: k - 1))) == [(0,), (2,), (3,), (4,), (6,), (999,)]
-    assert rows(ks.render(keys(spark, [10, 2, -3, 4000]))) == [("{-3,2,10}",)]
+    assert sorted(rows(ks.map_keys(s, lambda k: k - 1))) == [(0,), (2,), (3,), (4,), (6,), (999,), (4999,)]
+    assert sorted(rows(ks.render(keys(spark, [10, 2, -3, 4000, 999])))) == [(-1000, "{-3}"), (0, "{2,10,999}"), (4000, "{4000}")]
+    assert rows(ks.render(keys(spark, [10, 2, 4000]), bound=KEYSET_BOUND)) == [(0, "{2,10}")]
+    assert sorted(rows(ks.union(keys(spark, [1, 1, 2]), keys(spark, [2])))) == [(1,), (2,)]
 
 
 def test_sum_max(spark):
