@@ -74,16 +74,15 @@ def grouped(summed: DataFrame) -> DataFrame:
         .orderBy(*KEYS).select(*KEYS, *MEASURES)
 
 
-def grouped_sql_text(view: str) -> str:
-    return (f"SELECT working, sex, age, round(avg(primaryNeeds), 1) AS primaryNeeds, "
-            f"round(avg(work), 1) AS work, round(avg(other), 1) AS other FROM {view} "
-            f"GROUP BY working, sex, age ORDER BY working, sex, age")
+def grouped_sql_text(table: str) -> str:
+    """The grouping as SQL text, from the key and measure lists."""
+    keys = ", ".join(KEYS)
+    return f"SELECT {keys}, " + ", ".join(f"round(avg({m}), 1) AS {m}" for m in MEASURES) + f" FROM {table} GROUP BY {keys} ORDER BY {keys}"
 
 
-def grouped_sql(spark: SparkSession, summed: DataFrame, view: str = "summed") -> DataFrame:
-    """The same through a temp view and SQL text."""
-    summed.createOrReplaceTempView(view)
-    return spark.sql(grouped_sql_text(view))
+def grouped_sql(spark: SparkSession, summed: DataFrame) -> DataFrame:
+    """The same through SQL text on the frame (Spark drops the view it makes for it)."""
+    return spark.sql(grouped_sql_text("{summed}"), summed=summed)
 
 
 def grouped_typed(ds: DataFrame) -> DataFrame:

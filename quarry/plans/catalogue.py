@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from quarry.operators import sampling as smp
 from quarry.operators import signatures as sg
 from quarry.operators import wide_summary as ws
 from quarry.plans import inputs as I
-from quarry.session import spread
+from quarry.session import release
 from quarry.sources import json as sj
 from quarry.sources import tables as tbl
 from quarry.sources import text as src_text
@@ -42,7 +41,7 @@ def query(name: str):
 # ---------------------------------------------------------------- keywords
 @query("kw_flag")
 def _kw_flag(spark, sf):
-    return kr.flag_mentions(I.articles(spark, sf), I.KEYWORDS)
+    return kr.flag_mentions(I.articles(spark, sf), I.KEYWORDS).select("doc_id", "flags.*")
 
 
 @query("kw_filter")
@@ -103,11 +102,11 @@ def _vectors(spark, sf, from_text: bool = False):
 
 def _init_means(spark, sf, vec=None):
     vec = vec if vec is not None else _vectors(spark, sf)
-    return smp.initial_means(vec, I.KERNELS, len(I.LANGS), I.LANG_SPREAD, I.SAMPLE_SEED)
+    return smp.initial_means(vec, I.KERNELS, len(I.LANGS), I.SAMPLE_METHOD, I.SAMPLE_SEED)
 
 
 def _start(spark, sf, from_text: bool = False):
-    """Checkpointed weighted points and the k starting centres.
+    """Weighted points (held; the caller releases them) and the k starting centres.
 
     The vectors feed both the initial sample and the weighted points, so they
     are computed once (persisted) and released when both are done.
@@ -116,14 +115,19 @@ def _start(spark, sf, from_text: bool = False):
     try:
         means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
         pts = km.weighted_points(vec)
+        pts.count()
     finally:
         vec.unpersist()
     return pts, means
 
 
 def _fit(spark, sf, from_text: bool = False):
+    """The points and the fit; the points are released (a report computes them again from the postings)."""
     pts, means = _start(spark, sf, from_text)
-    return pts, km.fit(pts, means, I.ETA, I.MAX_ITERATIONS)
+    try:
+        return pts, km.fit(pts, means, I.ETA, I.MAX_ITERATIONS)
+    finally:
+        release(pts)
 
 
 @query("posting_parse")
@@ -143,7 +147,7 @@ def _qa_grouped(spark, sf):
 
 @query("qa_scored")
 def _qa_scored(spark, sf):
-    return qa.scored(I.postings(spark, sf))
+    return qa.scored(I.postings(spark, sf), langs=I.LANGS)
 
 
 @query("vectors")
@@ -154,7 +158,7 @@ def _vectors_q(spark, sf):
 @query("vectors_joined")
 def _vectors_joined(spark, sf):
     """B6/B7 from the joined and scored questions (the two-step form of ``vectors``)."""
-    return qa.vectors(qa.scored(I.postings(spark, sf)), I.LANGS, I.LANG_SPREAD)
+    return qa.vectors(qa.scored(I.postings(spark, sf), langs=I.LANGS), I.LANGS, I.LANG_SPREAD)
 
 
 @query("vector_count")
@@ -180,14 +184,21 @@ def _kmeans_init(spark, sf):
 @query("kmeans_assign")
 def _kmeans_assign(spark, sf):
     vec = _vectors(spark, sf)
-    means = km.collect_means(_init_means(spark, sf, vec), I.KERNELS)
+    held = vec.persist()
+    try:
+        means = km.collect_means(_init_means(spark, sf, held), I.KERNELS)
+    finally:
+        release(held)
     return km.assign(vec, means)
 
 
 @query("kmeans_step")
 def _kmeans_step(spark, sf):
     pts, means = _start(spark, sf)
-    return km.means_frame(spark, km.step(pts, means))
+    try:
+        return km.means_frame(spark, km.step(pts, means))
+    finally:
+        release(pts)
 
 
 @query("kmeans_shift")
@@ -203,7 +214,7 @@ def _kmeans_shift(spark, sf):
 @query("kmeans_fit")
 def _kmeans_fit(spark, sf):
     _, res = _fit(spark, sf)
-    return km.means_frame(spark, res.means)
+    return km.with_state(km.means_frame(spark, res.means), res)
 
 
 @query("kmeans_trace")
@@ -215,20 +226,20 @@ def _kmeans_trace(spark, sf):
 @query("cluster_report")
 def _cluster_report(spark, sf):
     pts, res = _fit(spark, sf)
-    return cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD)
+    return km.with_state(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD), res)
 
 
 @query("cluster_report_text")
 def _cluster_report_text(spark, sf):
     pts, res = _fit(spark, sf)
-    return cr.report_text(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD))
+    return km.with_state(cr.report_text(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD)), res)
 
 
 @query("kmeans_job")
 def _kmeans_job(spark, sf):
     """I4: text lines → parse → join/score → vectors → sample → k-means → report."""
     pts, res = _fit(spark, sf, from_text=True)
-    return cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD)
+    return km.with_state(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD), res)
 
 
 # ---------------------------------------------------------------- wide survey
@@ -280,7 +291,7 @@ def _wide_grouped(spark, sf):
 
 @query("wide_grouped_sql")
 def _wide_grouped_sql(spark, sf):
-    return ws.grouped_sql(spark, _summary(spark, sf), f"quarry_summed_{uuid.uuid4().hex[:12]}")
+    return ws.grouped_sql(spark, _summary(spark, sf))
 
 
 @query("wide_grouped_typed")
@@ -307,20 +318,20 @@ def _set_from_list(spark, sf):
 
 @query("set_union")
 def _set_union(spark, sf):
-    left = _set(spark, sf, F.col("lang").isin("en", "fr"))
-    right = _set(spark, sf, F.col("lang").isin("fr", "de", "es"))
-    return _rec(rs.union(left, right))
+    r = I.records(spark, sf)
+    left = rs.members(r.filter(F.col("lang").isin("en", "fr")))
+    right = rs.members(r.filter(F.col("lang").isin("fr", "de", "es")))
+    return _rec(rs.fetch(rs.union_members(left, right), r))
 
 
 @query("set_union_all")
 def _set_union_all(spark, sf):
-    rank = F.regexp_extract("source", r"(\d+)$", 1).cast("int")
-    return _rec(rs.union_all(I.records(spark, sf), rank))
+    return _rec(rs.union_all(I.records(spark, sf), rs.source_rank("source", I.SOURCES)))
 
 
 @query("set_size")
 def _set_size(spark, sf):
-    return rs.size(_set(spark, sf))
+    return rs.size(rs.members(I.records(spark, sf)))
 
 
 @query("set_filter")
@@ -330,14 +341,15 @@ def _set_filter(spark, sf):
 
 @query("set_contains")
 def _set_contains(spark, sf):
-    probe = I.records(spark, sf).filter(F.col("lang") == "fr").select("seq", "text")
-    return rs.contains(_set(spark, sf, F.col("lang") != "fr"), probe).select("seq", "contained")
+    """Every text of a second table, turns of conversations, probed in the set of all documents."""
+    turns = tbl.table(spark, sf, "conversations").select("conv_id", "turn", rs.digest("text").alias("digest"))
+    return rs.contains(rs.members(I.records(spark, sf)), turns).select("conv_id", "turn", "contained")
 
 
 @query("set_remove")
 def _set_remove(spark, sf):
-    removed = I.records(spark, sf).filter(F.col("lang") == "de")
-    return _rec(rs.remove(_set(spark, sf), removed))
+    r = I.records(spark, sf)
+    return _rec(rs.fetch(rs.remove(rs.members(r), r.filter(F.col("lang") == "de")), r))
 
 
 @query("set_most")
@@ -378,12 +390,12 @@ def _keys_a(spark, sf):
 
 
 def _keys_b(spark, sf):
-    return ks.keys(tbl.table(spark, sf, "part").filter(F.col("p_size") <= 25), "p_partkey")
+    return ks.keys(tbl.table(spark, sf, "part"), "p_partkey")
 
 
 @query("keyset_union")
 def _keyset_union(spark, sf):
-    return ks.union(_keys_a(spark, sf), _keys_b(spark, sf))
+    return ks.union(ks.key_rows(tbl.table(spark, sf, "lineitem"), "l_partkey"), ks.key_rows(tbl.table(spark, sf, "part"), "p_partkey"))
 
 
 @query("keyset_intersect")
@@ -449,9 +461,9 @@ def _json_scan(spark, sf):
 @query("json_records")
 def _json_records(spark, sf):
     """A JSON array per record (field ``retweet_count``) read back into records."""
-    r = I.records(spark, sf).select("seq", F.to_json(F.array(F.struct(
-        "user", "text", F.col("retweets").cast("double").alias("retweet_count")))).alias("json"))
-    return sj.json_records(r, "json", count_field="retweet_count")
+    r = I.records(spark, sf).select("user", F.to_json(F.array(F.struct(
+        "text", F.col("retweets").cast("double").alias("retweet_count")))).alias("json"))
+    return sj.json_records(r, "json", "user", count_field="retweet_count")
 
 
 @query("json_write")
@@ -462,16 +474,14 @@ def _json_write(spark, sf):
 @query("json_unparse")
 def _json_unparse(spark, sf):
     """A11 in the reference's own record text form."""
-    return sj.records_to_course_lines(I.records(spark, sf))
+    return sj.records_to_lines(I.records(spark, sf))
 
 
 # ---------------------------------------------------------------- signatures
 
 
 def _benchmark_words(spark, sf):
-    b = tbl.table(spark, sf, "benchmark")
-    w = b.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
-    return w.filter(F.col("word") != "").select(F.lower("word").alias("word"))
+    return I.letter_words(tbl.table(spark, sf, "benchmark"))
 
 
 def _name_words(spark, sf):
@@ -496,12 +506,12 @@ def _word_anagrams(spark, sf):
 
 @query("sentence_signature")
 def _sentence_signature(spark, sf):
-    return sg.sentence_signature(I.part_names(spark, sf))
+    return sg.sentence_signature(I.sentences(spark, sf))
 
 
 @query("multiset_subtract")
 def _multiset_subtract(spark, sf):
-    s = sg.sentence_signature(I.part_names(spark, sf)).withColumnRenamed("sig", "x")
+    s = sg.sentence_signature(I.sentences(spark, sf)).withColumnRenamed("sig", "x")
     s = s.withColumn("y", signature(F.get(F.split("sentence", " "), 0)))
     return sg.subtract(s, "x", "y").select("sentence", "x", "y", "rest")
 
@@ -520,7 +530,7 @@ def _sentence_anagrams(spark, sf):
 
 
 def _docs(spark, sf):
-    return spread(tbl.table(spark, sf, "documents"))
+    return tbl.table(spark, sf, "documents")
 
 
 def _name_codes(spark, sf):

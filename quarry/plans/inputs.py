@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import spread
 from quarry.sources.tables import table
 
 # Stand-in parameters: keyword list for ranking over `documents`.
@@ -23,6 +22,10 @@ KERNELS = 15
 ETA = 20.0
 MAX_ITERATIONS = 120
 SAMPLE_SEED = 42
+SAMPLE_METHOD = "per_group"
+
+# Stand-in parameters: record sources in list order (``source`` of documents).
+SOURCES = [f"src{i}" for i in range(20)]
 
 # Stand-in parameters: topic keyword lists for the record-set queries.
 TOPIC_A = ["the", "The"]
@@ -31,7 +34,7 @@ TOPIC_B = ["le", "Le"]
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Articles = documents (id, text)."""
-    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +68,7 @@ def posting_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def article_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents rendered in the article line layout (14-char head, 16-char tail)."""
-    d = spread(table(spark, sf, "documents"))
+    d = table(spark, sf, "documents")
     return d.select(F.concat(F.lit("<page> <title>"), F.col("doc_id").cast("string"),
                              F.lit("</title><text>"), F.col("text"),
                              F.lit("</text> </page> ")).alias("value"))
@@ -99,12 +102,21 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf: str) -> DataFrame:
-    """Word occurrences of documents: split on non-letters, lower-cased, one row each."""
-    d = spread(table(spark, sf, "documents"))
-    w = d.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
+    """Word occurrences of documents: runs of letters of any alphabet, lower-cased, one row each."""
+    return letter_words(table(spark, sf, "documents"))
+
+
+def letter_words(df: DataFrame, text: str = "text") -> DataFrame:
+    w = df.select(F.explode(F.split(text, "[^\\p{L}]+")).alias("word"))
     return w.filter(F.col("word") != "").select(F.lower("word").alias("word"))
 
 
+def sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct sentences of documents, the stretches between full stops and line ends, without blank ones."""
+    d = table(spark, sf, "documents").select(F.explode(F.split("text", "[.\\n]")).alias("sentence"))
+    return d.select(F.trim("sentence").alias("sentence")).filter(F.col("sentence") != "").distinct()
+
+
 def part_names(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct part names, the 'sentences' of the anagram jobs."""
     return table(spark, sf, "part").select(F.col("p_name").alias("sentence")).distinct()

@@ -6,6 +6,7 @@ Written from the semantics, not from the Spark code: tokens via
 
 from __future__ import annotations
 
+from quarry.constants import REPORT_HEADER, REPORT_LINE
 from quarry.plans import inputs as I
 
 
@@ -19,9 +20,8 @@ TOKENS = "string_split(regexp_replace(text, ' +$', ''), ' ')"
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["kw_flag"] = f"""
-SELECT d.doc_id, k.kw, list_contains({TOKENS}, k.kw) AS mentions
-FROM documents d, {KW_VALUES}"""
+ORACLE["kw_flag"] = "SELECT doc_id, " + ", ".join(
+    f"list_contains({TOKENS}, '{k}') AS m{i}" for i, k in enumerate(I.KEYWORDS)) + " FROM documents"
 
 ORACLE["kw_filter"] = f"SELECT doc_id FROM documents WHERE list_contains({TOKENS}, 'the')"
 
@@ -36,7 +36,9 @@ SELECT k.kw, count(d.doc_id) AS n
 FROM {KW_VALUES} LEFT JOIN documents d ON list_contains(string_split(regexp_replace(d.text, ' +$', ''), ' '), k.kw)
 GROUP BY k.kw"""
 
-ORACLE["kw_index"] = ORACLE["kw_pairs"]
+ORACLE["kw_index"] = f"""
+SELECT k.kw, d.doc_id // 4096 AS block, list(d.doc_id ORDER BY d.doc_id) AS ids
+FROM documents d JOIN {KW_VALUES} ON list_contains({TOKENS}, k.kw) GROUP BY k.kw, d.doc_id // 4096"""
 
 _RANK = f"""
 SELECT k.kw, count(*) AS n FROM documents d JOIN {KW_VALUES} ON list_contains({TOKENS}, k.kw) GROUP BY k.kw"""
@@ -104,8 +106,8 @@ ORACLE["kmeans_shift"] = f"WITH {_VEC}{_STEP} SELECT sum({_d2('x', 'y', 'ox', 'o
 
 _FIT = f""",
 pts AS (SELECT x, y, count(*) AS w FROM vec GROUP BY x, y),
-it(n, i, x, y, ox, oy, done) AS (
-  SELECT 0, i, x, y, x, y, false FROM init
+it(n, i, x, y, ox, oy, done, conv) AS (
+  SELECT 0, i, x, y, x, y, false, false FROM init
   UNION ALL (
     WITH cur AS (SELECT n, i, x, y FROM it WHERE NOT done),
     asg AS (SELECT p.x, p.y, p.w, first(c.i ORDER BY {_d2('p.x', 'p.y', 'c.x', 'c.y')}, c.i) AS ci
@@ -115,12 +117,13 @@ it(n, i, x, y, ox, oy, done) AS (
     nxt AS (SELECT cur.n + 1 AS n, cur.i, coalesce(nm.nx, cur.x) AS x, coalesce(nm.ny, cur.y) AS y,
                    cur.x AS ox, cur.y AS oy FROM cur LEFT JOIN nm ON nm.i = cur.i),
     sh AS (SELECT sum({_d2('x', 'y', 'ox', 'oy')}) AS s FROM nxt)
-    SELECT nxt.n, nxt.i, nxt.x, nxt.y, nxt.ox, nxt.oy, (sh.s < {I.ETA} OR nxt.n >= {I.MAX_ITERATIONS}) FROM nxt, sh
+    SELECT nxt.n, nxt.i, nxt.x, nxt.y, nxt.ox, nxt.oy, (sh.s < {I.ETA} OR nxt.n >= {I.MAX_ITERATIONS}), sh.s < {I.ETA} FROM nxt, sh
   )
 ),
-fm AS (SELECT i, x, y FROM it WHERE done)"""
+fm AS (SELECT i, x, y FROM it WHERE done),
+state AS (SELECT any_value(n) AS iterations, any_value(conv) AS converged FROM it WHERE done)"""
 
-ORACLE["kmeans_fit"] = f"WITH RECURSIVE {_VEC}{_FIT} SELECT i, x, y FROM fm"
+ORACLE["kmeans_fit"] = f"WITH RECURSIVE {_VEC}{_FIT} SELECT i, x, y, iterations, converged FROM fm, state"
 ORACLE["kmeans_trace"] = f"""WITH RECURSIVE {_VEC}{_FIT}
 SELECT n AS iter, i, ox AS old_x, oy AS old_y, x AS new_x, y AS new_y, {_d2('ox', 'oy', 'x', 'y')} AS shift
 FROM it WHERE n > 0"""
@@ -136,14 +139,15 @@ rep AS (SELECT dom.cluster, {LANGS}[dom_x // {SP} + 1] AS label,
                (CAST(dom_n AS DOUBLE) / size) * 100 AS percent, CAST(size AS BIGINT) AS size, median
         FROM dom JOIN med ON med.cluster = dom.cluster)"""
 
-ORACLE["cluster_report"] = f"WITH RECURSIVE {_VEC}{_FIT}{_REPORT} SELECT * FROM rep"
+ORACLE["cluster_report"] = f"WITH RECURSIVE {_VEC}{_FIT}{_REPORT} SELECT rep.*, iterations, converged FROM rep, state"
 ORACLE["kmeans_job"] = ORACLE["cluster_report"]
-ORACLE["cluster_report_text"] = f"""WITH RECURSIVE {_VEC}{_FIT}{_REPORT}
-SELECT * FROM (VALUES (0, 'Resulting clusters:'), (1, '  Score  Dominant language (%percent)  Questions'),
-                      (2, '================================================')) AS h(line_no, line)
+_HEADER = ", ".join(f"({i}, '{t}')" for i, t in enumerate(REPORT_HEADER))
+ORACLE["cluster_report_text"] = f"""WITH RECURSIVE {_VEC}{_FIT}{_REPORT},
+lines AS (SELECT * FROM (VALUES {_HEADER}) AS h(line_no, line)
 UNION ALL
-SELECT CAST(row_number() OVER (ORDER BY median, cluster) + 2 AS INTEGER) AS line_no,
-       printf('%7d  %-17s (%-5.1f%%)      %7d', median, label, round(percent, 1), size) AS line FROM rep"""
+SELECT CAST(row_number() OVER (ORDER BY median, cluster) + {len(REPORT_HEADER) - 1} AS INTEGER) AS line_no,
+       printf('{REPORT_LINE}', median, label, round(percent, 1), size) AS line FROM rep)
+SELECT lines.*, iterations, converged FROM lines, state"""
 
 # ---------------------------------------------------------------- wide survey
 _WIDE_COLS = ["tucaseid", "telfs", "tesex", "teage", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -198,8 +202,7 @@ FROM documents GROUP BY text"""
 ORACLE["set_size"] = "SELECT count(DISTINCT text) AS n FROM documents"
 ORACLE["set_filter"] = f"SELECT * FROM {_SET} WHERE retweets >= 5000"
 ORACLE["set_contains"] = """
-SELECT d.doc_id AS seq, d.text IN (SELECT text FROM documents WHERE lang <> 'fr') AS contained
-FROM documents d WHERE d.lang = 'fr'"""
+SELECT conv_id, turn, text IN (SELECT text FROM documents) AS contained FROM conversations"""
 ORACLE["set_remove"] = f"SELECT * FROM {_SET} WHERE text NOT IN (SELECT text FROM documents WHERE lang = 'de')"
 ORACLE["set_most"] = f"SELECT * FROM {_SET} ORDER BY retweets DESC, text LIMIT 1"
 ORACLE["set_desc"] = ORACLE["set_from_list"]
@@ -213,7 +216,7 @@ WHERE contains(text, 'the') OR contains(text, 'The') OR contains(text, 'le') OR
 
 # ---------------------------------------------------------------- key sets, sums
 _KA = "(SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_partkey IS NOT NULL)"
-_KB = "(SELECT DISTINCT p_partkey AS k FROM part WHERE p_size <= 25 AND p_partkey IS NOT NULL)"
+_KB = "(SELECT DISTINCT p_partkey AS k FROM part WHERE p_partkey IS NOT NULL)"
 ORACLE["keyset_union"] = f"SELECT k FROM {_KA} UNION SELECT k FROM {_KB}"
 ORACLE["keyset_intersect"] = f"SELECT k FROM {_KA} INTERSECT SELECT k FROM {_KB}"
 ORACLE["keyset_diff"] = f"SELECT k FROM {_KA} EXCEPT SELECT k FROM {_KB}"
@@ -223,8 +226,8 @@ ORACLE["keyset_forall"] = f"SELECT coalesce(bool_and(k > 0), true) AS forall FRO
 ORACLE["keyset_exists"] = f"SELECT coalesce(bool_or(k > 1900), false) AS exists FROM {_KA}"
 ORACLE["keyset_contains"] = f"""SELECT p.k, p.k IN (SELECT k FROM {_KA}) AS contained
 FROM (SELECT DISTINCT p_partkey AS k FROM part) p"""
-ORACLE["keyset_render"] = f"""SELECT '{{' || coalesce(string_agg(CAST(k AS VARCHAR), ',' ORDER BY k), '') || '}}' AS text
-FROM {_KB} WHERE k BETWEEN -1000 AND 1000"""
+ORACLE["keyset_render"] = f"""SELECT CAST(floor(k / 1000) * 1000 AS BIGINT) AS lo, '{{' || string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) || '}}' AS text
+FROM {_KB} GROUP BY floor(k / 1000)"""
 ORACLE["list_sum"] = "SELECT CAST(coalesce(sum(o_custkey), 0) AS BIGINT) AS total FROM orders"
 ORACLE["list_max"] = "SELECT max(o_custkey) AS maximum FROM orders"
 
@@ -249,26 +252,28 @@ def _cnt(s: str, c: str) -> str:
     return f"(length({s}) - length(replace({s}, {c}, '')))"
 
 
-_WORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM documents)
+_WORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS w FROM documents)
   WHERE w <> '')"""
-_BWORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM benchmark)
+_BWORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS w FROM benchmark)
   WHERE w <> '')"""
-_DICT = f"""(SELECT sig, 0 AS chunk, count(*) AS n_words, string_agg(word, ' ' ORDER BY word) AS words
-  FROM (SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}) GROUP BY sig)"""
+_DICT = f"(SELECT DISTINCT {_sig('word')} AS sig, word FROM {_WORDS})"
 ORACLE["word_signature"] = f"SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}"
 ORACLE["signature_dictionary"] = f"SELECT * FROM {_DICT}"
 ORACLE["word_anagrams"] = f"""
-SELECT q.word, q.sig, coalesce(d.chunk, 0) AS chunk, coalesce(d.n_words, 0) AS n_words,
-       coalesce(d.words, '') AS anagrams
+SELECT q.word, q.sig, coalesce(d.word, '') AS anagram
 FROM (SELECT DISTINCT word, {_sig('word')} AS sig FROM {_BWORDS}) q LEFT JOIN {_DICT} d ON d.sig = q.sig"""
 _NOSPACE = "replace(p_name, ' ', '')"
 _SENT = f"(SELECT DISTINCT p_name AS sentence, {_sig(_NOSPACE)} AS sig FROM part)"
-ORACLE["sentence_signature"] = f"SELECT sentence, sig FROM {_SENT}"
+_TEXTS = f"""(SELECT DISTINCT trim(s) AS sentence FROM (SELECT unnest(regexp_split_to_array(text, '[.\\n]')) AS s FROM documents)
+  WHERE trim(s) <> '')"""
+_SPACELESS = "replace(sentence, ' ', '')"
+_TSENT = f"(SELECT sentence, {_sig(_SPACELESS)} AS sig FROM {_TEXTS})"
+ORACLE["sentence_signature"] = f"SELECT sentence, sig FROM {_TSENT}"
 ORACLE["multiset_subtract"] = f"""
 SELECT sentence, x, y, array_to_string(list_transform(list_sort(list_distinct(string_split(x, ''))),
          lambda c: repeat(c, CASE WHEN {_cnt('y', 'c')} <= {_cnt('x', 'c')} THEN {_cnt('x', 'c')} - {_cnt('y', 'c')}
                                   ELSE {_cnt('x', 'c')} END)), '') AS rest
-FROM (SELECT sentence, sig AS x, {_sig("string_split(sentence, ' ')[1]")} AS y FROM {_SENT})"""
+FROM (SELECT sentence, sig AS x, {_sig("string_split(sentence, ' ')[1]")} AS y FROM {_TSENT})"""
 ORACLE["sub_multisets"] = f"""
 WITH RECURSIVE letters AS (
   SELECT sentence, sig, c, {_cnt('sig', 'c')} AS n, row_number() OVER (PARTITION BY sentence ORDER BY c) AS k

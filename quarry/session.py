@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import contextlib
 import io
 
@@ -32,58 +30,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder the session names (``spark.checkpoint.dir`` or the context's own), if any.
 
-    Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context).  Only a *local* session without one gets a fresh scratch
-    folder; on a cluster an unset value is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    The library never makes one: on a cluster a machine-local folder would not survive a lost executor.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; iterative jobs need a shared folder")
-        conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named:
+            sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (never a local one): survives executor loss.
-
-    The frame is persisted first so the checkpoint write does not recompute
-    the whole plan a second time; the cache is released once written.
-    """
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
+    """The frame, computed once: a reliable checkpoint where the session names a folder, else persisted
+    (recomputable from its lineage).  Release it with ``release`` when nothing reads it any more."""
+    held = df.persist()
+    if checkpoint_dir(df.sparkSession) is None:
+        held.count()
+        return held
+    out = held.checkpoint(eager=True)
+    held.unpersist()
     return out
 
 
-def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Spread an under-split input across the task slots before CPU-heavy row work.
+def release(*frames: DataFrame) -> None:
+    for f in frames:
+        f.unpersist()
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """A round-robin repartition to the count the caller names; none (the default) leaves the frame as it is.
 
-    A file with one large row group scans as one task, and every narrow step
-    after it (splitting, exploding, regex) would run single-threaded until the
-    first shuffle.  When the scan has fewer partitions than task slots, a
-    round-robin repartition spreads it; at cluster scale the scan already has
-    far more splits than slots and this is a no-op (no extra shuffle).
-    Meant for a scan (plus narrow steps): counting partitions of a plan that
-    already contains a shuffle would run its stages.
+    For a file whose one large row group scans as one task before CPU-heavy row work.
     """
-    try:
-        want = slots or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD view, e.g. a remote session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:

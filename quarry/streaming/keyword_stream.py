@@ -15,9 +15,8 @@ from quarry.operators.keyword_rank import keyword_pairs
 ARTICLE_SCHEMA = "doc_id long, text string"
 
 
-def article_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 16) -> DataFrame:
-    return (spark.readStream.schema(ARTICLE_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder))
+def article_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(ARTICLE_SCHEMA).parquet(folder)
 
 
 def keyword_counts(articles: DataFrame, keywords: list[str]) -> DataFrame:
@@ -26,11 +25,11 @@ def keyword_counts(articles: DataFrame, keywords: list[str]) -> DataFrame:
 
 
 def start_ranking(spark: SparkSession, folder: str, keywords: list[str], checkpoint: str,
-                  sink_table: str, available_now: bool = True) -> StreamingQuery:
-    """Run the ranking into an in-process table (complete mode)."""
+                  sink: str, available_now: bool = True) -> StreamingQuery:
+    """Run the ranking into a Parquet folder that holds the whole ranking after every batch (complete mode)."""
     counts = keyword_counts(article_stream(spark, folder), keywords)
-    writer = (counts.writeStream.outputMode("complete").format("memory").queryName(sink_table)
-              .option("checkpointLocation", checkpoint))
+    writer = (counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(sink)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

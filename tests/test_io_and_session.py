@@ -46,17 +46,16 @@ def test_checkpoint_dir_is_read_from_session(spark):
     assert sorted(r[0] for r in rows(df)) == [i * 2 for i in range(10)]
 
 
-def test_spread_only_when_under_split(spark):
+def test_spread_is_off_unless_a_count_is_named(spark):
     one = spark.range(0, 100, 1, 1)
+    assert spread(one) is one
     assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 8)
-    assert spread(many, 4).rdd.getNumPartitions() == 8
 
 
-def test_course_json_lines(spark):
+def test_json_text_lines(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="quarry-test-"), "out")
-    df = spark.createDataFrame([("gizmodo", 'say "hi"', 51)], "user string, text string, retweets int")
-    line = rows(sj.records_to_course_lines(df))[0][0]
-    assert line == '{ "user": "gizmodo", "text": "say \\"hi\\"", "retweets": 51.0 },'
-    sj.write_course_lines(df, out)
+    df = spark.createDataFrame([("ann", 'say "hi"', 51)], "user string, text string, retweets int")
+    line = rows(sj.records_to_lines(df))[0][0]
+    assert line == '{ "user": "ann", "text": "say \\"hi\\"", "retweets": 51.0 },'
+    sj.write_lines(df, out)
     assert [r[0] for r in rows(spark.read.text(out))] == [line]

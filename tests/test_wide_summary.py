@@ -47,7 +47,7 @@ def test_summary_rules(survey):
 def test_three_forms_agree_and_sort(spark, survey):
     s = ws.summary(survey, ["t010101"], ["t050101"], ["t020101"])
     a = rows(ws.grouped(s))
-    b = rows(ws.grouped_sql(spark, s, "test_summed"))
+    b = rows(ws.grouped_sql(spark, s))
     c = rows(ws.grouped_typed(ws.typed(s)))
     assert a == b == c
     assert [r[:3] for r in a] == sorted(r[:3] for r in a)
