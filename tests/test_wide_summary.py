@@ -1,4 +1,4 @@
-"""Survey classification, projection and the three grouped forms (FIXTURES §1.3)."""
+"""Survey classification, projection and the three grouped forms."""
 
 import pytest
 from conftest import rows
