@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from quarry.plans.catalogue import QUERIES  # noqa: E402
 from quarry.session import local_session, plan_text  # noqa: E402
 
 FLAGS = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "ObjectHashAggregate", "HashAggregate",
@@ -22,14 +22,15 @@ FLAGS = ["CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate", "Object
 def main() -> None:
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in args if not a.startswith(("/", "--"))] or sorted(E.queries())
-    spark = local_session(8)
+    names = [a for a in args if not a.startswith(("/", "--"))] or sorted(QUERIES)
+    spark = local_session(os.environ.get("AUDIT_CPUS", "8"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")          # whole read schemas
     md = "--md" in args
     if md:
         print("| query | shuffles | operators | scans (pruned read schema) |")
         print("| --- | --- | --- | --- |")
     for name in names:
-        df = E.queries()[name](spark, sf)
+        df = QUERIES[name](spark, sf)
         plan = plan_text(df, "simple")
         found = {f.strip(): plan.count(f) for f in FLAGS if f in plan}
         found.pop("HashAggregate", None) if found.get("HashAggregate", 0) == found.get("ObjectHashAggregate", 0) \
