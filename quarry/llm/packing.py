@@ -34,6 +34,8 @@ INNER_CUT = 48
 PER_SEQUENCE = 16
 LEAST_POWER = 256
 GRID = 256
+#: Ids packed at once, about.
+PACK_IDS = 1 << 18
 #: Words that end a sentence, as the vocabulary writes them at a word's end.
 SENTENCE_ENDS = (".", "!", "?", "...", "。")
 
@@ -158,9 +160,14 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
         for batch in batches:
             for part in slices(batch, size=ENCODE_BYTES):
                 flat, bounds = tokenizer.encode(part.column("text"))
-                out = packer.add(part.column("id"), np.insert(flat, bounds[1:], end), np.diff(bounds) + 1)
-                if out is not None:
-                    yield out
+                at = 0
+                while at < len(part):                       # some PACK_IDS at once, a longer document alone
+                    to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PACK_IDS, side="right")) - 1)
+                    own = bounds[at:to + 1] - bounds[at]
+                    out = packer.add(part.column("id").slice(at, to - at), np.insert(flat[bounds[at]:bounds[to]], own[1:], end), np.diff(own) + 1)
+                    if out is not None:
+                        yield out
+                    at = to
         out = packer.pack(True)
         if out is not None:
             yield out

@@ -18,9 +18,9 @@ import pyarrow.compute as pc
 from quarry.llm.words import text_bytes
 
 #: Words whose ids a task keeps between batches.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
 #: Text bytes encoded at once (a longer text alone): distinct words are looked up once in them.
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 4 << 20
 
 
 def word_vocabulary() -> str:
