@@ -127,29 +127,34 @@ def _levels(counts: np.ndarray) -> np.ndarray:
     return np.floor(2 * np.log2(np.maximum(counts / mean, 1))).astype(np.uint8)
 
 
-def _entries(k: int, percent: int, levels):
-    """Index entries (token, cls, n, pos); a class that a task meets again is not entered again."""
+def _entries(k: int, percent: int, sketch):
+    """Index entries (token, cls, n, pos, score); a class that a task meets again is not entered again.  The score
+    is the mean of the logarithms of the shingles' sketched counts: of edited copies, the one nearest to all has
+    the highest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, seen = levels.value, set()
+        counts, seen = sketch.value, set()
+        level, log = _levels(counts), np.log2(1 + counts.astype(np.float32))
         for batch in batches:
             for part in slices(batch):
-                out = [[], [], [], []]
+                out = [[], [], [], [], []]
                 for tokens in doc_sets(part, k):
                     n, cls = len(tokens), _class(tokens)
                     if not n or cls in seen:
                         continue
                     seen.add(cls)
                     first = n + (-percent * n // 100) + 1
-                    rank = level[(tokens >> U(64 - SKETCH_BITS)).astype(np.int64)]
+                    slot = (tokens >> U(64 - SKETCH_BITS)).astype(np.int64)
+                    rank = level[slot]
                     chosen = tokens[np.argsort(rank, kind="stable")[:first]] if rank.any() else tokens[:first]
                     out[0].append(chosen)
                     out[1].append(np.full(first, cls, np.int64))
                     out[2].append(np.full(first, n, np.int32))
                     out[3].append(np.arange(first, dtype=np.int32))
+                    out[4].append(np.full(first, log[slot].mean(), np.float32))
                 if out[0]:
-                    token, cls, n, pos = (np.concatenate(x) for x in out)
-                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(cls), pa.array(n), pa.array(pos)],
-                                                     names=["token", "cls", "n", "pos"])
+                    token, cls, n, pos, score = (np.concatenate(x) for x in out)
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(cls), pa.array(n), pa.array(pos), pa.array(score)],
+                                                     names=["token", "cls", "n", "pos", "score"])
     return run
 
 
@@ -176,14 +181,13 @@ def _tokens(k: int):
     return run
 
 
-def _compared(pairs: DataFrame, base: DataFrame, sets: DataFrame, k: int, t: int) -> DataFrame:
-    """The pairs (a, b, na, nb) with ``apart``, a lower bound of their symmetric difference by parity bits, and
+def _compared(pairs: DataFrame, base: DataFrame, classes: DataFrame, k: int, t: int) -> DataFrame:
+    """The pairs (a, b, na, nb) of classes (cls, key of one text, bits) with ``apart``, a lower bound of their symmetric difference by parity bits, and
     where that leaves a link possible the exact ``overlap`` of their sets."""
     both = lambda x: x.select(F.col("a").alias("cls"), F.lit(True).alias("as_a"), F.lit(False).alias("as_b")).union(
         x.select(F.col("b").alias("cls"), F.lit(False).alias("as_a"), F.lit(True).alias("as_b"))).groupBy("cls").agg(
         F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b"))
-    reps = written(sets.select("cls", "key", "bits").join(both(pairs).select("cls"), "cls").groupBy("cls")
-                   .agg(F.min("key").alias("key"), F.min("bits").alias("bits")), "reps")
+    reps = written(classes.join(both(pairs).select("cls"), "cls"), "reps")
     bound = written(pairs.join(reps.select(F.col("cls").alias("b"), F.col("bits").alias("xb")), "b")
                     .join(reps.select(F.col("cls").alias("a"), F.col("bits").alias("xa")), "a")
                     .mapInArrow(_apart, "a long, b long, na int, nb int, apart long"), "bound")
@@ -221,26 +225,25 @@ def _classes(base: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
     counts = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
     for row in parts:
         counts[row["part"]] = np.frombuffer(row["counts"], np.int64)
-    levels = spark.sparkContext.broadcast(_levels(counts.ravel()))                 # 1 MB
+    sketch = spark.sparkContext.broadcast(counts.ravel().astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64))   # 4 MB (8 beyond 2**32)
 
     t = percent
-    entries = written(base.select("text").mapInArrow(_entries(shingle, t, levels), "token long, cls long, n int, pos int"), "entries")
-    # Lists of two or more classes; the pivot of each is the class whose entries stand in the longest lists.
-    lists = written(entries.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("c"))
-                    .where("lo != hi").select("token", "c"), "lists")
+    entries = written(base.select("text").mapInArrow(_entries(shingle, t, sketch), "token long, cls long, n int, pos int, score float"), "entries")
+    # Lists of two or more entries; of those with two or more classes the pivot is the class of the highest score.
+    lists = written(entries.groupBy("token").count().where("count > 1").select("token"), "lists")
     let_go(spark)
-    listed = written(entries.join(lists, "token"), "listed")
+    listed = written(entries.join(lists, "token", "left_semi"), "listed")
     forget(entries, lists)
-    score = written(listed.groupBy("cls").agg((F.sum(F.col("c") - 1) / F.first(F.col("n") - F.ceil(F.col("n") * t / 100) + 1)).alias("score")), "score")
-    scored = written(listed.join(score, "cls").drop("c"), "scored")
-    forget(listed, score)
-    pivots = written(scored.groupBy("token").agg(F.max(F.struct("score", "cls", "n", "pos")).alias("p"))
-                     .select("token", F.col("p.cls").alias("pcls"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos")), "pivots")
-    shared = written(scored.drop("score").join(pivots, "token"), "shared")
-    forget(scored, pivots)
+    pivots = written(listed.groupBy("token").agg(F.max(F.struct("score", "cls", "n", "pos")).alias("p"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+                     .where("lo != hi").select("token", F.col("p.cls").alias("pcls"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos")), "pivots")
+    let_go(spark)
+    shared = written(listed.drop("score").join(pivots, "token"), "shared")
+    forget(listed, pivots)
     star = written(shared.where("cls != pcls").where(_possible("n", "pos", "pn", "ppos", t))
                    .select(F.col("pcls").alias("a"), F.col("cls").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb")).distinct(), "star")
-    answers = _compared(star, base, sets, shingle, t)
+    # One row per class, merged before the shuffle: the text that stands for it and its parity bits.
+    classes = written(sets.where("n > 0").groupBy("cls").agg(F.min("key").alias("key"), F.min("bits").alias("bits")), "classes")
+    answers = _compared(star, base, classes, shingle, t)
     linked = F.expr(f"{100 + t} * overlap >= {t} * (na + nb)")
     first = written(components(answers.where(linked), "a", "b"), "first")
 
@@ -249,16 +252,16 @@ def _classes(base: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
     known = answers.select(F.col("a").alias("pcls"), F.col("b").alias("cls"), F.coalesce(dist, F.expr("2 * apart / (na + nb + apart)")).alias("least"),
                            F.coalesce(dist, F.lit(1.0)).alias("most"))
     placed = (shared.select("token", "cls", "n", "pos", "pcls").join(first.withColumnRenamed("node", "cls"), "cls", "left")
-              .join(known, ["pcls", "cls"], "left")
-              .select("token", "cls", "n", "pos", F.coalesce("component", "cls").alias("comp"),
-                      (F.col("cls") == F.col("pcls")).alias("pivot"), "least", "most"))
+              .select("token", "cls", "n", "pos", "pcls", F.coalesce("component", "cls").alias("comp")))
     placed = written(placed, "placed")
     forget(shared)
     mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")) \
         .where("lo != hi and c > 2").select("token")
-    open_ = written(placed.where("not pivot").join(mixed, "token", "left_semi").distinct(), "open")
+    unsettled = written(placed.join(mixed, "token", "left_semi").where("cls != pcls").distinct(), "unsettled")
     del mixed
     forget(placed)
+    open_ = written(unsettled.join(known, ["pcls", "cls"], "left").select("token", "cls", "n", "pos", "comp", "least", "most"), "open")
+    forget(unsettled)
     x, y = open_.alias("x"), open_.alias("y")
     rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & F.expr("x.cls < y.cls and x.comp != y.comp")
                    & F.expr(_possible("x.n", "x.pos", "y.n", "y.pos", t))
@@ -268,16 +271,15 @@ def _classes(base: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, Da
     rest = written(rest.join(done, ["a", "b"], "left_anti"), "rest")
     del x, y, done
     forget(open_)
-    more = _compared(rest, base, sets, shingle, t).where(linked)
+    more = _compared(rest, base, classes, shingle, t).where(linked)
     at = first.select(F.col("node"), F.col("component"))
     lifted = (more.join(at.toDF("a", "ca"), "a", "left").join(at.toDF("b", "cb"), "b", "left")
               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     second = written(components(lifted, "a", "b"), "second")
 
-    own = sets.where("n > 0").select("cls").distinct()
-    whole = (own.join(first.withColumnRenamed("node", "cls"), "cls", "left").withColumn("c1", F.coalesce("component", "cls")).drop("component")
+    whole = (classes.select("cls").join(first.withColumnRenamed("node", "cls"), "cls", "left").withColumn("c1", F.coalesce("component", "cls")).drop("component")
              .join(second.withColumnRenamed("node", "c1"), "c1", "left").select("cls", F.coalesce("component", "c1").alias("c")))
-    whole = written(whole, "classes")
+    whole = written(whole, "components")
     let_go(spark)
     return sets, whole
 
