@@ -66,9 +66,41 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_
 FROM embeddings LEFT JOIN degree ON x = vec_id LEFT JOIN part ON a = vec_id
 """
 
+
+
+def _rendered(x: str) -> str:
+    return f"array_to_string(list_transform({x}, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), '')"
+
+
+def _mask(x: str) -> str:
+    at = f"coalesce(list_sum(list_transform({x}[1:i - 1], lambda t: length(t.role) + length(t.text) + 13)), 0)::BIGINT + length({x}[i].role)"
+    return (f"array_to_string(list_transform(list_filter(range(1, len({x}) + 1), lambda i: {x}[i].role = 'assistant'), "
+            f"lambda i: ({at} + 5) || '-' || ({at} + length({x}[i].text) + 13)), ',')")
+
+
+PREFERENCES = f"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '<\\|') AS role, replace(coalesce(text, ''), '<|', '<\\|') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id AS conv, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id),
+a AS (SELECT *, list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant') AS q FROM c),
+leads AS (SELECT turns[1] AS f, min(conv) AS lead FROM c GROUP BY turns[1]),
+pairs AS (
+  SELECT 'opening' AS kind, lead AS chosen_id, c.conv AS rejected_id, l.turns AS x, c.turns AS y
+  FROM c JOIN leads ON c.turns[1] = leads.f JOIN c l ON l.conv = leads.lead WHERE c.conv <> leads.lead
+  UNION ALL
+  SELECT 'stale', conv, conv, turns[1:list_max(q)], list_append(turns[1:list_max(q) - 1], turns[q[1]]) FROM a WHERE len(q) > 1),
+n AS (SELECT *, coalesce(list_min(list_filter(range(1, least(len(x), len(y)) + 1), lambda i: x[i] <> y[i])) - 1, least(len(x), len(y))) AS n FROM pairs),
+s AS (SELECT *, x[n + 1:] AS xs, y[n + 1:] AS ys FROM n)
+SELECT kind, chosen_id, rejected_id, n::INTEGER AS prompt_turns, {_rendered('x[1:n]')} AS prompt, {_rendered('xs')} AS chosen, {_rendered('ys')} AS rejected,
+  {_mask('xs')} AS chosen_mask, {_mask('ys')} AS rejected_mask
+FROM s
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op2_substring_dedup": SUBSTRING,
     "op3_set_join": SET_JOIN,
     "op4_license_templates": _licenses(),
     "op5_vector_cells": VECTORS,
+    "op9_preference_pairs": PREFERENCES,
 }
