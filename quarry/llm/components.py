@@ -33,11 +33,15 @@ def components(edges: DataFrame, u: str, v: str) -> DataFrame:
     Loops and repeated edges do not matter; an empty edge table gives an empty result."""
     now = written(edges.select(F.least(u, v).alias("v"), F.greatest(u, v).alias("u"))
                   .where("u != v").distinct(), "edges")
-    state = None
+
+    def state(edges: DataFrame):
+        return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    after = state(now)
     while True:
-        now = _star(_star(now, large=True), large=False)
-        before, state = state, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        before, now = after, _star(_star(now, large=True), large=False)
+        after = state(now)
+        if after == before:                     # stars already: nothing moved
             break
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
