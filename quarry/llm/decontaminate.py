@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quarry.llm.words import Words, mix, slices, window_sums
+from quarry.llm.words import Words, mix, slices, tidy, window_sums
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -172,6 +172,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, similari
     for items in _blocks(benchmark, item_col, item_text):
         held = spark.sparkContext.broadcast((items, k, similarity, radius))
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             match = Matcher(*held.value)
             for batch in batches:
@@ -194,6 +195,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, similari
     for items in _blocks(benchmark, item_col, item_text):
         held = docs.sparkSession.sparkContext.broadcast((items, k, similarity, radius))
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             match = Matcher(*held.value)
             for batch in batches:

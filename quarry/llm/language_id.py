@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import written
-from quarry.llm.words import slices, text_bytes
+from quarry.llm.words import slices, text_bytes, tidy
 
 #: Labelled texts per language that training reads, about (a hash picks them), and rounds of training.
 TRAIN_DOCS = 2000
@@ -28,6 +28,8 @@ UNKNOWN = 1e-7
 ADDED = 0.05
 #: Word scores a task keeps between batches.
 KEPT_WORDS = 200_000
+#: Text bytes scored at once (a longer text alone).
+PREDICT_BYTES = 2 << 20
 UNDETERMINED = "und"
 
 _START = "▁"
@@ -195,7 +197,8 @@ class Model:
     def __init__(self, langs: list[str], vocabulary: list[str], prob: np.ndarray):
         self.langs, self.prob = langs, prob
         self.pieces = Pieces(vocabulary)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, int] = {}                         # rows of kept
+        self.kept = np.zeros((KEPT_WORDS if langs else 0, len(langs)))
 
     def predict(self, col: pa.Array) -> tuple[list[str], np.ndarray]:
         """Each text's language and the language's posterior under equal priors."""
@@ -206,18 +209,14 @@ class Model:
         if len(words.values) and self.langs:
             coded = words.flatten().dictionary_encode()
             names = coded.dictionary.to_pylist()
-            score = np.zeros((len(names), len(self.langs)))
-            new = []
-            for i, w in enumerate(names):
-                got = self.known.get(w)
-                if got is None:
-                    new.append(i)
-                else:
-                    score[i] = got
-            fresh = word_scores([names[i] for i in new], self.prob, self.pieces)
-            score[new] = fresh
-            if len(self.known) < KEPT_WORDS:
-                self.known.update((names[i], fresh[j]) for j, i in enumerate(new[:KEPT_WORDS - len(self.known)]))
+            row = np.fromiter((self.known.get(w, -1) for w in names), np.int64, len(names))
+            score = np.where((row >= 0)[:, None], self.kept[row], 0.0)
+            new = np.flatnonzero(row < 0).tolist()
+            score[new] = word_scores([names[i] for i in new], self.prob, self.pieces)
+            have = len(self.known)
+            new = new[:KEPT_WORDS - have]
+            self.kept[have:have + len(new)] = score[new]
+            self.known.update((names[i], have + j) for j, i in enumerate(new))
             offsets = words.offsets.to_numpy().astype(np.int64)
             offsets -= offsets[0]
             sums = np.zeros((len(coded) + 1, len(self.langs)))
@@ -235,6 +234,7 @@ class Model:
         return [self.langs[b] if h else UNDETERMINED for b, h in zip(best.tolist(), has.tolist(), strict=True)], np.where(has, share, 0.0)
 
 
+@tidy
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
@@ -272,6 +272,7 @@ def train(labelled: DataFrame, vocabulary: list[str] | None = None, docs_per_lan
     for _ in range(rounds):
         held = spark.sparkContext.broadcast((langs, vocabulary, prob))
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             langs, vocabulary, prob = held.value
             at = {x: i for i, x in enumerate(langs)}
@@ -304,10 +305,11 @@ def predict_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     held = docs.sparkSession.sparkContext.broadcast((model.langs, model.pieces.vocabulary, model.prob))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*held.value)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=PREDICT_BYTES):
                 lang, score = own.predict(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(lang, pa.string()), pa.array(score)], names=["id", "lang_pred", "score"])
 
@@ -318,10 +320,11 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5, text_
     """The rows, all columns, whose language is determined with at least ``min_score``; rows are not moved."""
     held = docs.sparkSession.sparkContext.broadcast((model.langs, model.pieces.vocabulary, model.prob))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*held.value)
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, PREDICT_BYTES):
                 lang, score = own.predict(part.column(text_col))
                 yield part.filter(pa.array((np.array(lang) != UNDETERMINED) & (score >= min_score)))
 

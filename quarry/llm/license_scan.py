@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.decontaminate import NOT_WORD
 from quarry.llm.license_templates import PHRASES, TEMPLATES
-from quarry.llm.words import Words, slices
+from quarry.llm.words import Words, slices, tidy
 
 _MARK = re.compile(r"\[\[|\]\]|\{\{(\d+),(\d+)\}\}|[^\s\[\]{}]+")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -204,6 +204,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrase
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return Scanner(templates, phrases).run(batches)
 

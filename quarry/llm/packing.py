@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.tokens import ENCODE_BYTES, WordTokenizer
-from quarry.llm.words import slices
+from quarry.llm.words import slices, tidy
 
 SIZE = 4096
 END = 2
@@ -154,6 +154,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(vocabulary)
         packer = Packer(sentence_enders(tokenizer), TaskContext.get().partitionId() << 40, size)

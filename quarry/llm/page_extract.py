@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.words import slices
+from quarry.llm.words import slices, tidy
 
 #: Pages that training reads, about (a hash of the page picks them), and layouts made of each.
 TRAIN_PAGES = 200
@@ -361,6 +361,7 @@ def extract_pages(pages: DataFrame, field: ChainField | None = None, page_col: s
     kind = base.schema["id"].dataType.simpleString()
     held = pages.sparkSession.sparkContext.broadcast((field.index, field.weight, field.move))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ChainField(*held.value)
         for batch in batches:

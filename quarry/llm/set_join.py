@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import forget, let_go, texts, texts_key, written
 from quarry.llm.components import components
-from quarry.llm.words import U, Words, mix, slices, window_sums
+from quarry.llm.words import U, Words, mix, slices, tidy, window_sums
 
 SHINGLE = 3
 PERCENT = 90
@@ -81,6 +81,7 @@ def apart(x: bytes, y: bytes) -> int:
     return int(_ONES[a ^ b].sum())
 
 
+@tidy
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         low = [apart(x, y) for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)]
@@ -88,6 +89,7 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _scan(k: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         names = ["id", "key", "n", "cls", "bits", "part", "counts"]
@@ -111,6 +113,7 @@ def _scan(k: int):
     return run
 
 
+@tidy
 def _sum_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     got: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -131,6 +134,7 @@ def _entries(k: int, percent: int, sketch):
     """Index entries (token, cls, n, pos, score); a class that a task meets again is not entered again.  The score
     is the mean of the logarithms of the shingles' sketched counts: of edited copies, the one nearest to all has
     the highest."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sketch.value, set()
         level, log = _levels(counts), np.log2(1 + counts.astype(np.float32))
@@ -159,6 +163,7 @@ def _entries(k: int, percent: int, sketch):
 
 
 def _tokens(k: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:

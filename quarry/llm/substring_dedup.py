@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quarry.llm.common import let_go, partitions, texts, texts_key, written
-from quarry.llm.words import U, Words, mix, slices, window_sums
+from quarry.llm.words import U, Words, mix, slices, tidy, window_sums
 
 WINDOW = 35
 _MAX = U(0xFFFFFFFFFFFFFFFF)
@@ -61,6 +61,7 @@ def _picked(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def _anchors(window: int):
     width = window - (window + 1) // 2 + 1
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -98,6 +99,7 @@ def _candidates(part: pa.RecordBatch, window: int) -> tuple[Words, np.ndarray]:
 
 def _deal(window: int, buckets: int):
     """Candidate windows as rows (bucket, hashes, keys, starts, many), windows met twice in a batch once."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = []
@@ -125,6 +127,7 @@ def _deal(window: int, buckets: int):
     return run
 
 
+@tidy
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by bucket: the windows that stand in one entry alone, met once there."""
     held: list[pa.RecordBatch] = []
@@ -154,6 +157,7 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _remove(window: int, with_text: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):

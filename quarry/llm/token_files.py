@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import shared_dir
 from quarry.llm.repair import Shard, compress
 from quarry.llm.tokens import ENCODE_BYTES, WordTokenizer
-from quarry.llm.words import slices
+from quarry.llm.words import slices, tidy
 
 END = 1
 #: Ids per shard, about (a document is never split between shards).
@@ -29,6 +29,7 @@ SHARD_IDS = 1 << 20
 
 
 def _encode(path: str | None, end: int, shard_ids: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(path)
         part, shard, before = TaskContext.get().partitionId(), 0, 0
@@ -91,6 +92,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", wit
     begin = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("begin"))
     kind = files.schema["ids"].dataType.elementType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(len(batch)):

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import let_go, written
 from quarry.llm.components import components
+from quarry.llm.words import tidy
 
 LEAST_COSINE = 0.93
 #: Vectors per cell, about; centres in all, at most (beyond it cells grow); sampled vectors per centre.
@@ -36,6 +37,7 @@ REACH = 4.0
 CHUNK = 2048
 
 
+@tidy
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with a label and a finite vector other than zero, as unit vectors in double precision."""
     for batch in batches:
@@ -96,6 +98,7 @@ def _centres(units: DataFrame, cell: int) -> dict[tuple[str, int], np.ndarray]:
 
 def _assign(held, eps: float, reach: float, tight: float):
     """Members of cells: (cell, key, unit, home, ball)."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = held.value
         for batch in batches:
@@ -127,6 +130,7 @@ def _assign(held, eps: float, reach: float, tight: float):
 
 def _compare(least: float, chunk: int):
     """Of rows sorted by (cell, chunk, partner): link counts of home vectors and spanning edges (key, links, other)."""
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, home_keys, home, links, label = None, [], [], None, None
 

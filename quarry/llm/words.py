@@ -7,6 +7,9 @@ window hashes are polynomials over word hashes, mixed again.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once (a longer text is handled alone, and whole).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 U = np.uint64
 _B1, _B2 = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
@@ -25,6 +28,20 @@ _LOWER[65:91] += 32
 _POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def tidy(run):
+    """The batch function, giving freed memory back to the system when it ends: Python workers outlive their
+    tasks, and what one stage took would stand beside what the next one takes."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):       # glibc alone has it
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: a bijection of 64-bit values."""
     x = x.astype(np.uint64, copy=True)
@@ -40,12 +57,12 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n (kept, grown on demand)."""
     have = _POW.get(int(base))
     if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = 1 << (n - 1).bit_length()
         inv = U(pow(int(base), -1, 1 << 64))
         up, down = np.full(size, base, np.uint64), np.full(size, inv, np.uint64)
         up[0] = down[0] = U(1)
         have = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size <= 4 * SLICE_BYTES:
+        if size <= 2 * SLICE_BYTES:
             _POW[int(base)] = have
     return have
 
