@@ -4,7 +4,7 @@ Set relations do the skipping, at the level of index lists and at the level of a
 
 * *Equal sets* are one class from the start; only classes are joined.
 * *Index lists.*  A class enters the lists of its first n - ceil(t n) + 1 shingles under one global order
-  (rare levels first, by a counting sketch of fixed size; then by hash).  A list entry holds the set's size
+  (by the counts of a sketch of fixed size, rare first; then by hash).  A list entry holds the set's size
   and the shingle's position, and entries whose sizes or remaining positions rule out enough overlap are
   skipped.  Lists with one class are dropped.
 * *Answers.*  Each list has one pivot, the class whose entries stand in the longest lists (of
@@ -124,12 +124,6 @@ def _sum_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["part", "counts"])
 
 
-def _levels(counts: np.ndarray) -> np.ndarray:
-    """Of each counter: half powers of two above the mean, 0 at or below it."""
-    mean = max(counts.mean(), 1.0)
-    return np.floor(2 * np.log2(np.maximum(counts / mean, 1))).astype(np.uint8)
-
-
 def _entries(k: int, percent: int, sketch):
     """Index entries (token, cls, n, pos, score); a class that a task meets again is not entered again.  The score
     is the mean of the logarithms of the shingles' sketched counts: of edited copies, the one nearest to all has
@@ -137,7 +131,7 @@ def _entries(k: int, percent: int, sketch):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sketch.value, set()
-        level, log = _levels(counts), np.log2(1 + counts.astype(np.float32))
+        log = np.log2(1 + counts.astype(np.float32))
         for batch in batches:
             for part in slices(batch):
                 out = [[], [], [], [], []]
@@ -148,8 +142,7 @@ def _entries(k: int, percent: int, sketch):
                     seen.add(cls)
                     first = n + (-percent * n // 100) + 1
                     slot = (tokens >> U(64 - SKETCH_BITS)).astype(np.int64)
-                    rank = level[slot]
-                    chosen = tokens[np.argsort(rank, kind="stable")[:first]] if rank.any() else tokens[:first]
+                    chosen = tokens[np.argsort(counts[slot], kind="stable")[:first]]
                     out[0].append(chosen)
                     out[1].append(np.full(first, cls, np.int64))
                     out[2].append(np.full(first, n, np.int32))
