@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.tokens import ENCODE_BYTES, WordTokenizer
+from quarry.llm.tokens import WordTokenizer
 from quarry.llm.words import slices, tidy
 
 SIZE = 4096
@@ -36,6 +36,9 @@ LEAST_POWER = 256
 GRID = 256
 #: Ids packed at once, about.
 PACK_IDS = 1 << 18
+#: Text bytes encoded at once, and words whose ids a task keeps.
+ENCODE_BYTES = 2 << 20
+KEPT_WORDS = 150_000
 #: Words that end a sentence, as the vocabulary writes them at a word's end.
 SENTENCE_ENDS = (".", "!", "?", "...", "。")
 
@@ -156,7 +159,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(vocabulary)
+        tokenizer = WordTokenizer(vocabulary, KEPT_WORDS)
         packer = Packer(sentence_enders(tokenizer), TaskContext.get().partitionId() << 40, size)
         for batch in batches:
             for part in slices(batch, size=ENCODE_BYTES):

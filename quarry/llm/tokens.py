@@ -67,7 +67,8 @@ def parted(col: pa.Array) -> pa.Array:
 
 
 class WordTokenizer:
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, kept_words: int = KEPT_WORDS):
+        self.kept_words = kept_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path or word_vocabulary())
@@ -121,8 +122,8 @@ class WordTokenizer:
         new = [i for i, x in enumerate(ids) if x is None]
         for i, x in zip(new, self._ids([names[i] for i in new]), strict=True):
             ids[i] = x
-        if len(self.known) < KEPT_WORDS:
-            self.known.update((names[i], ids[i]) for i in new[:KEPT_WORDS - len(self.known)])
+        if len(self.known) < self.kept_words:
+            self.known.update((names[i], ids[i]) for i in new[:self.kept_words - len(self.known)])
         flat = np.frombuffer(b"".join(ids), np.uint32)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         begin = np.cumsum(size) - size
