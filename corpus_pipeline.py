@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import written
+from quarry.llm.common import small_batches, written
 from quarry.llm.decontaminate import drop_leaks
 from quarry.llm.language_id import keep_identified, train, training_rows
 from quarry.llm.packing import pack_documents
@@ -21,26 +21,31 @@ from quarry.sources.tables import table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined (no text, or none with a letter, goes)."""
+    small_batches(spark)
     return keep_identified(docs, train(training_rows(docs)))
 
 
 def set_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by similar shingle sets: the one of least id."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words that repeated passages cover; n_chars follows the text."""
+    small_batches(spark)
     return without_repeats(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
+    small_batches(spark)
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in sequences."""
+    small_batches(spark)
     return pack_documents(docs)
 
 

@@ -33,6 +33,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows for what the session runs from here on: a text table's default batch
+    of 10,000 rows stands several times over in an executor's JVM and Python memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes written tables that nothing will read again, and lets finished shuffles go."""
     spark = tables[0].sparkSession

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarry.llm.common import small_batches
 from quarry.llm.decontaminate import find_leaks
 from quarry.llm.language_id import identify_languages
 from quarry.llm.license_scan import scan_licenses
@@ -24,8 +26,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    LLM_QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, sf)
+    LLM_QUERIES[fn.__name__] = run
+    return run
 
 
 @query
