@@ -4,9 +4,11 @@ Vectors of one label (and dimension) are assigned to cells by the most similar o
 vector is compared in its home cell; a neighbour also stands, as a guest, in every other cell whose border is
 so near that a partner at the least cosine may live there: y visits cell c if
 
-    y . (c_y - c)  <=  REACH * eps * |c_y - c| / sqrt(d),   eps = |x - y| at the least cosine,
+    y . (c_y - c)  <=  sin(t) * |c_y - c|,   t = the angle of the least cosine.
 
-REACH standard deviations of a displacement eps in random direction.  Inside a cell the vectors within half
+A partner x at home in c has x . (c_y - c) <= 0, so y lies at an angle of at most t from the border's plane: no
+link is missed, however the vectors are spread.  Centres decide what is compared, never what is found; vectors
+without clusters visit most cells, at a cost up to that of all pairs.  Inside a cell the vectors within half
 the linking angle of the centre (the ball) are all linked by the triangle inequality and are counted, not
 compared; so a group of near-equal vectors, however large, costs one count.  Everything else is compared by
 matrix products of at most CHUNK home vectors with blocks of partners, and a task emits a link count per home
@@ -33,7 +35,6 @@ CELL = 2000
 MAX_CENTRES = 16_384
 SAMPLE_PER_CENTRE = 32
 ROUNDS = 8
-REACH = 4.0
 CHUNK = 2048
 
 
@@ -96,7 +97,7 @@ def _centres(units: DataFrame, cell: int) -> dict[tuple[str, int], np.ndarray]:
     return {g: spherical_kmeans(np.array([v for _, v in sorted(x, key=lambda t: t[0])]), k) for g, (k, x) in groups.items()}
 
 
-def _assign(held, eps: float, reach: float, tight: float):
+def _assign(held, far: float, tight: float):
     """Members of cells: (cell, key, unit, home, ball)."""
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +118,7 @@ def _assign(held, eps: float, reach: float, tight: float):
                 home = like.argmax(axis=1)
                 top = like[np.arange(len(rows)), home]
                 between = np.sqrt(np.maximum(2 - 2 * own @ own.T, 0))
-                visits = top[:, None] - like <= reach * eps * between[home] / math.sqrt(dim)
+                visits = top[:, None] - like <= far * between[home] + 1e-9
                 for r, c in zip(*(a.tolist() for a in np.nonzero(visits)), strict=True):
                     i, at_home = rows[r], c == home[r]
                     out.append((f"{label}|{dim}|{c}", keys[i], units[i], bool(at_home), bool(at_home and top[r] >= tight)))
@@ -205,22 +206,22 @@ def _compare(least: float, chunk: int):
     return run
 
 
-def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, cell: int = CELL, reach: float = REACH, chunk: int = CHUNK,
+def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, cell: int = CELL, chunk: int = CHUNK,
                  id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``(id, n_links, component_id, kept)``, one row per row of ``vectors``.
 
     Two rows link when their labels are equal and not null, their vectors have one length and their cosine, in
     double precision, is at least ``least``.  Null, empty, zero and non-finite vectors and those with null
     components link with nothing.  component_id is the least id reachable, null ids passed over; kept where it
-    is the row's own id.  Repeated rows are vectors of their own and link with each other.  No link is below
-    ``least``; pairs near it that lie farther beyond a cell border than ``reach`` allows are missed."""
+    is the row's own id.  Repeated rows are vectors of their own and link with each other.  All pairs of at
+    least ``least`` are found."""
     spark = vectors.sparkSession
     table = written(vectors.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).alias("id"),
                                    F.col(vector_col).cast("array<double>").alias("embedding"), F.col(label_col).alias("label")), "vectors")
     units = written(table.select("key", "embedding", "label").mapInArrow(_unit, "key long, label string, dim int, unit binary"), "units")
     centres = spark.sparkContext.broadcast(_centres(units, cell))          # MAX_CENTRES vectors at most
-    eps, tight = math.sqrt(2 - 2 * least), math.cos(math.acos(least) / 2) + 1e-12
-    members = written(units.mapInArrow(_assign(centres, eps, reach, tight), "cell string, key long, unit binary, home boolean, ball boolean"), "members")
+    far, tight = math.sin(math.acos(min(1.0, max(0.0, least)))), math.cos(math.acos(least) / 2) + 1e-12
+    members = written(units.mapInArrow(_assign(centres, far, tight), "cell string, key long, unit binary, home boolean, ball boolean"), "members")
     stats = written(members.groupBy("cell").agg(F.count_if(F.expr("home and not ball")).alias("loose"), F.count_if("ball").alias("balls"),
                                                 F.min(F.when(F.col("ball"), F.col("key"))).alias("ball_root"))
                     .select("cell", F.ceil(F.col("loose") / chunk).cast("int").alias("a"), F.ceil(F.col("balls") / chunk).cast("int").alias("b"),

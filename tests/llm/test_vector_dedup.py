@@ -95,6 +95,25 @@ def test_recall_at_the_limit(spark):
     assert all(got[i] == 0 for i in range(800) if cos[i, 0] < 0.9299) and found >= 0.995 * want.sum()
 
 
+def low_rank(n=300, dims=10, width=192, seed=5):
+    """Vectors and near copies of them that vary in few directions of a wide space, as embeddings do."""
+    rnd = np.random.default_rng(seed)
+    x = rnd.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = rnd.normal(size=x.shape)
+    off -= (off * x).sum(axis=1, keepdims=True) * x
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cos = rnd.uniform(0.931, 0.95, size=(n, 1))
+    basis = np.linalg.qr(rnd.normal(size=(width, dims)))[0]
+    return (np.concatenate([x, cos * x + np.sqrt(1 - cos ** 2) * off]) @ basis.T).tolist()
+
+
+def test_few_directions_and_many_cells(spark):
+    """Every pair across a border is found where vectors and borders share few directions."""
+    vecs = low_rank()
+    compare(spark, list(range(len(vecs))), vecs, [1] * len(vecs), cell=30)
+
+
 def test_whole_table(spark):
     t = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     compare(spark, [r["vec_id"] for r in t], [r["embedding"] for r in t], [r["label"] for r in t], cell=20)
