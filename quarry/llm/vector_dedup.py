@@ -7,7 +7,8 @@ so near that a partner at the least cosine may live there: y visits cell c if
     y . (c_y - c)  <=  sin(t) * |c_y - c|,   t = the angle of the least cosine.
 
 A partner x at home in c has x . (c_y - c) <= 0, so y lies at an angle of at most t from the border's plane: no
-link is missed, however the vectors are spread.  Centres decide what is compared, never what is found; vectors
+link is missed, however the vectors are spread.  Either end of a link may visit the other, so of two cells one
+alone takes guests from the other, and a link found there counts for both ends.  Centres decide what is compared, never what is found; vectors
 without clusters visit most cells, at a cost up to that of all pairs.  Inside a cell the vectors within half
 the linking angle of the centre (the ball) are all linked by the triangle inequality and are counted, not
 compared; so a group of near-equal vectors, however large, costs one count.  Everything else is compared by
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import let_go, written
@@ -36,6 +37,7 @@ MAX_CENTRES = 16_384
 SAMPLE_PER_CENTRE = 32
 ROUNDS = 8
 CHUNK = 2048
+HOME, SAME, GUEST = 0, 1, 2
 
 
 @tidy
@@ -98,7 +100,7 @@ def _centres(units: DataFrame, cell: int) -> dict[tuple[str, int], np.ndarray]:
 
 
 def _assign(held, far: float, tight: float):
-    """Members of cells: (cell, key, unit, home, ball)."""
+    """The vectors once each, with the cells they are guests of: (cell, key, unit, ball, visits)."""
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = held.value
@@ -111,7 +113,7 @@ def _assign(held, far: float, tight: float):
             for (label, dim), rows in groups.items():
                 own = centres.get((label, dim))
                 if own is None or len(own) < 2:
-                    out.extend((f"{label}|{dim}|0", keys[i], units[i], True, False) for i in rows)
+                    out.extend((f"{label}|{dim}|0", keys[i], units[i], False, []) for i in rows)
                     continue
                 x = np.frombuffer(b"".join(units[i] for i in rows)).reshape(len(rows), dim)
                 like = x @ own.T
@@ -119,18 +121,21 @@ def _assign(held, far: float, tight: float):
                 top = like[np.arange(len(rows)), home]
                 between = np.sqrt(np.maximum(2 - 2 * own @ own.T, 0))
                 visits = top[:, None] - like <= far * between[home] + 1e-9
-                for r, c in zip(*(a.tolist() for a in np.nonzero(visits)), strict=True):
-                    i, at_home = rows[r], c == home[r]
-                    out.append((f"{label}|{dim}|{c}", keys[i], units[i], bool(at_home), bool(at_home and top[r] >= tight)))
-            for at in range(0, len(out), 10_000):
-                cell, key, unit, home_, ball = zip(*out[at:at + 10_000], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(key, pa.int64()), pa.array(unit, pa.binary()), pa.array(home_), pa.array(ball)],
-                                                 names=["cell", "key", "unit", "home", "ball"])
+                cell = np.arange(len(own))
+                visits &= (cell < home[:, None]) == ((cell + home[:, None]) % 2 == 0)      # of two cells one is the host
+                visits[np.arange(len(rows)), home] = False
+                for r, i in enumerate(rows):
+                    out.append((f"{label}|{dim}|{home[r]}", keys[i], units[i], bool(top[r] >= tight), [f"{label}|{dim}|{c}" for c in np.flatnonzero(visits[r])]))
+            if out:
+                cell, key, unit, ball, guest_of = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(key, pa.int64()), pa.array(unit, pa.binary()), pa.array(ball), pa.array(guest_of, pa.list_(pa.string()))],
+                                                 names=["cell", "key", "unit", "ball", "visits"])
     return run
 
 
 def _compare(least: float, chunk: int):
-    """Of rows sorted by (cell, chunk, partner): link counts of home vectors and spanning edges (key, links, other)."""
+    """Of rows sorted by (cell, chunk, partner), partner being HOME, SAME for a partner of the same cell or GUEST:
+    link counts of home vectors and guests, and spanning edges (key, links, other)."""
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, home_keys, home, links, label = None, [], [], None, None
@@ -142,16 +147,18 @@ def _compare(least: float, chunk: int):
                 home_keys = np.concatenate(home_keys) if home_keys else np.zeros(0, np.int64)
                 links, label = np.zeros(len(home_keys), np.int64), home_keys.copy()
 
-        def block(keys: np.ndarray, x: np.ndarray) -> list[tuple[int, int]]:
-            """Counts links with a block of partners; returns spanning edges."""
+        def block(keys: np.ndarray, x: np.ndarray, guests: bool) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+            """Counts links with a block of partners; returns spanning edges, and the counts of guests, met nowhere else."""
             if not len(home_keys):
-                return []
+                return [], []
             hit = home @ x.T >= least
             hit &= home_keys[:, None] != keys[None, :]
             links[:] += hit.sum(axis=1)
             h, p = np.nonzero(hit)
             if not len(h):
-                return []
+                return [], []
+            theirs = hit.sum(axis=0) if guests else np.zeros(0, np.int64)
+            counts = [(int(keys[i]), int(theirs[i])) for i in np.flatnonzero(theirs)]
             before, mine = label.copy(), keys.copy()
             while True:
                 old = mine.copy()
@@ -160,10 +167,10 @@ def _compare(least: float, chunk: int):
                 if (old == mine).all() and (label[h] <= mine[p]).all():
                     break
             moved, joined = before != label, keys != mine
-            return list(zip(before[moved].tolist(), label[moved].tolist(), strict=True)) + list(zip(keys[joined].tolist(), mine[joined].tolist(), strict=True))
+            return list(zip(before[moved].tolist(), label[moved].tolist(), strict=True)) + list(zip(keys[joined].tolist(), mine[joined].tolist(), strict=True)), counts
 
-        def rows(edges: list[tuple[int, int]], counts: bool) -> pa.RecordBatch | None:
-            a = [(int(k), int(n), None) for k, n in zip(home_keys, links, strict=True)] if counts else []
+        def rows(edges: list[tuple[int, int]], counts: list[tuple[int, int]]) -> pa.RecordBatch | None:
+            a = [(k, n, None) for k, n in counts]
             a += [(x, None, y) for x, y in set(edges)]
             if not a:
                 return None
@@ -172,7 +179,7 @@ def _compare(least: float, chunk: int):
 
         for batch in batches:
             cells, chunks = batch.column("cell").to_pylist(), batch.column("chunk").to_pylist()
-            partner = batch.column("partner").to_numpy(zero_copy_only=False).astype(bool)
+            partner = batch.column("partner").to_numpy()
             keys = batch.column("key").to_numpy()
             units = batch.column("unit")
             marks = list(zip(cells, chunks, partner.tolist(), strict=True))
@@ -184,23 +191,23 @@ def _compare(least: float, chunk: int):
                 if marks[at][:2] != now:
                     if now is not None:
                         ready()
-                        done = rows([], True)
+                        done = rows([], list(zip(home_keys.tolist(), links.tolist(), strict=True)))
                         if done is not None:
                             yield done
                     now, home_keys, home, links, label = marks[at][:2], [], [], None, None
                 x = np.frombuffer(b"".join(units.slice(at, to - at).to_pylist())).reshape(to - at, -1)
-                if not partner[at]:
+                if partner[at] == HOME:
                     home.append(x)
                     home_keys.append(keys[at:to])
                 else:
                     ready()
-                    done = rows(block(keys[at:to], x), False)
+                    done = rows(*block(keys[at:to], x, partner[at] == GUEST))
                     if done is not None:
                         yield done
                 at = to
         if now is not None:
             ready()
-            done = rows([], True)
+            done = rows([], list(zip(home_keys.tolist(), links.tolist(), strict=True)))
             if done is not None:
                 yield done
     return run
@@ -221,17 +228,21 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, cell: int = CE
     units = written(table.select("key", "embedding", "label").mapInArrow(_unit, "key long, label string, dim int, unit binary"), "units")
     centres = spark.sparkContext.broadcast(_centres(units, cell))          # MAX_CENTRES vectors at most
     far, tight = math.sin(math.acos(min(1.0, max(0.0, least)))), math.cos(math.acos(least) / 2) + 1e-12
-    members = written(units.mapInArrow(_assign(centres, far, tight), "cell string, key long, unit binary, home boolean, ball boolean"), "members")
-    stats = written(members.groupBy("cell").agg(F.count_if(F.expr("home and not ball")).alias("loose"), F.count_if("ball").alias("balls"),
+    members = written(units.mapInArrow(_assign(centres, far, tight), "cell string, key long, unit binary, ball boolean, visits array<string>"), "members")
+    stats = written(members.groupBy("cell").agg(F.count_if(~F.col("ball")).alias("loose"), F.count_if("ball").alias("balls"),
                                                 F.min(F.when(F.col("ball"), F.col("key"))).alias("ball_root"))
                     .select("cell", F.ceil(F.col("loose") / chunk).cast("int").alias("a"), F.ceil(F.col("balls") / chunk).cast("int").alias("b"),
                             "balls", "ball_root"), "cells")
     placed = members.join(stats, "cell")
+    guests = members.where(F.size("visits") > 0).select(F.explode("visits").alias("cell"), "key", "unit").join(stats, "cell")
     spread = F.pmod(F.xxhash64("key", F.lit(3)), F.greatest(F.when(F.col("ball"), F.col("b")).otherwise(F.col("a")), F.lit(1))).cast("int")
-    homes = placed.where("home").select("cell", (spread + F.when(F.col("ball"), F.col("a")).otherwise(0)).alias("chunk"),
-                                        F.lit(False).alias("partner"), "key", "unit")
-    reach_to = F.when(F.col("ball"), F.col("a")).otherwise(F.col("a") + F.col("b"))       # a ball's vectors are not compared with each other
-    partners = placed.where(reach_to > 0).select("cell", F.explode(F.sequence(F.lit(0), reach_to - 1)).alias("chunk"), F.lit(True).alias("partner"), "key", "unit")
+    homes = placed.select("cell", (spread + F.when(F.col("ball"), F.col("a")).otherwise(0)).alias("chunk"), F.lit(HOME).alias("partner"), "key", "unit")
+
+    def meet(rows: DataFrame, chunks: Column, kind: int) -> DataFrame:
+        return rows.where(chunks > 0).select("cell", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), F.lit(kind).alias("partner"), "key", "unit")
+
+    every = F.col("a") + F.col("b")
+    partners = meet(placed, F.when(F.col("ball"), F.col("a")).otherwise(every), SAME).union(meet(guests, every, GUEST))   # a ball's vectors are not compared with each other
     found = written(homes.union(partners).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "partner")
                     .mapInArrow(_compare(least, chunk), "key long, links long, other long"), "links")
     let_go(spark)

@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 
@@ -114,6 +115,16 @@ def test_few_directions_and_many_cells(spark):
     compare(spark, list(range(len(vecs))), vecs, [1] * len(vecs), cell=30)
 
 
+def test_a_link_across_cells_counts_for_both_ends(spark):
+    """However the cells lie, link ends come in pairs: no vector of a component is without a link of its own."""
+    rows = [(i, v, 1, "") for i, v in enumerate(low_rank(dims=24, seed=6))]
+    got = near_vectors(spark.createDataFrame(rows, SCHEMA), cell=30).collect()
+    size = Counter(r["component_id"] for r in got)
+    assert any(n == 2 for n in size.values())
+    assert all(r["n_links"] == 1 for r in got if size[r["component_id"]] == 2)
+    assert all(r["n_links"] > 0 for r in got if size[r["component_id"]] > 1)
+
+
 def test_whole_table(spark):
     t = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     compare(spark, [r["vec_id"] for r in t], [r["embedding"] for r in t], [r["label"] for r in t], cell=20)
