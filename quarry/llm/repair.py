@@ -1,8 +1,8 @@
 """Re-Pair grammar compression of id sequences, and their decoding.
 
-Each round counts adjacent pairs, turns the most frequent ones into new symbols and replaces them from left to
-right, until no pair is frequent.  A pair never spans two documents.  Frequencies are estimated on every
-16th pair (any choice of rules decodes exactly).
+Each round counts all adjacent pairs (in a run of one pair every other), turns the most frequent ones into new
+symbols and replaces them from left to right, until no pair is used ``least`` times.  A pair never spans two
+documents.
 
 A shard is ``bytes``: header (8 unsigned 32-bit numbers: magic, version, base, rules, symbols, anchors, symbol
 bytes, anchor step), the rules' left and right symbols, the rules' expansion lengths (unsigned 32-bit), the
@@ -15,17 +15,15 @@ from __future__ import annotations
 import numpy as np
 
 MAGIC, VERSION = 0x52505131, 1
-ROUNDS = 10
-PER_ROUND = 1024
-#: Least estimated uses of a pair.
-LEAST = 32
+PER_ROUND = 4096
+#: Least uses of a pair (a rule takes 8 bytes, each use saves 2).
+LEAST = 8
 STEP = 1024
-_SAMPLE = 16
 _HASH_BITS = 18
 _HEAD = 8
 
 
-def compress(ids: np.ndarray, doc_ends: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND, least: int = LEAST) -> bytes:
+def compress(ids: np.ndarray, doc_ends: np.ndarray, per_round: int = PER_ROUND, least: int = LEAST) -> bytes:
     """A shard of the ids; doc_ends are the positions after each document's last id."""
     base = int(ids.max(initial=0)) + 1
     symbols = ids.astype(np.uint32)
@@ -34,15 +32,9 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, rounds: int = ROUNDS, per_ro
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     size = base
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:                 # each round replaces a pair at least
         open_ = ~last[:-1]
-        step = _SAMPLE if len(symbols) >= 1 << 16 else 1
-        at = np.flatnonzero(open_[::step]) * step
-        keys, count = np.unique(symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1], return_counts=True)
-        often = count * step >= least
-        keys, count = keys[often], count[often]
+        keys, count = _pairs(symbols, open_, least)
         if not len(keys):
             break
         keys = keys[np.argsort(-count, kind="stable")[:per_round]]
@@ -57,11 +49,7 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, rounds: int = ROUNDS, per_ro
         rule = table[_slot(symbols[:-1], symbols[1:])]
         at = np.flatnonzero((rule >= 0) & open_)
         at = at[(a[rule[at]] == symbols[at]) & (b[rule[at]] == symbols[at + 1])]
-        if not len(at):
-            break
-        head = np.append(True, np.diff(at) > 1)                              # in a run of overlapping pairs every other one
-        run = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
+        at = at[_every_other(np.append(True, np.diff(at) > 1))]              # in a run of overlapping pairs every other one
         symbols[at] = rule[at].astype(np.uint32) + np.uint32(size)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
@@ -86,6 +74,26 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, rounds: int = ROUNDS, per_ro
                      before[::STEP].astype("<u8").tobytes(), symbols.astype(kind).tobytes()])
 
 
+def _every_other(head: np.ndarray) -> np.ndarray:
+    """The first, third, ... of each run; head marks where runs begin."""
+    place = np.arange(len(head))
+    return (place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0
+
+
+def _pairs(symbols: np.ndarray, open_: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """All open pairs used at least ``least`` times, with their uses."""
+    keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+    again = np.flatnonzero((keys[1:] == keys[:-1]) & open_[1:] & open_[:-1]) + 1
+    if len(again):
+        open_ = open_.copy()
+        open_[again[_every_other(np.append(True, np.diff(again) > 1))]] = False
+    keys = np.sort(keys[open_])
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(keys)))
+    often = count >= least
+    return keys[first[often]], count[often]
+
+
 def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - _HASH_BITS)
 

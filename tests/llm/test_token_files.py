@@ -49,6 +49,25 @@ def test_repair_round_trip_and_random_access():
             assert set(ends.tolist()) - {0} <= cut             # no rule spans two documents
 
 
+def test_repair_leaves_no_frequent_pair():
+    """Pairs used a few dozen times in a long shard, at places equal modulo 16, and more of them than one round takes."""
+    rnd = np.random.default_rng(3)
+    ids = rnd.integers(0, 60_000, 1 << 18).astype(np.uint32)
+    at = 16 * rnd.permutation(len(ids) // 16 - 1) + 5
+    for k, place in enumerate(at[:8000].reshape(200, 40)):
+        ids[place], ids[place + 1] = 100 + k, 300 + k
+    for place in at[8000:8040]:
+        ids[place:place + 9] = np.arange(70_000, 70_009)
+    ends = np.array([100_000, len(ids)])
+    shard = Shard(compress(ids, ends, per_round=50, least=32))
+    assert (shard.ids() == ids).all()
+    done = set(zip(shard.left.tolist(), shard.right.tolist(), strict=True))
+    assert {(100 + k, 300 + k) for k in range(200)} <= done
+    assert 9 in shard.lengths[shard.symbols]                    # the passage is one symbol
+    keys, uses = np.unique(shard.symbols[:-1].astype(np.int64) << 32 | shard.symbols[1:], return_counts=True)
+    assert uses.max() < 32
+
+
 def test_odd_texts(spark):
     docs = spark.createDataFrame([(*r, 7) for r in ODD], "doc_id long, text string, start int").repartition(4)
     got = sorted(map(tuple, token_files(docs).collect()), key=lambda r: r[1])
