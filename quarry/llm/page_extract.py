@@ -24,11 +24,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.words import slices, tidy
 
-#: Pages that training reads, about (a hash of the page picks them), and layouts made of each.
+#: Marked pages that training reads whole, about (a hash of id and page picks them), and layouts made of each.
 TRAIN_PAGES = 200
 LAYOUTS_EACH = 4
-#: Blocks of a training page that are read.
-TRAIN_BLOCKS = 80
 STEPS, RATE, PENALTY = 200, 0.15, 5e-4
 
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -326,24 +324,26 @@ def by_marks(blocks: list[Block]) -> list[int] | None:
 
 
 def train(pages: DataFrame, train_pages: int = TRAIN_PAGES, page_col: str = "page_id", html_col: str = "html") -> ChainField:
-    """A field fitted to at most about ``train_pages`` pages; with no marked page, to the layouts alone."""
-    rows = pages.select(F.col(html_col).alias("html")).where("html is not null")
+    """A field fitted to about ``train_pages`` whole marked pages, copies under other ids being pages of their
+    own; with no marked page, to the layouts alone."""
+    rows = pages.select(F.col(page_col).alias("id"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"(?i)<(article|main)[\s/>]"))
     n = rows.count()
     share = min(1.0, train_pages / max(1, n))
-    drawn = rows.where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) / (1 << 20) < share).limit(4 * train_pages)
+    place = F.xxhash64(F.col("id").cast("string"), F.lit("|"), "html")
+    drawn = (rows.withColumn("place", place).where(F.pmod("place", F.lit(1 << 40)) / (1 << 40) < share)
+             .groupBy("place").agg(F.min("html").alias("html")).orderBy("place").limit(4 * train_pages))
     told: list[tuple[list[list[str]], list[int]]] = []
     rnd = random.Random(11)
     texts: list[list[tuple[str, int]]] = []
     for source in sorted(r["html"] for r in drawn.collect()):
-        blocks = leaf_blocks(source)[:TRAIN_BLOCKS]
+        blocks = leaf_blocks(source)
         labels = by_marks(blocks)
         if labels:
             told.append((features(blocks), labels))
             texts.append([(b.text, y) for b, y in zip(blocks, labels, strict=True)])
     for blocks in texts or [[]] * 50:
         for _ in range(LAYOUTS_EACH):
-            some = blocks[:24]
-            told.append(_told(dressed(some, rnd)))
+            told.append(_told(dressed(blocks, rnd)))
     return ChainField.fit(told)
 
 

@@ -83,3 +83,20 @@ def test_edge_cases(spark, field):
     assert max(r["n_chars"] for r in got) == 20_000 * len("word & more ") - 1
     assert extract_pages(spark.createDataFrame([], schema)).count() == 0
     assert len(features(leaf_blocks("<p>a</p>"))) == 1 and len(LAYOUTS) > 5
+
+
+def test_training_reads_whole_marked_pages(spark, monkeypatch):
+    """Long menus before the article, comments after it, few marked pages, and copies of a page under many ids."""
+    def page(k):
+        return (f"<body><ul>{''.join(f'<li>Menu {k} {i}</li>' for i in range(100))}</ul><article><p>Main {k} one.</p><p>Main {k} two.</p></article>"
+                f"<div class='comments'><p>Comment {k}</p></div></body>")
+
+    seen = []
+    monkeypatch.setattr(ChainField, "fit", classmethod(lambda cls, told: seen.append(told)))
+    plain = [(1000 + i, f"<body><p>Plain {i}</p></body>") for i in range(300)]
+    few = spark.createDataFrame([(k, page(k)) for k in range(4)] + plain, "page_id long, html string")
+    train(few, train_pages=4)
+    whole = [y for _, y in seen[0] if y == [0] * 100 + [1, 1] + [0]]
+    assert len(whole) == 4 and len(seen[0]) == 4 * 5
+    train(spark.createDataFrame([(k, page(7)) for k in range(200)], "page_id long, html string"), train_pages=10)
+    assert 3 * 5 <= len(seen[1]) <= 25 * 5                      # copies are drawn as pages of their own
