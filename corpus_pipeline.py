@@ -1,6 +1,7 @@
 """A corpus pipeline: documents through five stages of ``quarry.llm``, each written as Parquet and read again.
 
-Language ID drops texts without a sure language; the set join keeps one document of each group of near
+Language ID drops null texts and those without a letter (its threshold hardly ever rejects another text, gibberish
+and languages that no label teaches included); the set join keeps one document of each group of near
 copies (five words, similarity 0.8); substring dedup removes passages of 35 words that occur again;
 decontamination drops documents that hold a benchmark item; packing lays out what is left.
 """
