@@ -31,10 +31,14 @@ from quarry.llm.components import components
 from quarry.llm.words import tidy
 
 LEAST_COSINE = 0.93
-#: Vectors per cell, about; centres in all, at most (beyond it cells grow); sampled vectors per centre.
+#: Vectors per cell, about; centres in all, at most (beyond it cells grow); sampled vectors and
+#: seeds to choose from per centre; largest cosine of two centres; vectors multiplied at once.
 CELL = 2000
 MAX_CENTRES = 16_384
 SAMPLE_PER_CENTRE = 32
+SEEDS_PER_CENTRE = 4
+APART = 0.9
+BLOCK = 1024
 ROUNDS = 8
 CHUNK = 2048
 HOME, SAME, GUEST = 0, 1, 2
@@ -62,8 +66,8 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["key", "label", "dim", "unit"])
 
 
-def spherical_kmeans(points: np.ndarray, k: int, rounds: int = ROUNDS, apart: float = 0.9) -> np.ndarray:
-    """At most k unit centres, no two with a cosine above ``apart`` (so a dense group keeps one centre)."""
+def _seeds(points: np.ndarray, k: int, apart: float) -> np.ndarray:
+    """At most k of the points, no two with a cosine of ``apart`` or more."""
     chosen = [points[0]]
     best = points @ points[0]
     for i in range(1, len(points)):
@@ -72,31 +76,89 @@ def spherical_kmeans(points: np.ndarray, k: int, rounds: int = ROUNDS, apart: fl
         if best[i] < apart:
             chosen.append(points[i])
             best = np.maximum(best, points @ points[i])
-    centres = np.array(chosen)
-    for _ in range(rounds):
-        own = (points @ centres.T).argmax(axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, points)
-        size = np.linalg.norm(sums, axis=1)
-        centres = np.where(size[:, None] > 1e-9, sums / np.maximum(size, 1e-9)[:, None], centres)
-    kept: list[np.ndarray] = []
+    return np.array(chosen)
+
+
+def _sums(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The sum of the points of each centre, by blocks of points."""
+    sums = np.zeros_like(centres)
+    for at in range(0, len(points), BLOCK):
+        some = points[at:at + BLOCK]
+        np.add.at(sums, (some @ centres.T).argmax(axis=1), some)
+    return sums
+
+
+def _moved(centres: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    size = np.linalg.norm(sums, axis=1)
+    return np.where(size[:, None] > 1e-9, sums / np.maximum(size, 1e-9)[:, None], centres)
+
+
+def _apart(centres: np.ndarray, apart: float) -> np.ndarray:
+    kept, n = np.zeros_like(centres), 0
     for c in centres:
-        if all(c @ o <= apart for o in kept):
-            kept.append(c)
-    return np.array(kept)
+        if (kept[:n] @ c <= apart).all():
+            kept[n], n = c, n + 1
+    return kept[:n]
+
+
+def spherical_kmeans(points: np.ndarray, k: int, rounds: int = ROUNDS, apart: float = APART) -> np.ndarray:
+    """At most k unit centres, no two with a cosine above ``apart`` (so a dense group keeps one centre)."""
+    centres = _seeds(points, k, apart)
+    for _ in range(rounds):
+        centres = _moved(centres, _sums(points, centres))
+    return _apart(centres, apart)
+
+
+def _partial(held):
+    """A task's sums of its vectors by centre."""
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            groups: dict[tuple, list[int]] = {}
+            for i, g in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)):
+                groups.setdefault(g, []).append(i)
+            units = batch.column("unit").to_pylist()
+            for g, rows in groups.items():
+                sums = _sums(np.frombuffer(b"".join(units[i] for i in rows)).reshape(len(rows), g[1]), held.value[g])
+                total[g] = total[g] + sums if g in total else sums
+        for (label, dim), sums in total.items():
+            for c in np.flatnonzero(np.any(sums != 0, axis=1)).tolist():
+                yield pa.RecordBatch.from_arrays([pa.array([label]), pa.array([dim], pa.int32()), pa.array([c], pa.int32()), pa.array([sums[c].tobytes()], pa.binary())],
+                                                 names=["label", "dim", "c", "total"])
+    return run
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    total = np.sum([np.frombuffer(x) for x in rows.column("total").to_pylist()], axis=0)
+    return rows.slice(0, 1).set_column(3, "total", pa.array([total.tobytes()], pa.binary()))
 
 
 def _centres(units: DataFrame, cell: int) -> dict[tuple[str, int], np.ndarray]:
-    """Centres of every (label, dimension) with more than one cell, from SAMPLE_PER_CENTRE vectors a centre."""
+    """Centres of every (label, dimension) with more than one cell.  The rounds run as jobs over SAMPLE_PER_CENTRE
+    vectors a centre; the driver holds SEEDS_PER_CENTRE of them, and the centres."""
     sizes = units.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumn("total", F.lit(units.count()))
     sizes = sizes.withColumn("k", F.ceil(F.col("n") / F.greatest(F.lit(float(cell)), F.col("total") / MAX_CENTRES))).where("k > 1")
     want = sizes.withColumn("share", F.col("k") * SAMPLE_PER_CENTRE / F.col("n")).select("label", "dim", "k", "share")
-    drawn = (units.join(F.broadcast(want), ["label", "dim"])                  # at most MAX_CENTRES rows: each has a centre
-             .where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) / (1 << 20) < F.col("share")))
+    place = F.pmod(F.xxhash64("key", F.lit(7)), F.lit(1 << 20)) / (1 << 20)
+    drawn = written(units.join(F.broadcast(want), ["label", "dim"])           # at most MAX_CENTRES rows: each has a centre
+                    .where(place < F.col("share")).select("label", "dim", "k", "unit", "key", (place / F.least("share", F.lit(1.0))).alias("place")), "sample")
     groups: dict[tuple[str, int], tuple[int, list]] = {}
-    for r in drawn.select("label", "dim", "k", "unit", "key").collect():
+    for r in drawn.where(F.col("place") < SEEDS_PER_CENTRE / SAMPLE_PER_CENTRE).collect():
         groups.setdefault((r["label"], r["dim"]), (r["k"], []))[1].append((r["key"], np.frombuffer(r["unit"])))
-    return {g: spherical_kmeans(np.array([v for _, v in sorted(x, key=lambda t: t[0])]), k) for g, (k, x) in groups.items()}
+    centres = {g: _seeds(np.array([v for _, v in sorted(x, key=lambda t: t[0])]), k, APART) for g, (k, x) in groups.items()}
+    if not centres:
+        return centres
+    taught = drawn.join(F.broadcast(drawn.sparkSession.createDataFrame(list(centres), "label string, dim int")), ["label", "dim"])
+    for _ in range(ROUNDS):
+        held = units.sparkSession.sparkContext.broadcast(centres)
+        sums = {g: np.zeros_like(c) for g, c in centres.items()}
+        for r in (taught.select("label", "dim", "unit").mapInArrow(_partial(held), "label string, dim int, c int, total binary")
+                  .groupBy("label", "dim", "c").applyInArrow(_added, "label string, dim int, c int, total binary").toLocalIterator()):
+            sums[r["label"], r["dim"]][r["c"]] = np.frombuffer(r["total"])
+        centres = {g: _moved(c, sums[g]) for g, c in centres.items()}
+        held.destroy()
+    return {g: _apart(c, APART) for g, c in centres.items()}
 
 
 def _assign(held, far: float, tight: float):

@@ -125,6 +125,16 @@ def test_a_link_across_cells_counts_for_both_ends(spark):
     assert all(r["n_links"] > 0 for r in got if size[r["component_id"]] > 1)
 
 
+def test_the_driver_holds_seeds_and_centres_alone(spark, monkeypatch):
+    rows = [(i, v, 1, "") for i, v in enumerate(low_rank(n=1000, width=16))]
+    frame, most = type(spark.range(0)), []
+    real = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (lambda got: most.append(len(got)) or got)(real(self)))
+    out = near_vectors(spark.createDataFrame(rows, SCHEMA), cell=100)
+    assert 20 < max(most) <= 160                                # 20 centres, 640 sampled vectors
+    assert out.count() == 2000
+
+
 def test_whole_table(spark):
     t = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     compare(spark, [r["vec_id"] for r in t], [r["embedding"] for r in t], [r["label"] for r in t], cell=20)
