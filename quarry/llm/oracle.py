@@ -97,10 +97,60 @@ SELECT kind, chosen_id, rejected_id, n::INTEGER AS prompt_turns, {_rendered('x[1
 FROM s
 """
 
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+def _levels(name: str, key: str, leaves: str) -> str:
+    """CTEs: all nodes of trees over ``leaves`` (key, i, h, n), and each run of siblings as a list."""
+    return f"""
+{name}({key}, lvl, i, h, n) AS (
+  SELECT {key}, 0, i, h, n FROM {leaves}
+  UNION ALL SELECT {key}, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY {key}, lvl, i // 3, n),
+{name}_runs AS (SELECT {key}, lvl, i // 3 AS run, list(h ORDER BY i) AS hs FROM {name} WHERE n > 1 GROUP BY {key}, lvl, i // 3)"""
+
+
+_UP = "sha256(array_to_string(list_transform(hs, lambda x, k: CASE WHEN k = i % 3 + 1 THEN f ELSE x END), ''))"
+_SIBLINGS = "array_to_string(list_filter(hs, lambda x, k: k <> i % 3 + 1), '')"
+_BARE = "replace(text, chr(10), '')"
+
+MANIFEST = f"""
+WITH RECURSIVE ids AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('1' || source, '0') AS g, {' || '.join(f'({_field(c)})' for c in ('doc_id', 'source', 'lang', 'n_chars', 'text'))} AS own,
+    {' || '.join(f'({_field(c)})' for c in ('doc_id', 'source', 'lang', 'n_chars'))} AS head, text FROM documents),
+leaf AS (SELECT rid, doc_id, g, sha256(own) AS h, head, text FROM ids),
+base AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaf),
+crc AS (SELECT doc_id, {{crc}} AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+{_levels('nodes', 'g', 'base')},
+subs AS (SELECT g, h AS sub, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 'top' AS t, i, sub AS h, n FROM subs),
+{_levels('top', 't', 'tops')},
+up(rid, g, lvl, i, f, p) AS (
+  SELECT rid, g, 0, i, CASE WHEN c % 2 = 0 AND text IS NOT NULL THEN sha256(head || strlen({_BARE}) || ':' || {_BARE}) ELSE h END, ''
+  FROM base LEFT JOIN crc USING (doc_id)
+  UNION ALL SELECT rid, up.g, up.lvl + 1, i // 3, {_UP}, p || {_SIBLINGS}
+  FROM up JOIN nodes_runs r ON r.g = up.g AND r.lvl = up.lvl AND r.run = i // 3),
+last AS (SELECT rid, g, f, p FROM up QUALIFY row_number() OVER (PARTITION BY rid ORDER BY lvl DESC) = 1),
+over(rid, lvl, i, f, p) AS (
+  SELECT rid, 0, i, f, p FROM last JOIN subs USING (g)
+  UNION ALL SELECT rid, over.lvl + 1, i // 3, {_UP}, p || {_SIBLINGS} FROM over JOIN top_runs r ON r.lvl = over.lvl AND r.run = i // 3),
+done AS (SELECT rid, f, p FROM over QUALIFY row_number() OVER (PARTITION BY rid ORDER BY lvl DESC) = 1),
+root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT doc_id, base.h AS leaf, sub AS subroot, root, sha256(p) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM base JOIN subs USING (g) JOIN done USING (rid) CROSS JOIN root
+"""
+
+#: crc32 of a decimal number's digits: a table step a byte, from the polynomial alone.
+_TABLE = "list_transform(range(0, 256), lambda b: list_reduce(list_prepend(b, range(0, 8)), lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"
+_CRC = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda a, d: xor(a >> 8, ({_TABLE})[(xor(a, d) & 255) + 1])), 4294967295)"""
+MANIFEST = MANIFEST.replace("{crc}", _CRC)
+
 LLM_ORACLE: dict[str, str] = {
     "op2_substring_dedup": SUBSTRING,
     "op3_set_join": SET_JOIN,
     "op4_license_templates": _licenses(),
     "op5_vector_cells": VECTORS,
     "op9_preference_pairs": PREFERENCES,
+    "op12_postorder_manifest": MANIFEST,
 }

@@ -12,6 +12,7 @@ from quarry.llm.decontaminate import find_leaks
 from quarry.llm.language_id import identify_languages
 from quarry.llm.license_scan import scan_licenses
 from quarry.llm.packing import pack_documents
+from quarry.llm.merkle import manifest_proofs, without_line_feeds
 from quarry.llm.oracle import LLM_ORACLE
 from quarry.llm.page_extract import extract_pages
 from quarry.llm.preference_format import preference_pairs
@@ -82,3 +83,8 @@ def op9_preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_page_field(spark: SparkSession, sf: str) -> DataFrame:
     return extract_pages(table(spark, sf, "pages"))
+
+
+@query
+def op12_postorder_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest_proofs(table(spark, sf, "documents"), without_line_feeds())
