@@ -146,6 +146,20 @@ _CRC = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(strin
     lambda a, d: xor(a >> 8, ({_TABLE})[(xor(a, d) & 255) + 1])), 4294967295)"""
 MANIFEST = MANIFEST.replace("{crc}", _CRC)
 
+RANKED = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+uses AS (SELECT item_id, t, count(*) AS uses FROM q GROUP BY ALL),
+size AS (SELECT count(*) AS cn, sum(len(ws))::BIGINT AS cl FROM d WHERE len(ws) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM d) WHERE t IN (SELECT t FROM uses) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * cn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), size),
+post AS (SELECT r, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * len(ws) * cn) // cl)))) AS s FROM tf JOIN d USING (r) JOIN w USING (t), size),
+total AS (SELECT item_id, r, sum(uses * s)::BIGINT AS score FROM uses JOIN post USING (t) GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r)::INTEGER AS rank, doc_id, score FROM total JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op2_substring_dedup": SUBSTRING,
     "op3_set_join": SET_JOIN,
@@ -153,4 +167,5 @@ LLM_ORACLE: dict[str, str] = {
     "op5_vector_cells": VECTORS,
     "op9_preference_pairs": PREFERENCES,
     "op12_postorder_manifest": MANIFEST,
+    "op13_best_positions": RANKED,
 }

@@ -16,9 +16,11 @@ from quarry.llm.merkle import manifest_proofs, without_line_feeds
 from quarry.llm.oracle import LLM_ORACLE
 from quarry.llm.page_extract import extract_pages
 from quarry.llm.preference_format import preference_pairs
+from quarry.llm.ranked_search import top_documents
 from quarry.llm.set_join import shingle_components
 from quarry.llm.substring_dedup import dedup_substrings
 from quarry.llm.token_files import token_files
+from quarry.llm.toxicity import score_toxicity
 from quarry.llm.vector_dedup import near_vectors
 from quarry.sources.tables import table
 
@@ -85,6 +87,16 @@ def op10_page_field(spark: SparkSession, sf: str) -> DataFrame:
     return extract_pages(table(spark, sf, "pages"))
 
 
+@query
+def op11_swapped_identity(spark: SparkSession, sf: str) -> DataFrame:
+    return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op12_postorder_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return manifest_proofs(table(spark, sf, "documents"), without_line_feeds())
+
+
+@query
+def op13_best_positions(spark: SparkSession, sf: str) -> DataFrame:
+    return top_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
