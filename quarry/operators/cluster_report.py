@@ -8,6 +8,8 @@ distinct score, so memory is bounded by distinct values, not by rows).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,10 @@ from quarry.constants import LANG_SPREAD, LANGUAGES, REPORT_HEADER, REPORT_LINE
 from quarry.operators.kmeans import Means, nearest
 
 
-def report(points: DataFrame, means: Means, langs: list[str] = LANGUAGES, spread: int = LANG_SPREAD) -> DataFrame:
+def report(points: DataFrame, means: Means, langs: list[str] = LANGUAGES, spread: int = LANG_SPREAD,
+           median: Callable[[DataFrame, str, str, str], DataFrame] | None = None) -> DataFrame:
+    """D16.  ``median`` gives the medians another way, as ``selection.weighted_median``, which spreads a cluster with many
+    distinct scores over tasks."""
     a = points.select(nearest("x", "y", means).alias("cluster"), "x", "y", "w")
     per_lang = a.groupBy("cluster", "x").agg(F.sum("w").alias("n"))
     # exact tie-break key: more weight first, then the lower language index
@@ -24,8 +29,10 @@ def report(points: DataFrame, means: Means, langs: list[str] = LANGUAGES, spread
     dom = per_lang.groupBy("cluster").agg(
         F.max_by("x", key).alias("dom_x"),
         F.max("n").alias("dom_n"), F.sum("n").alias("size"))
-    med = a.groupBy("cluster").agg(
-        F.percentile(F.col("y"), F.lit(0.5), F.col("w")).alias("_m"))
+    if median is None:
+        med = a.groupBy("cluster").agg(F.percentile(F.col("y"), F.lit(0.5), F.col("w")).alias("_m"))
+    else:
+        med = median(a, "cluster", "y", "w").withColumnRenamed("median", "_m")
     label = F.element_at(F.array(*[F.lit(x) for x in langs]),
                          F.expr(f"dom_x div {int(spread)}").cast("int") + 1)
     return dom.join(med, "cluster").select(

@@ -8,7 +8,9 @@ not a third of the data in one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.constants import LANG_SPREAD, LANGUAGES
@@ -31,8 +33,8 @@ def _langs(langs: list[str]):
     return F.array(*[F.lit(x) for x in langs])
 
 
-def answers(postings: DataFrame, strict: bool = True) -> DataFrame:
-    """Type-2 postings keyed by parent id; a missing parent raises when strict."""
+def answers(postings: DataFrame, strict: bool = True, *more: str) -> DataFrame:
+    """Type-2 postings keyed by parent id, with their score and other columns named; a missing parent raises when strict."""
     a = postings.filter(F.col("type") == 2)
     if strict:
         pid = F.when(F.col("parent_id").isNull(),
@@ -41,7 +43,7 @@ def answers(postings: DataFrame, strict: bool = True) -> DataFrame:
     else:
         a = a.filter(F.col("parent_id").isNotNull())
         pid = F.col("parent_id")
-    return a.select(pid.alias("qid"), "score")
+    return a.select(pid.alias("qid"), "score", *more)
 
 
 def qa_pairs(postings: DataFrame, strict: bool = True) -> DataFrame:
@@ -62,6 +64,44 @@ def qa_grouped(postings: DataFrame, strict: bool = True) -> DataFrame:
         "qid", "tags", "n_answers", "max_score", "min_score")
 
 
+#: Answers in a numbered block, and rows of a hot question that are numbered in one task, about.
+BLOCK, BUCKET_ROWS = 1000, 1000
+
+
+def numbered_answers(postings: DataFrame, strict: bool = True, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``(qid, id, score, idx)``: each question's answers numbered from 0 in the order of the md5 of their id (then id, score).
+
+    In two stages, so a question of any size spans tasks: a question with more than ``bucket_rows`` answers is cut into
+    ranges of the digest, answers are numbered in their range, and the ranges' counts are summed up before
+    them.  Answers that repeat an id stand in one range."""
+    a = answers(postings, strict, "id")
+    h = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("long")       # 32 bits, in the digest's order
+    a = a.withColumn("_h", F.coalesce(h, F.lit(0)))
+    large = a.groupBy("qid").agg(F.count("*").alias("_n")).where(F.col("_n") > bucket_rows)
+    ranges = F.coalesce(F.expr(f"least((_n + {bucket_rows - 1}) div {bucket_rows}, 1 << 30)"), F.lit(1))
+    a = a.join(large, "qid", "left").withColumn("_range", F.shiftright(F.col("_h") * ranges, 32)).drop("_n")
+    order = [F.md5(F.col("id").cast("string")).asc_nulls_first(), F.col("id").asc_nulls_first(), F.col("score").asc_nulls_first()]
+    inside = a.withColumn("_at", F.row_number().over(Window.partitionBy("qid", "_range").orderBy(*order)) - 1)
+    earlier = Window.partitionBy("qid").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)       # a row per range
+    starts = a.groupBy("qid", "_range").agg(F.count("*").alias("_n")).select("qid", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    return inside.join(starts, ["qid", "_range"]).select("qid", "id", "score", (F.col("_start") + F.col("_at")).alias("idx"))
+
+
+def qa_groups(postings: DataFrame, strict: bool = True, block: int = BLOCK, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """C2 with the pairs themselves: ``(qid, tags, block, answers)``, each answered question's answers ``(idx, id, score)``
+    in numbered blocks of at most ``block``, so no row and no task holds more of a question.  An id on several question rows
+    gives a group for each, as the join multiplies them."""
+    n = numbered_answers(postings, strict, bucket_rows)
+    blocks = (n.groupBy("qid", F.expr(f"idx div {int(block)}").alias("block"))
+              .agg(F.array_sort(F.collect_list(F.struct("idx", "id", "score"))).alias("answers")))
+    return questions(postings).join(blocks, "qid").select("qid", "tags", "block", "answers")
+
+
+def flattened(groups: DataFrame) -> DataFrame:
+    """C1 back from ``qa_groups``: ``(qid, tags, score)``, a row per pair."""
+    return groups.select("qid", "tags", F.explode("answers").alias("a")).select("qid", "tags", F.col("a.score").alias("score"))
+
+
 def scored(postings: DataFrame, strict: bool = True, langs: list[str] = LANGUAGES) -> DataFrame:
     """Highest answer score per answered question, never below 0; one row per question id (the rule for
     repeated ids is ``distinct_questions``').  Both sides are aggregates by id, so the join moves nothing more."""
@@ -126,3 +166,40 @@ def vectors_from_postings(postings: DataFrame, langs: list[str] = LANGUAGES, spr
         answered = answered.filter(known)
     return answered.select("qid", (idx * F.lit(spread)).cast("int").alias("x"),
                            F.greatest(F.col("max_score"), F.lit(0)).cast("int").alias("y"))
+
+
+@dataclass
+class Counted:
+    """A lenient result and, once an action has run on ``rows``, how many rows each reason dropped on the way."""
+
+    rows: DataFrame
+    seen: list[Observation]
+
+    def dropped(self) -> dict[str, int]:
+        """Counts by reason (waits for the action; it starts none)."""
+        return {reason: n or 0 for o in self.seen for reason, n in o.get.items()}
+
+
+#: Reasons of L3, in the order in which rows meet them.
+NO_PARENT, NO_LANGUAGE = "answer without parent", "question with unknown tag"
+
+
+def counted_vectors(postings: DataFrame, langs: list[str] = LANGUAGES, spread: int = LANG_SPREAD) -> Counted:
+    """B5 and B6, not strict, with what they drop counted (L3): answers without a parent, and scored questions whose tag is
+    no language.  Spark observes the rows as they pass, so the postings are read as often as without counting.
+
+    A count belongs to the one action that first runs ``rows``; a stage that a lost executor makes Spark run again
+    may count its rows again, so the counts say at least what was dropped, and the rows are right in any case."""
+    lost, unknown = Observation("lost answers"), Observation("unknown tags")
+    is_a = F.col("type") == 2
+    passing = postings.observe(lost, F.count_if(is_a & F.col("parent_id").isNull()).alias(NO_PARENT))
+    unlisted = F.coalesce(F.array_position(_langs(langs), F.col("tags")), F.lit(0)) == 0
+    is_q = F.col("type") == 1
+    keyed = passing.filter(is_q | (is_a & F.col("parent_id").isNotNull())).select(
+        F.when(is_q, F.col("id")).otherwise(F.col("parent_id")).alias("qid"), "type", "tags", "score")
+    least_tag = F.struct(unlisted.alias("unknown"), F.col("tags").isNull().alias("none"), F.col("tags").alias("tags"))
+    g = keyed.groupBy("qid").agg(F.min(F.when(is_q, least_tag)).alias("_b"), F.max(F.when(is_a, F.col("score"))).alias("_high"), F.count_if(is_a).alias("_a"))
+    high = g.filter(F.col("_b").isNotNull() & (F.col("_a") > 0) & F.col("qid").isNotNull()).select(
+        "qid", F.col("_b.tags").alias("tags"), F.greatest(F.col("_high"), F.lit(0)).alias("high_score"))
+    high = high.observe(unknown, F.count_if(unlisted).alias(NO_LANGUAGE))
+    return Counted(vectors(high, langs, spread, strict=False), [lost, unknown])

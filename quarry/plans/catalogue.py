@@ -14,9 +14,12 @@ from quarry.operators import cluster_report as cr
 from quarry.operators import key_sets as ks
 from quarry.operators import keyword_rank as kr
 from quarry.operators import kmeans as km
+from quarry.operators import nearest_centres as nc
+from quarry.operators import pattern_index as pi
 from quarry.operators import qa_scores as qa
 from quarry.operators import record_sets as rs
 from quarry.operators import sampling as smp
+from quarry.operators import selection as sel
 from quarry.operators import signatures as sg
 from quarry.operators import wide_summary as ws
 from quarry.plans import inputs as I
@@ -145,6 +148,21 @@ def _qa_grouped(spark, sf):
     return qa.qa_grouped(I.postings(spark, sf))
 
 
+@query("qa_groups")
+def _qa_groups(spark, sf):
+    """C2 with the pairs, in numbered blocks; a block's answers as text."""
+    g = qa.qa_groups(I.hot_postings(spark, sf))
+    return g.select("qid", "tags", "block", F.array_join(F.transform("answers", lambda a: F.concat_ws(":", a["idx"], a["id"], a["score"])), ",").alias("answers"))
+
+
+@query("qa_dropped")
+def _qa_dropped(spark, sf):
+    """L3: the lenient vectors, how many there are, and what was dropped, by reason, observed in the same run."""
+    c = qa.counted_vectors(I.lossy_postings(spark, sf), I.LANGS, I.LANG_SPREAD)
+    kept = c.rows.agg(F.count("x").alias("n")).collect()[0]["n"]
+    return spark.createDataFrame([("vectors", kept), *c.dropped().items()], "what string, n long")
+
+
 @query("qa_scored")
 def _qa_scored(spark, sf):
     return qa.scored(I.postings(spark, sf), langs=I.LANGS)
@@ -192,6 +210,12 @@ def _kmeans_assign(spark, sf):
     return km.assign(vec, means)
 
 
+@query("kmeans_assign_table")
+def _kmeans_assign_table(spark, sf):
+    """C3 with the centres as a table of any length."""
+    return nc.assign_table(I.price_points(spark, sf), I.customer_centres(spark, sf))
+
+
 @query("kmeans_step")
 def _kmeans_step(spark, sf):
     pts, means = _start(spark, sf)
@@ -229,6 +253,20 @@ def _cluster_report(spark, sf):
     return km.with_state(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD), res)
 
 
+@query("cluster_report_digits")
+def _cluster_report_digits(spark, sf):
+    """D16 with D15 by digits."""
+    pts, res = _fit(spark, sf)
+    return km.with_state(cr.report(pts, res.means, I.LANGS, I.LANG_SPREAD, sel.weighted_median), res)
+
+
+@query("weighted_median")
+def _weighted_median(spark, sf):
+    """D15 on groups with as many values as rows: prices in cents by return flag, quantities as weights."""
+    li = tbl.table(spark, sf, "lineitem").select("l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"), F.col("l_quantity").cast("long").alias("w"))
+    return sel.weighted_median(li, "l_returnflag", "cents")
+
+
 @query("cluster_report_text")
 def _cluster_report_text(spark, sf):
     pts, res = _fit(spark, sf)
@@ -377,6 +415,18 @@ def _topic_filter(spark, sf):
     return _rec(rs.topic(_set(spark, sf), I.TOPIC_A))
 
 
+@query("topic_table")
+def _topic_table(spark, sf):
+    """B19 with a topic table: which records have how many keywords of which topic."""
+    return pi.topic_matches(_set(spark, sf), I.topics(spark, sf, 5))
+
+
+@query("topic_table_trending")
+def _topic_table_trending(spark, sf):
+    """G5 with a topic table."""
+    return _rec(pi.trending_topics(_set(spark, sf), I.topics(spark, sf, 12)))
+
+
 @query("topic_trending")
 def _topic_trending(spark, sf):
     return _rec(rs.trending(_set(spark, sf), I.TOPIC_A, I.TOPIC_B))

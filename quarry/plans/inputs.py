@@ -120,3 +120,37 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
 def part_names(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct part names, the 'sentences' of the anagram jobs."""
     return table(spark, sf, "part").select(F.col("p_name").alias("sentence")).distinct()
+
+
+def topics(spark: SparkSession, sf: str, shortest: int) -> DataFrame:
+    """Topic table = words of at least so many letters of ``benchmark`` items (topic = item_id, kw)."""
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("topic"), F.explode(F.split("text", "[^\\p{L}]+")).alias("kw"))
+    return b.filter(F.char_length("kw") >= shortest).distinct()
+
+
+def price_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Integer points = order lines (x = price in whole units, y = part)."""
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.floor("l_extendedprice").cast("int").alias("x"),
+                                               F.col("l_partkey").cast("int").alias("y"))
+
+
+def customer_centres(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of many centres = customers (i = key, x = balance in tenths, y = key)."""
+    return table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("i"), F.floor(F.col("c_acctbal") * 10).cast("int").alias("x"),
+                                               F.col("c_custkey").cast("int").alias("y"))
+
+
+def hot_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings with few questions and many answers to each: regions (questions) and orders (answers, by customer)."""
+    r = table(spark, sf, "region").select(F.lit(1).alias("type"), F.col("r_regionkey").cast("long").alias("id"), F.lit(None).cast("long").alias("parent_id"),
+                                          F.lit(0).alias("score"), F.col("r_name").alias("tags"))
+    o = table(spark, sf, "orders").select(F.lit(2).alias("type"), F.col("o_orderkey").cast("long").alias("id"), (F.col("o_custkey") % 5).cast("long").alias("parent_id"),
+                                          F.floor("o_totalprice").cast("int").alias("score"), F.lit(None).cast("string").alias("tags"))
+    return r.unionByName(o)
+
+
+def lossy_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """The postings with lost values: answers whose score 7 divides have no parent, and urgent questions have no tag."""
+    p = postings(spark, sf)
+    lost = (F.col("type") == 2) & (F.col("score") % 7 == 0)
+    return p.withColumns({"parent_id": F.when(~lost, F.col("parent_id")), "tags": F.when(F.col("tags") != LANGS[0], F.col("tags"))})

@@ -83,6 +83,17 @@ ORACLE["qa_pairs"] = f"WITH {_QA} SELECT q.qid, q.tags, a.score FROM q JOIN a ON
 ORACLE["qa_grouped"] = f"""WITH {_QA}
 SELECT q.qid, q.tags, count(*) AS n_answers, max(a.score) AS max_score, min(a.score) AS min_score
 FROM q JOIN a ON a.qid = q.qid GROUP BY q.qid, q.tags"""
+ORACLE["qa_groups"] = """
+WITH a AS (SELECT o_custkey % 5 AS qid, o_orderkey AS id, CAST(floor(o_totalprice) AS INTEGER) AS score FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY md5(id::VARCHAR), id, score) - 1 AS idx FROM a)
+SELECT CAST(qid AS BIGINT) AS qid, r_name AS tags, CAST(idx // 1000 AS BIGINT) AS block, string_agg(idx || ':' || id || ':' || score, ',' ORDER BY idx) AS answers
+FROM n JOIN region ON r_regionkey = qid GROUP BY qid, r_name, idx // 1000"""
+ORACLE["qa_dropped"] = f"""
+WITH p AS (SELECT l_orderkey AS qid, CAST(trunc(l_quantity) AS INTEGER) - 25 AS score FROM lineitem),
+s AS (SELECT qid, o_orderpriority AS tags FROM p JOIN orders ON o_orderkey = qid WHERE score % 7 <> 0 GROUP BY qid, o_orderpriority)
+SELECT 'vectors' AS what, count(*) AS n FROM s WHERE tags <> '{I.LANGS[0]}'
+UNION ALL SELECT 'answer without parent', count(*) FROM p WHERE score % 7 = 0
+UNION ALL SELECT 'question with unknown tag', count(*) FROM s WHERE tags = '{I.LANGS[0]}'"""
 ORACLE["qa_scored"] = f"WITH {_VEC} SELECT qid, tags, high_score FROM scored"
 ORACLE["vectors"] = f"WITH {_VEC} SELECT qid, x, y FROM vec"
 ORACLE["vectors_joined"] = ORACLE["vectors"]
@@ -94,6 +105,17 @@ ORACLE["kmeans_assign"] = f"""WITH {_VEC}
 SELECT v.qid, v.x, v.y, first(m.i ORDER BY {_d2('v.x', 'v.y', 'm.x', 'm.y')}, m.i) AS cluster
 FROM vec v, init m GROUP BY v.qid, v.x, v.y"""
 
+ORACLE["kmeans_assign_table"] = f"""
+WITH p AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice) AS INTEGER) AS x, CAST(l_partkey AS INTEGER) AS y FROM lineitem),
+c AS (SELECT CAST(c_custkey AS INTEGER) AS i, CAST(floor(c_acctbal * 10) AS INTEGER) AS cx, CAST(c_custkey AS INTEGER) AS cy FROM customer),
+d AS (SELECT x, y, min({{'d': {_d2('x', 'y', 'cx', 'cy')}, 'i': i}}).i AS cluster FROM (SELECT DISTINCT x, y FROM p), c GROUP BY x, y)
+SELECT l_orderkey, l_linenumber, x, y, cluster FROM p JOIN d USING (x, y)"""
+ORACLE["weighted_median"] = """
+WITH v AS (SELECT l_returnflag, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(sum(trunc(l_quantity)) AS BIGINT) AS w FROM lineitem GROUP BY ALL),
+r AS (SELECT *, sum(w) OVER (PARTITION BY l_returnflag ORDER BY cents) AS upto, sum(w) OVER (PARTITION BY l_returnflag) AS n FROM v)
+SELECT l_returnflag, avg(cents)::DOUBLE AS median FROM r WHERE (upto - w <= (n - 1) // 2 AND (n - 1) // 2 < upto) OR (upto - w <= n // 2 AND n // 2 < upto)
+GROUP BY l_returnflag"""
+
 _STEP = f""",
 asg0 AS (SELECT v.x, v.y, first(m.i ORDER BY {_d2('v.x', 'v.y', 'm.x', 'm.y')}, m.i) AS ci
          FROM vec v, init m GROUP BY v.qid, v.x, v.y),
@@ -140,6 +162,7 @@ rep AS (SELECT dom.cluster, {LANGS}[dom_x // {SP} + 1] AS label,
         FROM dom JOIN med ON med.cluster = dom.cluster)"""
 
 ORACLE["cluster_report"] = f"WITH RECURSIVE {_VEC}{_FIT}{_REPORT} SELECT rep.*, iterations, converged FROM rep, state"
+ORACLE["cluster_report_digits"] = ORACLE["cluster_report"]
 ORACLE["kmeans_job"] = ORACLE["cluster_report"]
 _HEADER = ", ".join(f"({i}, '{t}')" for i, t in enumerate(REPORT_HEADER))
 ORACLE["cluster_report_text"] = f"""WITH RECURSIVE {_VEC}{_FIT}{_REPORT},
@@ -211,6 +234,9 @@ SELECT s.*, s.text = (SELECT text FROM s ORDER BY retweets DESC, text LIMIT 1) A
 ORACLE["set_render"] = f"""SELECT 'User: ' || user || chr(10) || 'Text: ' || text || ' [' || CAST(retweets AS VARCHAR) || ']' AS line
 FROM {_SET}"""
 ORACLE["topic_filter"] = f"SELECT * FROM {_SET} WHERE contains(text, 'the') OR contains(text, 'The')"
+_TOPICS = "(SELECT DISTINCT item_id AS topic, unnest(regexp_extract_all(text, '\\p{L}+')) AS kw FROM benchmark)"
+ORACLE["topic_table"] = f"""SELECT seq, topic, count(*) AS n_keywords FROM (SELECT min(doc_id) AS seq, text FROM documents GROUP BY text) JOIN {_TOPICS} ON contains(text, kw) AND length(kw) >= 5 GROUP BY seq, topic"""
+ORACLE["topic_table_trending"] = f"""SELECT * FROM {_SET} s WHERE EXISTS (SELECT 1 FROM {_TOPICS} WHERE length(kw) >= 12 AND contains(s.text, kw))"""
 ORACLE["topic_trending"] = f"""SELECT * FROM {_SET}
 WHERE contains(text, 'the') OR contains(text, 'The') OR contains(text, 'le') OR contains(text, 'Le')"""
 
