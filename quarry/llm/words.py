@@ -25,16 +25,18 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_POW_STEP = 1 << 16
 _POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def tidy(run):
-    """The batch function, giving freed memory back to the system when it ends: Python workers outlive their
-    tasks, and what one stage took would stand beside what the next one takes."""
+    """The batch function, giving its memory back to the system when it ends, the power tables too: Python workers outlive
+    their tasks, and what one stage took would stand beside what the next one takes."""
     def wrapped(batches):
         try:
             yield from run(batches)
         finally:
+            _POW.clear()
             gc.collect()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):       # glibc alone has it
@@ -57,7 +59,7 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n (kept, grown on demand)."""
     have = _POW.get(int(base))
     if have is None or len(have[0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = -(-n // _POW_STEP) * _POW_STEP
         inv = U(pow(int(base), -1, 1 << 64))
         up, down = np.full(size, base, np.uint64), np.full(size, inv, np.uint64)
         up[0] = down[0] = U(1)
