@@ -68,3 +68,11 @@ def texts_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, with underscores before it until no column has it (names are compared without case, as Spark does)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import forget, let_go, texts, texts_key, written
+from quarry.llm.common import forget, fresh, let_go, texts, texts_key, written
 from quarry.llm.components import components
 from quarry.llm.words import U, Words, mix, slices, tidy, window_sums
 
@@ -312,11 +312,12 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, id_co
     best = written(own.groupBy("c").agg(F.min("first").alias("first")), "best")
     place = written(own.select("cls", "c").join(best, "c").select("cls", F.col("first.key").alias("stays")), "place")
     words = sets.where("n > 0").join(place, "cls")
-    gone = written(words.where("key != stays").select(F.col("key").alias("_key")).distinct(), "gone")
-    again = written(words.where("key = stays").groupBy(F.col("key").alias("_key")).count().where("count > 1").select("_key"), "again")
+    name = fresh("_key", docs.columns)
+    gone = written(words.where("key != stays").select(F.col("key").alias(name)).distinct(), "gone")
+    again = written(words.where("key = stays").groupBy(F.col("key").alias(name)).agg(F.count("*").alias("n")).where("n > 1").select(name), "again")
     let_go(docs.sparkSession)
-    keyed = docs.withColumn("_key", texts_key(id_col, text_col))
-    left = keyed.join(gone, "_key", "left_anti")
+    keyed = docs.withColumn(name, texts_key(id_col, text_col))
+    left = keyed.join(gone, name, "left_anti")
     if not again.isEmpty():
-        left = left.join(again, "_key", "left_anti").unionByName(left.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+        left = left.join(again, name, "left_anti").unionByName(left.join(again, name, "left_semi").dropDuplicates([name]))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from quarry.llm.components import components
-from quarry.llm.set_join import shingle_components
+from quarry.llm.set_join import keep_one_of_each, shingle_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +85,13 @@ def test_whole_table(spark, percent):
     got = sorted(map(tuple, shingle_components(docs, percent=percent).collect()), key=str)
     assert got == brute(rows, percent=percent)
     assert any(c != d for d, _, c in got)
+
+
+def test_one_of_each_leaves_columns_of_any_name_alone(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, text, "mine", 1), (2, text, "yours", 2), (3, "other words stand here in this text", "third", 3), (3, "other words stand here in this text", "fourth", 4)],
+                                 "doc_id long, text string, _key string, __KEY int")
+    got = keep_one_of_each(docs)
+    assert got.schema == docs.schema
+    kept = {tuple(r) for r in got.collect()}
+    assert len(kept) == 2 and (1, text, "mine", 1) in kept and kept < {tuple(r) for r in docs.collect()}
