@@ -1,6 +1,6 @@
 """Re-Pair grammar compression of id sequences, and their decoding.
 
-Each round counts all adjacent pairs (in a run of one pair every other), turns the most frequent ones into new
+Each round turns the most frequent adjacent pairs (in a run of one pair every other is counted) into new
 symbols and replaces them from left to right, until no pair is used ``least`` times.  A pair never spans two
 documents.
 
@@ -21,10 +21,14 @@ LEAST = 8
 STEP = 1024
 _HASH_BITS = 18
 _HEAD = 8
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
 def compress(ids: np.ndarray, doc_ends: np.ndarray, per_round: int = PER_ROUND, least: int = LEAST) -> bytes:
-    """A shard of the ids; doc_ends are the positions after each document's last id."""
+    """A shard of the ids; doc_ends are the positions after each document's last id.
+
+    Uses are counted over the whole shard once.  A round then takes away the pairs at and beside the places it
+    replaces, and counts those that its new symbols form: pairs of older symbols never gain uses."""
     base = int(ids.max(initial=0)) + 1
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
@@ -32,29 +36,39 @@ def compress(ids: np.ndarray, doc_ends: np.ndarray, per_round: int = PER_ROUND,
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     size = base
+    keys, uses = _often(_keys(symbols, last, np.arange(len(symbols) - 1)), least)
     while len(symbols) > 1:                 # each round replaces a pair at least
-        open_ = ~last[:-1]
-        keys, count = _pairs(symbols, open_, least)
-        if not len(keys):
+        own_keys, own_uses = _doubles(symbols, last, least)
+        all_keys, all_uses = np.concatenate([keys, own_keys]), np.concatenate([uses, own_uses])
+        if not len(all_keys):
             break
-        keys = keys[np.argsort(-count, kind="stable")[:per_round]]
-        a, b = (keys >> np.uint64(32)).astype(np.uint32), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        chosen = all_keys[np.lexsort((all_keys, -all_uses))[:per_round]]
+        a, b = (chosen >> _HALF).astype(np.uint32), (chosen & _LOW).astype(np.uint32)
         slot = _slot(a, b)
         table = np.full(1 << _HASH_BITS, -1, np.int32)
-        table[slot[::-1]] = np.arange(len(keys), dtype=np.int32)[::-1]       # of two in one slot the more frequent stays
-        kept = np.flatnonzero(table[slot] == np.arange(len(keys)))
+        table[slot[::-1]] = np.arange(len(chosen), dtype=np.int32)[::-1]     # of two in one slot the more frequent stays
+        kept = np.flatnonzero(table[slot] == np.arange(len(chosen)))
         a, b = a[kept], b[kept]
         table[:] = -1
         table[slot[kept]] = np.arange(len(kept), dtype=np.int32)
-        rule = table[_slot(symbols[:-1], symbols[1:])]
-        at = np.flatnonzero((rule >= 0) & open_)
-        at = at[(a[rule[at]] == symbols[at]) & (b[rule[at]] == symbols[at + 1])]
-        at = at[_every_other(np.append(True, np.diff(at) > 1))]              # in a run of overlapping pairs every other one
-        symbols[at] = rule[at].astype(np.uint32) + np.uint32(size)
+        begins = np.zeros(size, bool)
+        begins[a] = True
+        at = np.flatnonzero(begins[symbols[:-1]] & ~last[:-1])
+        rule = table[_slot(symbols[at], symbols[at + 1])]
+        there = (rule >= 0) & (a[rule] == symbols[at]) & (b[rule] == symbols[at + 1])
+        at, rule = at[there], rule[there]
+        every = _every_other(np.append(True, np.diff(at) > 1))               # in a run of overlapping pairs every other one
+        at, rule = at[every], rule[every]
+        keys, uses = _less(keys, uses, _keys(symbols, last, _beside(at, len(symbols) - 1, (-1, 0, 1))), least)
+        symbols[at] = rule.astype(np.uint32) + np.uint32(size)
+        last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        last[at] = last[at + 1]
         symbols, last = symbols[keep], last[keep]
+        more, more_uses = _often(_keys(symbols, last, _beside(at - np.arange(len(at)), len(symbols) - 1, (-1, 0))), least)
+        keys, uses = np.concatenate([keys, more]), np.concatenate([uses, more_uses])
+        order = np.argsort(keys)
+        keys, uses = keys[order], uses[order]
         left.append(a)
         right.append(b)
         size += len(a)
@@ -80,18 +94,51 @@ def _every_other(head: np.ndarray) -> np.ndarray:
     return (place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0
 
 
-def _pairs(symbols: np.ndarray, open_: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """All open pairs used at least ``least`` times, with their uses."""
-    keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-    again = np.flatnonzero((keys[1:] == keys[:-1]) & open_[1:] & open_[:-1]) + 1
-    if len(again):
-        open_ = open_.copy()
-        open_[again[_every_other(np.append(True, np.diff(again) > 1))]] = False
-    keys = np.sort(keys[open_])
+def _beside(at: np.ndarray, n: int, steps: tuple[int, ...]) -> np.ndarray:
+    """The places at the given distances from ascending ones, each once, inside 0 to n."""
+    out = np.zeros(n + 2, bool)
+    for s in steps:
+        out[np.clip(at + s, -1, n) + 1] = True
+    return np.flatnonzero(out[1:-1])
+
+
+def _keys(symbols: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pairs at these places, ascending; without those that span two documents or repeat a symbol."""
+    a, b = symbols[at], symbols[at + 1]
+    own = ~last[at] & (a != b)
+    return np.sort(a[own].astype(np.uint64) << _HALF | b[own])
+
+
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each of some ascending keys, and how often it stands there."""
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    count = np.diff(np.append(first, len(keys)))
-    often = count >= least
-    return keys[first[often]], count[often]
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
+def _often(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    keys, uses = _counted(keys)
+    often = uses >= least
+    return keys[often], uses[often]
+
+
+def _less(keys: np.ndarray, uses: np.ndarray, gone: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The table without the uses that are gone, and without the pairs that are then too rare."""
+    pair, n = _counted(gone)
+    if len(keys) and len(pair):
+        place = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        own = keys[place] == pair
+        uses = uses.copy()
+        uses[place[own]] -= n[own]
+    often = uses >= least
+    return keys[often], uses[often]
+
+
+def _doubles(symbols: np.ndarray, last: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one symbol with itself; in a run of them every other place is a use."""
+    at = np.flatnonzero((symbols[1:] == symbols[:-1]) & ~last[:-1])
+    at = at[_every_other(np.append(True, np.diff(at) > 1))] if len(at) else at
+    a = symbols[at].astype(np.uint64)
+    return _often(np.sort(a << _HALF | a), least)
 
 
 def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
