@@ -76,3 +76,14 @@ def fresh(name: str, columns: list[str]) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+#: Characters of a text that decide, with the id, to which range a row goes.
+_LEAD = 32
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """``(id, text)`` dealt out by ranges in ascending order, null ids first, equal ids by their texts.  The ranges look at
+    the texts' beginnings as well, so an id with many rows spans tasks (rows that begin alike stand together)."""
+    lead = F.substring("text", 1, _LEAD)
+    return rows.repartitionByRange(F.col("id"), lead).sortWithinPartitions("id", "text")

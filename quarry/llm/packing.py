@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import in_order
 from quarry.llm.tokens import WordTokenizer
 from quarry.llm.words import slices, tidy
 
@@ -152,8 +153,8 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
     ``ids_crc32`` (of its ids as little-endian unsigned 32-bit numbers), ``doc_tokens`` (with ``end``),
     ``sequence_id`` (ascending with the ids' order) and ``offset`` in the sequence.
 
-    A null or empty text is ``end`` alone.  Equal ids stand in the order of their texts, null ids first; repeated
-    rows are documents of their own.  Documents of any length are packed whole."""
+    A null or empty text is ``end`` alone.  Equal ids stand in the order of their texts, null ids first, and an
+    id with many rows spans tasks; repeated rows are documents of their own.  Documents of any length are packed whole."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
 
@@ -176,6 +177,6 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
         if out is not None:
             yield out
 
-    return (base.repartitionByRange("id").sortWithinPartitions("id", "text")
+    return (in_order(base)
             .mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
             .withColumnRenamed("id", id_col))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import shared_dir
+from quarry.llm.common import in_order, shared_dir
 from quarry.llm.repair import Shard, compress
 from quarry.llm.tokens import ENCODE_BYTES, WordTokenizer
 from quarry.llm.words import slices, tidy
@@ -74,10 +74,11 @@ def _encode(path: str | None, end: int, shard_ids: int):
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END, shard_ids: int = SHARD_IDS,
                       id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every whole text (null: empty), appends ``end`` to each, and writes shards in ascending id order
-    (null ids first; equal ids by text).  An empty table gives files without rows."""
+    (null ids first; equal ids by text, and an id with many rows spans tasks).  An empty table gives files without
+    rows."""
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = base.schema["id"].dataType.simpleString()
-    ordered = base.repartitionByRange("id").sortWithinPartitions("id", "text")
+    ordered = in_order(base)
     (ordered.mapInArrow(_encode(vocabulary, end, shard_ids),
                         f"part long, shard long, before long, ids array<{kind}>, counts array<long>, tokens long, payload binary")
      .write.parquet(path))

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 from tokenizers import Tokenizer
 
+from quarry.llm.common import in_order as in_tasks
 from quarry.llm.packing import INNER_CUT, PER_SEQUENCE, SENTENCE_CUT, best_cuts, cut_places, pack_documents
 from quarry.llm.repair import Shard, compress
 from quarry.llm.token_files import read_token_files, token_files, write_token_files
@@ -92,6 +93,33 @@ def test_files_of_small_shards_and_an_empty_table(spark, tmp_path):
     assert read_token_files(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_an_id_with_most_rows_spans_tasks_in_order(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")           # the table is small
+    rng = random.Random(3)
+    rows = [(None if i % 10 else i, f"{rng.random()} text {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = in_tasks(docs.selectExpr("doc_id AS id", "text")).selectExpr("spark_partition_id() AS p", "id", "text").collect()
+    assert len({r["p"] for r in dealt if r["id"] is None}) > 3
+    by_task = sorted({r["p"] for r in dealt})
+    assert [(r["id"], r["text"]) for p in by_task for r in dealt if r["p"] == p] == in_order(rows)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_counts_carried_on_leave_no_frequent_pair_in_text():
+    """Uses taken away and added round by round are those of a whole count at the end."""
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 60, rng.integers(2, 7)) for _ in range(40)]
+    ids = np.concatenate([words[k] for k in rng.zipf(1.3, 4000) % 40] + [np.full(500, 7)]).astype(np.uint32)
+    ends = np.unique(np.append(rng.integers(1, len(ids), 50), len(ids)))
+    shard = Shard(compress(ids, ends, per_round=16))
+    assert np.array_equal(shard.ids(), ids) and np.array_equal(shard.read(1234, 777), ids[1234:2011])
+    cut = np.cumsum(shard.lengths[shard.symbols])
+    open_ = ~np.isin(cut[:-1], ends)
+    a, b = shard.symbols[:-1][open_].astype(np.int64), shard.symbols[1:][open_].astype(np.int64)
+    pairs, uses = np.unique((a << 32 | b)[a != b], return_counts=True)
+    assert len(shard.left) > 30 and uses.max() < 8
+
+
 def test_best_cuts_against_exhaustive_dynamic_programming():
     rnd = random.Random(8)
     for _ in range(60):
