@@ -17,13 +17,14 @@ from quarry.operators import kmeans as km
 from quarry.operators import nearest_centres as nc
 from quarry.operators import pattern_index as pi
 from quarry.operators import qa_scores as qa
+from quarry.operators import ranked_list as rl
 from quarry.operators import record_sets as rs
 from quarry.operators import sampling as smp
 from quarry.operators import selection as sel
 from quarry.operators import signatures as sg
 from quarry.operators import wide_summary as ws
 from quarry.plans import inputs as I
-from quarry.session import release
+from quarry.session import release, shared_folder
 from quarry.sources import json as sj
 from quarry.sources import tables as tbl
 from quarry.sources import text as src_text
@@ -138,6 +139,22 @@ def _posting_parse(spark, sf):
     return src_text.parse_postings(I.posting_lines(spark, sf))
 
 
+@query("posting_files")
+def _posting_files(spark, sf):
+    """A1, A3: the posting lines written as text files, a file a partition, and read and parsed again."""
+    path = shared_folder(spark, "postings")
+    src_text.write_lines(I.posting_lines(spark, sf), path)
+    return src_text.parse_postings(src_text.read_lines(spark, path))
+
+
+@query("word_files")
+def _word_files(spark, sf):
+    """The distinct words written as a word list, and read again."""
+    path = shared_folder(spark, "words")
+    src_text.write_lines(I.words(spark, sf).distinct(), path, "word")
+    return src_text.read_lines(spark, path).withColumnRenamed("value", "word")
+
+
 @query("qa_pairs")
 def _qa_pairs(spark, sf):
     return qa.qa_pairs(I.postings(spark, sf))
@@ -303,6 +320,14 @@ def _wide_schema(spark, sf):
     return rep.select("pos", "name", F.col("label").alias("type"), "nulls")
 
 
+@query("wide_files")
+def _wide_files(spark, sf):
+    """The survey written as CSV files, each with its header, and read again by the header."""
+    path = shared_folder(spark, "survey")
+    src_text.write_wide_csv(I.wide(spark, sf), path)
+    return src_text.read_wide_csv(spark, path)[1]
+
+
 @query("wide_classify")
 def _wide_classify(spark, sf):
     df, (p, w, o) = _classified(spark, sf)
@@ -405,6 +430,12 @@ def _set_head_tail(spark, sf):
     return rs.head_flagged(_set(spark, sf))
 
 
+@query("set_page")
+def _set_page(spark, sf):
+    """the records of rank 100 to 149 of the descending list."""
+    return rl.list_page(_set(spark, sf), 100, 50)
+
+
 @query("set_render")
 def _set_render(spark, sf):
     return rs.render(_set(spark, sf))

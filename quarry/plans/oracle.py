@@ -79,6 +79,7 @@ samp AS (SELECT qid, x, y FROM (SELECT *, row_number() OVER (PARTITION BY x ORDE
                                 FROM vec) WHERE rn <= {PER}),
 init AS (SELECT CAST(row_number() OVER (ORDER BY x, md5('{SEED}:' || qid), qid) - 1 AS INTEGER) AS i, x, y FROM samp)"""
 
+ORACLE["posting_files"] = ORACLE["posting_parse"]
 ORACLE["qa_pairs"] = f"WITH {_QA} SELECT q.qid, q.tags, a.score FROM q JOIN a ON a.qid = q.qid"
 ORACLE["qa_grouped"] = f"""WITH {_QA}
 SELECT q.qid, q.tags, count(*) AS n_answers, max(a.score) AS max_score, min(a.score) AS min_score
@@ -200,6 +201,7 @@ _GROUPS = {"l_extendedprice": "primary", "l_quantity": "work", "l_tax": "work",
            "l_partkey": "other", "l_suppkey": "other", "l_linenumber": "other", "l_discount": "other"}
 ORACLE["wide_classify"] = f"WITH {_WIDE} " + " UNION ALL ".join(
     f"SELECT '{c}' AS name, '{g}' AS grp, count({c}) AS n_values FROM wide" for c, g in _GROUPS.items())
+ORACLE["wide_files"] = f"WITH {_WIDE} SELECT * FROM wide"
 ORACLE["wide_summary"] = f"WITH {_SUMMARY} SELECT * FROM summary"
 ORACLE["wide_typed"] = ORACLE["wide_summary"]
 ORACLE["wide_grouped"] = f"""WITH {_SUMMARY}
@@ -235,6 +237,8 @@ ORACLE["set_render"] = f"""SELECT 'User: ' || user || chr(10) || 'Text: ' || tex
 FROM {_SET}"""
 ORACLE["topic_filter"] = f"SELECT * FROM {_SET} WHERE contains(text, 'the') OR contains(text, 'The')"
 _TOPICS = "(SELECT DISTINCT item_id AS topic, unnest(regexp_extract_all(text, '\\p{L}+')) AS kw FROM benchmark)"
+ORACLE["set_page"] = f"""SELECT * FROM (SELECT *, row_number() OVER (ORDER BY retweets DESC, text) - 1 AS rank FROM {_SET})
+WHERE rank >= 100 AND rank < 150"""
 ORACLE["topic_table"] = f"""SELECT seq, topic, count(*) AS n_keywords FROM (SELECT min(doc_id) AS seq, text FROM documents GROUP BY text) JOIN {_TOPICS} ON contains(text, kw) AND length(kw) >= 5 GROUP BY seq, topic"""
 ORACLE["topic_table_trending"] = f"""SELECT * FROM {_SET} s WHERE EXISTS (SELECT 1 FROM {_TOPICS} WHERE length(kw) >= 12 AND contains(s.text, kw))"""
 ORACLE["topic_trending"] = f"""SELECT * FROM {_SET}
@@ -283,6 +287,7 @@ _WORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(t
 _BWORDS = """(SELECT lower(w) AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{L}]+')) AS w FROM benchmark)
   WHERE w <> '')"""
 _DICT = f"(SELECT DISTINCT {_sig('word')} AS sig, word FROM {_WORDS})"
+ORACLE["word_files"] = f"SELECT DISTINCT word FROM {_WORDS}"
 ORACLE["word_signature"] = f"SELECT DISTINCT word, {_sig('word')} AS sig FROM {_WORDS}"
 ORACLE["signature_dictionary"] = f"SELECT * FROM {_DICT}"
 ORACLE["word_anagrams"] = f"""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import io
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own, not made yet, in the folder the session names for checkpoints, which all executors see.  Only a
+    local session that names none gets one in the temporary folder."""
+    base = checkpoint_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; files need a shared folder")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame, computed once: a reliable checkpoint where the session names a folder, else persisted
     (recomputable from its lineage).  Release it with ``release`` when nothing reads it any more."""

@@ -23,6 +23,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def write_lines(lines: DataFrame, path: str, line: str = "value") -> None:
+    """Sink for A1/A12: a file a partition, a line a row.  A null line or one with a line break raises, as it would not
+    come back as it is."""
+    c = F.col(line)
+    whole = F.when(c.isNull() | c.rlike("[\\r\\n]"), F.raise_error(F.lit("a line is null or holds a line break"))).otherwise(c)
+    lines.select(whole.alias("value")).write.text(path)
+
+
 def parse_articles(lines: DataFrame, line: str = "value",
                    title_start: int = ARTICLE_TITLE_START,
                    tail: int = ARTICLE_TAIL) -> DataFrame:
@@ -92,6 +100,23 @@ def wide_schema(columns: list[str]) -> T.StructType:
                         [T.StructField(c, T.DoubleType(), False) for c in columns[1:]])
 
 
+def write_wide_csv(df: DataFrame, path: str) -> None:
+    """Sink for A4: CSV files, a partition each and each with the header, no quoting.  The first column is text, the others
+    are numbers; a null, and a text with a comma or a line break, raises, as it could not be read back."""
+    first, *numbers = df.columns
+    if any("," in c or "\n" in c for c in df.columns):
+        raise ValueError("a column name holds a comma or a line break")
+
+    def checked(name: str, bad: Column) -> Column:
+        c = F.col(f"`{name}`")
+        return F.when(bad, F.raise_error(F.lit(f"column {name} cannot be written"))).otherwise(c).alias(name)
+
+    text = F.col(f"`{first}`")
+    out = df.select(checked(first, text.isNull() | text.rlike("[,\\r\\n]")), *[checked(c, F.col(f"`{c}`").isNull()) for c in numbers])
+    (out.write.option("header", True).option("quote", "\u0000").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def read_wide_csv(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
     """CSV files whose first line is the header; no quoting.
 

@@ -128,3 +128,32 @@ def test_wide_csv_empty_numbers_and_swapped_headers_raise(spark, ansi, tmp_path)
             st.read_wide_csv(spark, str(tmp_path / "c.csv"))[1].collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_lines_and_survey_files_come_back_row_by_row(spark, tmp_path):
+    lines = ["1,100,,,5,Java", "", " padded ", "tab\there", "é"] * 3
+    df = spark.createDataFrame([(x,) for x in lines], "value string").repartition(4)
+    st.write_lines(df, str(tmp_path / "lines"))
+    assert len(list((tmp_path / "lines").glob("part-*"))) > 1
+    assert sorted(rows(st.read_lines(spark, str(tmp_path / "lines")))) == sorted((x,) for x in lines)
+    wide = [(f"id {i}", i * 0.1, -1e300 / 3, float(i)) for i in range(50)] + [("", 1.0, 2.0, 3.0), ('q"uote', 0.0, 1.5, 2.0), (" padded ", 5e-324, 1.0, 1.0)]
+    df = spark.createDataFrame(wide, "id string, a double, b double, c double").repartition(3)
+    st.write_wide_csv(df, str(tmp_path / "wide"))
+    columns, back = st.read_wide_csv(spark, str(tmp_path / "wide"))
+    assert columns == ["id", "a", "b", "c"] and sorted(rows(back)) == sorted(wide)
+
+
+def test_files_that_could_not_be_read_back_raise(spark, tmp_path):
+    for i, bad in enumerate([None, "two\nlines", "two\rlines"]):
+        with pytest.raises(Exception, match="line break"):
+            st.write_lines(spark.createDataFrame([("fine",), (bad,)], "value string"), str(tmp_path / f"l{i}"))
+    for i, bad in enumerate([("a,b", 1.0), (None, 1.0), ("a", None), ("a\nb", 1.0)]):
+        with pytest.raises(Exception, match="cannot be written"):
+            st.write_wide_csv(spark.createDataFrame([bad], "id string, x double"), str(tmp_path / f"w{i}"))
+    ok = spark.createDataFrame([("a", 1.0)], "id string, x double")
+    st.write_wide_csv(ok, str(tmp_path / "mixed"))
+    st.write_wide_csv(ok.withColumnRenamed("x", "y"), str(tmp_path / "other"))
+    for f in (tmp_path / "other").glob("part-*"):
+        (tmp_path / "mixed" / f"part-9{f.name[5:]}").write_bytes(f.read_bytes())
+    with pytest.raises(Exception, match="(?i)header"):
+        st.read_wide_csv(spark, str(tmp_path / "mixed"))[1].collect()
