@@ -15,6 +15,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,9 @@ _BLOCK = frozenset("address article aside blockquote body button caption center
                    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table "
                    "tbody td tfoot th thead tr ul br head iframe object label".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "xmp", "noembed", "noframes")
+#: Elements whose content is no mark-up; what stands in xmp is shown as it is, the rest not at all.  Formulas and drawings are
+#: mark-up like any other, but for their sources and descriptions.
+_RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "xmp", "noembed", "noframes", "annotation", "annotation-xml", "desc", "metadata")
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+))>""", re.S)
 _ATTR = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in _RAW}
@@ -50,9 +53,11 @@ class Block:
 
 def leaf_blocks(source: str | None) -> list[Block]:
     """The page's leaf blocks in order, white space single and references decoded; raw-text elements
-    (scripts, styles, the title) hold none.  Unclosed and stray tags are borne."""
+    (scripts, styles, the title) hold none, but for ``xmp``.  Unclosed and stray tags are borne; the time goes with the
+    page's length, as no tag is looked for after the last ``>``."""
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[tuple[str, frozenset[str]]] = []               # each open element and all names of it and around it
+    open_: Counter[str] = Counter()
     held: list[str] = []
     linked = 0
     links = 0
@@ -61,8 +66,7 @@ def leaf_blocks(source: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(held)).split())
         if text:
-            names = frozenset().union(*(n for _, n in stack)) if stack else frozenset()
-            blocks.append(Block(text, tuple(t for t, _ in stack if t in _BLOCK), names, linked))
+            blocks.append(Block(text, tuple(t for t, _ in stack if t in _BLOCK), stack[-1][1] if stack else frozenset(), linked))
         held.clear()
         linked = 0
 
@@ -70,13 +74,15 @@ def leaf_blocks(source: str | None) -> list[Block]:
         nonlocal links
         for t, _ in stack[i:]:
             links -= t == "a"
+            open_[t] -= 1
         del stack[i:]
 
     source = source or ""
-    at = 0
+    at, stop = 0, (source or "").rfind(">") + 1
     while True:
-        m = _TAG.search(source, at)
-        text = source[at:m.start() if m else len(source)]
+        m = _TAG.search(source, at, stop)
+        to = m.start() if m else source.find("<!--", at)
+        text = source[at:to if to >= 0 else len(source)]
         if text:
             held.append(text)
             if links > 0:
@@ -85,20 +91,24 @@ def leaf_blocks(source: str | None) -> list[Block]:
             break
         at = m.end()
         if not m[2]:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break                                          # a comment that never ends
             continue
         tag = m[2].lower()
         if tag in _RAW_END:
             if not m[1]:
-                if tag in ("textarea", "iframe"):
+                if tag in ("textarea", "iframe", "xmp"):
                     flush()
-                if not m[0].endswith("/>") or tag not in ("svg", "math"):
-                    end = _RAW_END[tag].search(source, at)
-                    at = end.end() if end else len(source)
+                end = _RAW_END[tag].search(source, at)
+                if tag == "xmp":
+                    held.append(html.escape(source[at:end.start() if end else len(source)]))
+                    flush()
+                at = end.end() if end else len(source)
             continue
         if tag in _BLOCK:
             flush()
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if open_[tag] else ():
                 if stack[i][0] == tag:
                     pop_to(i)
                     break
@@ -119,10 +129,12 @@ def leaf_blocks(source: str | None) -> list[Block]:
                     break
                 if stack[i][0] in ("ul", "ol", "menu"):
                     break
-        names = frozenset()
+        names = stack[-1][1] if stack else frozenset()
         if m[3]:
-            names = frozenset(p.lower() for k in _ATTR.finditer(m[3]) for p in _PART.findall(k[2]))
+            own = {p.lower() for k in _ATTR.finditer(m[3]) for p in _PART.findall(k[2])}
+            names = names if own <= names else names | own
         links += tag == "a"
+        open_[tag] += 1
         stack.append((tag, names))
     flush()
     return blocks

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -23,6 +24,30 @@ def test_leaf_blocks():
     assert [b.text for b in leaf_blocks("<p title=\"x>y\">z</p>")] == ["z"]
 
 
+def test_shown_text_of_formulas_drawings_and_listings_stays():
+    page = """<article><p>Sum <math><mi>x</mi><mo>+</mo><mn>2</mn><annotation encoding="tex">x+2</annotation></math> is 3</p>
+    <xmp><b>code</b> &amp; more</xmp><svg viewBox="0 0 1 1"><title>t</title><desc>d</desc><style>a{}</style><path d="M0 0"/><text x="1">Label</text></svg><p>end</article>"""
+    assert [b.text for b in leaf_blocks(page)] == ["Sum x+2 is 3", "<b>code</b> &amp; more", "Label", "end"]
+    assert [b.text for b in leaf_blocks("a<xmp>b")] == ["a", "b"]
+
+
+def test_broken_mark_up_takes_time_in_proportion():
+    for piece, shown in [('<a x="', True), ("<!--", False), ("<! ", True), ("<p <", True), ("</q>", False), ("<i>", False)]:
+        page = "<p>first</p>" + piece * (1_000_000 // len(piece))
+        began = time.process_time()
+        got = [b.text for b in leaf_blocks(page)]
+        assert time.process_time() - began < 5 and got[0] == "first" and (len(got) > 1) == shown, piece
+    began = time.process_time()
+    deep = leaf_blocks("".join(f"<div class='c{'abcdefgh'[i % 8]}{'xyz'[i % 3]}'>{i}" for i in range(3000)))
+    assert len(deep) == 3000 and time.process_time() - began < 2
+
+
+def test_comments_without_an_end():
+    assert [b.text for b in leaf_blocks("<p>a</p>b <!-- c <p>d</p> e")] == ["a", "b"]
+    assert [b.text for b in leaf_blocks("<p>a</p>b <!-- c")] == ["a", "b"]
+    assert [b.text for b in leaf_blocks("<p>a</p><!-- c --> b < d")] == ["a", "b < d"]
+
+
 def test_viterbi_is_the_best_labelling_and_gradient_fits():
     rnd = np.random.default_rng(5)
     for _ in range(20):
