@@ -1,9 +1,13 @@
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
-from quarry.llm.decontaminate import RADIUS, _Index, drop_leaks, find_leaks, fingerprints
+from quarry.llm import decontaminate
+from quarry.llm.decontaminate import RADIUS, Matcher, _Index, drop_leaks, find_leaks, fingerprints
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -77,16 +81,84 @@ def test_empty_tables(spark):
     assert drop_leaks(some, items.where("item_id < 0")).count() == 1
 
 
+def sliding(words, item, k=5):
+    """The best similarity of any window, its counts kept up from place to place."""
+    have, n = shingles(item, k), len(item)
+    runs = [tuple(words[i:i + k]) for i in range(len(words) - k + 1)]
+    size = n - k + 1
+    if len(runs) < size:
+        return similarity(shingles(words, k), have) if len(words) >= k else 0
+    now, both, best = Counter(), 0, 0
+    for at, r in enumerate(runs):
+        both += now[r] < have[r]
+        now[r] += 1
+        if at >= size:
+            old = runs[at - size]
+            now[old] -= 1
+            both -= now[old] < have[old]
+        if at >= size - 1:
+            best = max(best, both / (size + have.total() - both))
+    return best
+
+
 def test_whole_table(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
-    d = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    i = [(r["item_id"], r["text"]) for r in items.collect()]
-    short = [x for x in d if len(x[1] or "") < 6000]
+    d = [(r["doc_id"], tokens(r["text"])) for r in docs.collect()]
+    i = [(r["item_id"], tokens(r["text"])) for r in items.collect()]
     got = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in find_leaks(docs, items).collect()}
+    runs = {k: {tuple(t[x:x + 5]) for x in range(len(t) - 4)} for k, t in i}
     want = {}
-    for doc, text in short:                      # windows that share no word pair cannot match: a cheap exact sieve
-        have = set(zip(tokens(text), tokens(text)[1:], strict=False))
-        some = [(k, t) for k, t in i if len(have & set(zip(tokens(t), tokens(t)[1:], strict=False))) > len(tokens(t)) // 3]
-        want |= brute([(doc, text)], some)
-    ids = {x for x, _ in short}
-    assert {k: v for k, v in got.items() if k[0] in ids} == want and want
+    for doc, words in d:                         # windows that share no shingle have similarity 0: an exact sieve
+        have = {tuple(words[x:x + 5]) for x in range(len(words) - 4)}
+        for k, t in i:
+            if len(t) >= 5 and have & runs[k]:
+                best = sliding(words, t)
+                if best >= 0.8:
+                    want[doc, k] = round(best, 9)
+    assert got == want and want
+
+
+def test_sliding_counts_as_the_plain_form():
+    rnd = np.random.default_rng(5)
+    for _ in range(50):
+        words, item = ([str(x) for x in rnd.integers(0, 3, n)] for n in (rnd.integers(5, 40), rnd.integers(5, 20)))
+        n = min(len(words), len(item))
+        plain = max(similarity(shingles(words[s:s + n], 5), shingles(item, 5)) for s in range(len(words) - n + 1))
+        assert abs(sliding(words, item) - plain) < 1e-12
+
+
+def test_many_items_of_one_length_and_a_shingle_that_all_hold():
+    """A text that repeats one shingle of 8,000 items has few windows worth a fingerprint; two planted items are found."""
+    rnd = np.random.default_rng(7)
+    hot = "of all the above is"
+    items = [(i, f"{hot} " + " ".join(f"w{x}" for x in rnd.integers(0, 100_000, 25))) for i in range(8000)]
+    parts = [f"{hot} " + " ".join(f"v{x}" for x in rnd.integers(0, 100_000, 5)) for _ in range(1800)]
+    parts[100:101] = [items[17][1]]
+    parts[1500:1501] = [items[4321][1].upper()]
+    match = Matcher(items)
+    tracemalloc.start()
+    at = time.process_time()
+    got = match.search(pa.array([" ".join(parts), None, "", hot]))
+    took, peak = time.process_time() - at, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted((d, match.ids[i], score) for d, i, *_, score in got) == [(0, 17, 1.0), (0, 4321, 1.0)]
+    assert took < 10 and peak < 300 << 20
+
+
+def test_texts_made_of_items_in_slices(monkeypatch):
+    """Every window of a text made of items is looked up; slices of any size give the same."""
+    rnd = np.random.default_rng(9)
+    words = [f"w{x}" for x in range(40)]
+    items = [(i, " ".join(rnd.choice(words, 24))) for i in range(60)]
+    swapped = [" ".join("zz" if x == 12 and i % 2 else w for x, w in enumerate(t.split())) for i, t in items]
+    text = " ".join(swapped * 3)
+    want = brute([(0, text)], items)
+    assert len(want) >= 30
+    found = []
+    for span, lookup in ((1 << 14, 1 << 20), (1, 1), (100, 500)):
+        monkeypatch.setattr(decontaminate, "SPAN", span)
+        monkeypatch.setattr(decontaminate, "LOOKUP", lookup)
+        match = Matcher(items)
+        found.append(match.search(pa.array([text])))
+    assert {(d, i): round(x, 9) for d, i, *_, x in found[0]} == want
+    assert found[0] == found[1] == found[2]
