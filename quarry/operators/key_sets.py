@@ -13,6 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A predicate or function of a key: Python on a column, or an SQL expression in ``k``.
+KeyExpr = Callable[[Column], Column] | str
+
+
+def _of_key(f: KeyExpr) -> Column:
+    return F.expr(f) if isinstance(f, str) else f(F.col("k"))
+
 
 def key_rows(df: DataFrame, col: str) -> DataFrame:
     """The keys of a column, repeats included (for ``union``, which de-duplicates once)."""
@@ -44,9 +51,9 @@ def diff(s: DataFrame, t: DataFrame) -> DataFrame:
     return s.subtract(t)
 
 
-def filter_keys(s: DataFrame, p: Callable[[Column], Column]) -> DataFrame:
+def filter_keys(s: DataFrame, p: KeyExpr) -> DataFrame:
     """B21."""
-    return s.filter(p(F.col("k")))
+    return s.filter(_of_key(p))
 
 
 def _bounded(s: DataFrame, bound: int | None) -> DataFrame:
@@ -60,19 +67,19 @@ def contains(s: DataFrame, probe: DataFrame) -> DataFrame:
         "k", F.coalesce("_hit", F.lit(False)).alias("contained"))
 
 
-def map_keys(s: DataFrame, f: Callable[[Column], Column], bound: int | None = None) -> DataFrame:
+def map_keys(s: DataFrame, f: KeyExpr, bound: int | None = None) -> DataFrame:
     """Image of the (bounded) set under f; the image itself is not bounded."""
-    return _bounded(s, bound).select(f(F.col("k")).alias("k")).distinct()
+    return _bounded(s, bound).select(_of_key(f).alias("k")).distinct()
 
 
-def forall(s: DataFrame, p: Callable[[Column], Column], bound: int | None = None) -> DataFrame:
+def forall(s: DataFrame, p: KeyExpr, bound: int | None = None) -> DataFrame:
     """Every element satisfies p (true on an empty set)."""
-    return _bounded(s, bound).agg(F.coalesce(F.bool_and(p(F.col("k"))), F.lit(True)).alias("forall"))
+    return _bounded(s, bound).agg(F.coalesce(F.bool_and(_of_key(p)), F.lit(True)).alias("forall"))
 
 
-def exists(s: DataFrame, p: Callable[[Column], Column], bound: int | None = None) -> DataFrame:
+def exists(s: DataFrame, p: KeyExpr, bound: int | None = None) -> DataFrame:
     """Some element satisfies p (false on an empty set)."""
-    return _bounded(s, bound).agg(F.coalesce(F.bool_or(p(F.col("k"))), F.lit(False)).alias("exists"))
+    return _bounded(s, bound).agg(F.coalesce(F.bool_or(_of_key(p)), F.lit(False)).alias("exists"))
 
 
 def render(s: DataFrame, bound: int | None = None, width: int = 1000) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import sql as fsql
 from quarry.functions.text import signature
 from quarry.operators import basics as bs
 from quarry.operators import char_stats as cs
@@ -530,6 +531,49 @@ def _list_max(spark, sf):
     return bs.maximum(tbl.table(spark, sf, "orders"), "o_custkey")
 
 
+# ---------------------------------------------------------------- as SQL text
+
+
+@query("sql_mentions")
+def _sql_mentions(spark, sf):
+    """B1, B2, B19, H4 by SQL functions."""
+    return fsql.query(spark, "SELECT doc_id, mentions(text, 'the') AS whole, contains_any(text, array('le', 'Le')) AS part FROM {articles}",
+                      articles=I.articles(spark, sf))
+
+
+@query("sql_signature")
+def _sql_signature(spark, sf):
+    """D20 by SQL functions (word rules on distinct words)."""
+    return fsql.query(spark, "SELECT word, signature(word) AS sig FROM (SELECT DISTINCT word FROM {words})", words=I.words(spark, sf))
+
+
+@query("sql_subtract")
+def _sql_subtract(spark, sf):
+    """H12 by SQL functions, on part names: the name less its first word."""
+    return fsql.query(spark, """SELECT sentence, signature(replace(sentence, ' ', '')) AS x, signature(space_tokens(sentence)[0]) AS y,
+        subtract_signature(signature(replace(sentence, ' ', '')), signature(space_tokens(sentence)[0])) AS rest FROM {names}""", names=I.part_names(spark, sf))
+
+
+@query("sql_balanced")
+def _sql_balanced(spark, sf):
+    """B23 by SQL functions."""
+    return fsql.query(spark, "SELECT doc_id, balanced(text) AS balanced FROM {articles}", articles=I.articles(spark, sf))
+
+
+@query("sql_keysets")
+def _sql_keysets(spark, sf):
+    """B21, B22 with the predicate and the function as SQL text."""
+    return ks.map_keys(ks.filter_keys(_keys_a(spark, sf), "k BETWEEN 500 AND 1500"), "k DIV 10")
+
+
+@query("sql_keyset_tests")
+def _sql_keyset_tests(spark, sf):
+    """D24, D25 with predicates as SQL text."""
+    a = _keys_a(spark, sf)
+    every = ks.forall(a, "k > 0").select(F.lit("forall").alias("what"), F.col("forall").alias("holds"))
+    return every.unionByName(ks.exists(a, "k > 1900").select(F.lit("exists").alias("what"), F.col("exists").alias("holds")))
+
+
 # ---------------------------------------------------------------- json
 
 
@@ -552,6 +596,36 @@ def _json_write(spark, sf):
     return sj.records_to_json(I.records(spark, sf), rs.REC)
 
 
+def _stored(spark, sf):
+    """The records written as a store by site: its path and schema."""
+    r = I.records(spark, sf).select(*rs.REC, "seq", "source")
+    path = shared_folder(spark, "store")
+    sj.write_store(r, path)
+    return r, path
+
+
+@query("json_store")
+def _json_store(spark, sf):
+    """The records as JSON lines by site, and read again."""
+    r, path = _stored(spark, sf)
+    return sj.read_store(spark, path, r.schema)
+
+
+@query("json_store_replaced")
+def _json_store_replaced(spark, sf):
+    """A site's folder replaced, its counts doubled, the others left as they are."""
+    r, path = _stored(spark, sf)
+    sj.write_store(r.filter(F.col("source") == I.SOURCES[1]).withColumn("retweets", 2 * F.col("retweets")), path, replace_sites=True)
+    return sj.read_store(spark, path, r.schema)
+
+
+@query("json_store_site")
+def _json_store_site(spark, sf):
+    """A10: one site's records from its folder."""
+    r, path = _stored(spark, sf)
+    return sj.stored_site(spark, path, r.schema, I.SOURCES[3], I.SOURCES)
+
+
 @query("json_unparse")
 def _json_unparse(spark, sf):
     """A11 in the reference's own record text form."""

@@ -258,6 +258,9 @@ ORACLE["keyset_contains"] = f"""SELECT p.k, p.k IN (SELECT k FROM {_KA}) AS cont
 FROM (SELECT DISTINCT p_partkey AS k FROM part) p"""
 ORACLE["keyset_render"] = f"""SELECT CAST(floor(k / 1000) * 1000 AS BIGINT) AS lo, '{{' || string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) || '}}' AS text
 FROM {_KB} GROUP BY floor(k / 1000)"""
+ORACLE["sql_keysets"] = f"SELECT DISTINCT k // 10 AS k FROM {_KA} WHERE k BETWEEN 500 AND 1500"
+ORACLE["sql_keyset_tests"] = f"""SELECT 'forall' AS what, coalesce(bool_and(k > 0), true) AS holds FROM {_KA}
+UNION ALL SELECT 'exists', coalesce(bool_or(k > 1900), false) FROM {_KA}"""
 ORACLE["list_sum"] = "SELECT CAST(coalesce(sum(o_custkey), 0) AS BIGINT) AS total FROM orders"
 ORACLE["list_max"] = "SELECT max(o_custkey) AS maximum FROM orders"
 
@@ -268,6 +271,11 @@ ORACLE["json_write"] = """
 SELECT CAST(to_json(struct_pack("user" := source, "text" := text, "retweets" := CAST(n_chars AS INTEGER))) AS VARCHAR) AS json
 FROM documents"""
 
+ORACLE["json_store"] = "SELECT source AS user, text, CAST(n_chars AS INTEGER) AS retweets, doc_id AS seq, source FROM documents"
+ORACLE["json_store_replaced"] = """SELECT source AS user, text, CAST(CASE WHEN source = 'src1' THEN 2 * n_chars ELSE n_chars END AS INTEGER) AS retweets,
+       doc_id AS seq, source FROM documents"""
+ORACLE["json_store_site"] = ORACLE["json_store"] + " WHERE source = 'src3'"
+
 ORACLE["json_unparse"] = """
 SELECT '{ "user": "' || source || '", "text": "' || replace(text, '"', '\\"') || '", "retweets": '
        || CAST(n_chars AS VARCHAR) || '.0 },' AS line
@@ -362,3 +370,13 @@ m AS (SELECT doc_id, min(depth) AS lo FROM r GROUP BY doc_id)
 SELECT p.doc_id, coalesce(m.lo, 0) >= 0
        AND length(replace(p.s, ')', '')) = length(replace(p.s, '(', '')) AS balanced
 FROM p LEFT JOIN m ON m.doc_id = p.doc_id"""
+
+# ---------------------------------------------------------------- as SQL text
+ORACLE["sql_mentions"] = f"""SELECT doc_id, list_contains({TOKENS}, 'the') AS whole, contains(text, 'le') OR contains(text, 'Le') AS part FROM documents"""
+ORACLE["sql_signature"] = ORACLE["word_signature"]
+ORACLE["sql_subtract"] = f"""
+SELECT sentence, x, y, array_to_string(list_transform(list_sort(list_distinct(string_split(x, ''))),
+         lambda c: repeat(c, CASE WHEN {_cnt('y', 'c')} <= {_cnt('x', 'c')} THEN {_cnt('x', 'c')} - {_cnt('y', 'c')}
+                                  ELSE {_cnt('x', 'c')} END)), '') AS rest
+FROM (SELECT sentence, sig AS x, {_sig("string_split(sentence, ' ')[1]")} AS y FROM {_SENT})"""
+ORACLE["sql_balanced"] = ORACLE["balanced_text"]

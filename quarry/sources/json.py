@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 _STRICT = {"mode": "FAILFAST"}
@@ -59,3 +60,34 @@ def records_to_lines(df: DataFrame, alias: str = "line") -> DataFrame:
 def write_lines(df: DataFrame, path: str, mode: str = "error") -> None:
     """Sink for ``records_to_lines``: plain text, one record per line."""
     records_to_lines(df).write.mode(mode).text(path)
+
+
+def write_store(df: DataFrame, path: str, site: str = "source", replace_sites: bool = False) -> None:
+    """Records as JSON lines in a folder for each site, ``path/<site>=<name>``, written by the tasks that hold
+    them (no shuffle, so a site with most of the records is many files).
+
+    ``replace_sites`` puts the given sites' records in place of what the store holds of these sites and leaves the
+    others' folders alone.  Null sites have a folder of their own; an empty name, which a folder cannot carry, raises.
+    """
+    c = F.col(site)
+    named = df.withColumn(site, F.when(c == "", F.raise_error(F.lit("a site without a name"))).otherwise(c))
+    out = named.write.partitionBy(site)
+    if replace_sites:
+        out = out.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.json(path)
+
+
+def read_store(spark: SparkSession, path: str, schema: StructType, site: str = "source") -> DataFrame:
+    """The whole store, its site from the folder names (as text, whatever they look like); broken JSON raises.
+
+    A filter on the site reads only those folders."""
+    fields = [f for f in schema.fields if f.name != site] + [StructField(site, StringType())]
+    return spark.read.schema(StructType(fields)).options(**_STRICT).json(path)
+
+
+def stored_site(spark: SparkSession, path: str, schema: StructType, name: str, sites: list[str], site: str = "source") -> DataFrame:
+    """A10: the records of one listed site, read from its folder alone; a site that is not listed raises, one without
+    records has none."""
+    if name not in sites:
+        raise KeyError(name)
+    return read_store(spark, path, schema, site).filter(F.col(site) == name)
