@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quarry.llm.license_scan import template_regex
+import re
+
 from quarry.llm.license_templates import PHRASES, TEMPLATES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,11 +36,21 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id
 """
 
 
+def _pattern(markup: str) -> str:
+    """A template's mark-up rewritten as a regular expression, by text replacement alone (not by the operator's parser)."""
+    marks = re.sub(r"\{\{(\d+),(\d+)\}\}", r" <\1;\2> ", markup.lower()).replace("[[", " ( ").replace("]]", " ) ")
+    out = ""
+    for x in re.sub(r"[^a-z0-9()<>;]+", " ", marks).split():
+        lo, _, hi = x.strip("<>").partition(";")
+        out += {"(": "(?:", ")": ")?"}.get(x) or (f"(?:[^ ]+ ){{{lo},{hi}}}" if hi else f"{x} ")
+    return out
+
+
 def _licenses() -> str:
     mentions = " || ".join(
         f"list_transform(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + {len(p.split())}] = {p.split()!r}), lambda i: {{'i': i, 'x': '{x}'}})"
         for p, x in PHRASES.items())
-    templates = ", ".join(f"CASE WHEN regexp_matches(j, ' {template_regex(m)}') THEN '{x}' END" for x, m in TEMPLATES.items())
+    templates = ", ".join(f"CASE WHEN regexp_matches(j, ' {_pattern(m)}') THEN '{x}' END" for x, m in TEMPLATES.items())
     return rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),

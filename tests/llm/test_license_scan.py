@@ -5,6 +5,7 @@ import pytest
 
 from quarry.llm.license_scan import Automaton, ascii_lower, scan_licenses, template_regex
 from quarry.llm.license_templates import PHRASES, TEMPLATES
+from quarry.llm.oracle import _pattern
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -66,3 +67,39 @@ def test_base_columns_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_whole_wordings_as_they_are_published(spark):
+    """Letters, quotes, numbers and line breaks as in the published texts; one changed word and the text is none."""
+    disclaimer = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF
+SUCH DAMAGE."""
+    two = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+    third = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    gpl = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it
+will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero
+General Public License for more details. You should have received a copy of the GNU Affero General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>."""
+    mpl = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    cc = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    texts = [two + disclaimer, two + third + disclaimer, gpl, mpl, cc, (two + disclaimer).replace("EXEMPLARY", "CUSTOMARY")]
+    got = [set(r["labels"].split(",")) for r in run(spark, texts)]
+    assert got[0] == {"bsd-text", "bsd-2-clause-whole"} and got[1] == {"bsd-text", "bsd-3-clause-whole"}
+    assert got[2] == {"gpl", "gpl-program-notice"} and got[3] == {"mpl-2.0-header"} and got[4] == {"cc-work-notice"}
+    assert got[5] == {"bsd-text"}
+
+
+def test_the_sql_pattern_is_the_operator_s():
+    for markup in TEMPLATES.values():
+        assert _pattern(markup) == template_regex(markup).replace("\\", "")
