@@ -57,3 +57,34 @@ def test_edge_cases(spark):
     got = nc.assign_table(v, spark.createDataFrame(centres, "i int, x int, y int"))
     assert got.columns == ["id", "x", "y", "ax", "cluster"]
     assert sorted((r["id"], r["ax"], r["cluster"]) for r in got.collect()) == [(1, "a", 3), (2, "b", None), (3, "c", 3)]
+
+
+def test_far_cells_keep_no_more_pairs_than_near_ones(spark):
+    """A strip of centres: the farther a cell, the wider the ring that holds its nearest, but few of it can be nearest."""
+    rng = random.Random(4)
+    centres = spark.createDataFrame([(i, rng.randint(0, 100_000), i) for i in range(3000)], "i int, x int, y int")
+    points = spark.createDataFrame([(rng.randint(0, 100_000), 400_000 + rng.randint(0, 100_000)) for _ in range(600)], "x int, y int")
+    few, _ = nc.candidates(points, centres)
+    assert few.count() < 8 * few.select("ax", "ay").distinct().count()
+
+
+def test_points_are_not_expanded_or_grouped(spark):
+    """A point meets its cell's list: one join of the vectors, no aggregate by a point."""
+    rng = random.Random(5)
+    centres = spark.createDataFrame([(i, rng.randint(0, 3000), rng.randint(0, 3000)) for i in range(500)], "i int, x int, y int")
+    v = spark.createDataFrame([(i, rng.randint(0, 3000), rng.randint(0, 3000)) for i in range(900)], "id int, x int, y int")
+    p = plan_text(nc.assign_table(v, centres), "simple")
+    assert "SortAggregate" not in p and "keys=[x" not in p
+
+
+def test_crowded_cells_are_cut_further(spark, monkeypatch):
+    """One far centre makes the cells so large that all others are in one; and many centres at one distance from a point."""
+    monkeypatch.setattr(nc, "LIST_MOST", 5)
+    rng = random.Random(6)
+    centres = [(i, rng.randint(0, 60), rng.randint(0, 60)) for i in range(400)] + [(1000, 500_000, -500_000)]
+    ring = [(2000 + i, 100_000 + a, b) for i, (a, b) in enumerate((s * a, t * b) for a, b in ((25, 60), (60, 25), (39, 52), (52, 39), (16, 63), (63, 16)) for s in (1, -1) for t in (1, -1))]
+    points = [(rng.randint(-20, 80), rng.randint(-20, 80)) for _ in range(200)] + [(100_000, 0), (100_001, 0), (499_999, -500_003)]
+    v = spark.createDataFrame([(i, *p) for i, p in enumerate([*points, *points, (None, 3)])], "id int, x int, y int")
+    got = [(r["x"], r["y"], r["cluster"]) for r in nc.assign_table(v, spark.createDataFrame(centres + ring, "i int, x int, y int")).collect()]
+    want = brute(points, centres + ring)
+    assert len(got) == 2 * len(points) + 1 and all(c == want.get((x, y)) for x, y, c in got)
