@@ -30,9 +30,14 @@ def characters(text: Column | str) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, ""))
 
 
+def sorted_characters(text: Column | str) -> Column:
+    """The characters of a text in order.  (``sort_array`` compares natively, ``array_sort`` by an interpreted function.)"""
+    return F.sort_array(characters(text))
+
+
 def signature(word: Column | str) -> Column:
     """Lower-cased letters in sorted order — the canonical letter multiset."""
-    return F.array_join(F.array_sort(characters(F.lower(_c(word)))), "")
+    return F.array_join(sorted_characters(F.lower(_c(word))), "")
 
 
 def letter_count(s: Column, ch: Column) -> Column:
@@ -43,31 +48,35 @@ def letter_count(s: Column, ch: Column) -> Column:
 def occurrences(sig: Column | str) -> Column:
     """D20 as (letter, count) pairs rendered ``a1b2`` in letter order."""
     s = _c(sig)
-    distinct = F.array_distinct(F.array_sort(characters(s)))
+    distinct = F.array_distinct(sorted_characters(s))
     return F.array_join(F.transform(distinct, lambda c: F.concat(c, letter_count(s, c).cast("string"))), "")
 
 
-def subtract_signature(x: Column | str, y: Column | str) -> Column:
+def subtract_signature(x: Column | str, y: Column | str, in_order: bool = False) -> Column:
     """Multiset x − y on signatures.
 
     Per letter of x: keep ``nx − ny`` when ``ny ≤ nx``; when y holds more of a
     letter than x, x's entry stays as it is (reference rule).  Letters of y
-    absent from x are ignored.  Result stays sorted.
+    absent from x are ignored.  The result is sorted; x need not be, unless the
+    caller says it is ``in_order``.  A null y takes nothing.
+
+    Equal letters of the sorted x stand together, so each distinct letter of y
+    takes one stretch out of it, if x has one that long.
     """
-    xs, ys = _c(x), _c(y)
-    distinct = F.array_distinct(F.array_sort(characters(xs)))
+    ys = F.coalesce(_c(y), F.lit(""))
+    runs = F.transform(F.array_distinct(characters(ys)), lambda c: F.repeat(c, letter_count(ys, c)))
 
-    def keep(c: Column) -> Column:
-        nx, ny = letter_count(xs, c), letter_count(ys, c)
-        return F.repeat(c, F.when(ny <= nx, nx - ny).otherwise(nx))
+    def take(rest: Column, run: Column) -> Column:
+        at = F.instr(rest, run)
+        return F.when(at > 0, F.overlay(rest, F.lit(""), at, F.length(run))).otherwise(rest)
 
-    return F.array_join(F.transform(distinct, keep), "")
+    return F.aggregate(runs, _c(x) if in_order else F.array_join(sorted_characters(x), ""), take)
 
 
 def letter_counts(sig: Column | str) -> Column:
     """The distinct letters of a signature with their counts, as an array of (c, n)."""
     s = _c(sig)
-    return F.transform(F.array_distinct(F.array_sort(characters(s))), lambda c: F.struct(c.alias("c"), letter_count(s, c).cast("long").alias("n")))
+    return F.transform(F.array_distinct(sorted_characters(s)), lambda c: F.struct(c.alias("c"), letter_count(s, c).cast("long").alias("n")))
 
 
 def sub_multiset_count(counts: Column | str) -> Column:

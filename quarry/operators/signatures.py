@@ -44,9 +44,9 @@ def word_anagrams(query_words: DataFrame, dict_df: DataFrame, word: str = "word"
     return q.join(dict_df.select("sig", F.col("word").alias("anagram")), "sig", "left").select("word", "sig", F.coalesce("anagram", F.lit("")).alias("anagram"))
 
 
-def subtract(df: DataFrame, x: str, y: str, out: str = "rest") -> DataFrame:
-    """H12 as a column on a frame of signatures."""
-    return df.withColumn(out, subtract_signature(x, y))
+def subtract(df: DataFrame, x: str, y: str, out: str = "rest", in_order: bool = False) -> DataFrame:
+    """H12 as a column on a frame of signatures (``in_order``: x is known to be sorted)."""
+    return df.withColumn(out, subtract_signature(x, y, in_order))
 
 
 def combinations(df: DataFrame, sig: str = "sig", out: str = "sub") -> DataFrame:
@@ -77,7 +77,7 @@ def _steps(rems: DataFrame, prefixes: list[DataFrame]) -> DataFrame:
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out.select("rem", "sig", subtract_signature("rem", "sig").alias("next"))
+    return out.select("rem", "sig", subtract_signature("rem", "sig", in_order=True).alias("next"))
 
 
 def prefix_tables(sigs: DataFrame, longest: int, grow: int = GROW) -> list[DataFrame]:

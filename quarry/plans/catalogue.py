@@ -668,7 +668,7 @@ def _sentence_signature(spark, sf):
 def _multiset_subtract(spark, sf):
     s = sg.sentence_signature(I.sentences(spark, sf)).withColumnRenamed("sig", "x")
     s = s.withColumn("y", signature(F.get(F.split("sentence", " "), 0)))
-    return sg.subtract(s, "x", "y").select("sentence", "x", "y", "rest")
+    return sg.subtract(s, "x", "y", in_order=True).select("sentence", "x", "y", "rest")
 
 
 @query("sub_multisets")

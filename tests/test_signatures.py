@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import occurrences, signature, subtract_signature
 from quarry.operators import signatures as sg
+from quarry.session import plan_text
 
 DICT = "stone notes onset tones ten net one eon so to On sent Nest café face".split()
 
@@ -129,3 +130,34 @@ def test_sub_multisets_of_a_long_signature(spark):
     subs = [r[0] for r in rows(sg.combinations(df), "sub")]
     assert len(subs) == len(set(subs)) == 3 * 4 * 2 * 5
     assert spark.range(1).select(F.lit("abcdefghijklmnopqrst").alias("sig")).transform(sg.combinations).count() == 2 ** 20
+
+
+def test_subtract_against_counts(spark):
+    """Random multisets with letters of one to four bytes; x need not be sorted, a null y takes nothing."""
+    import random
+    from collections import Counter
+    rng = random.Random(2)
+    pairs = [("".join(rng.choices("aab'éß😀中", k=rng.randint(0, 12))), "".join(rng.choices("ab'é😀中z", k=rng.randint(0, 5)))) for _ in range(300)]
+    pairs += [("ba", None), (None, "a"), ("", "a"), ("aaaa", "aa")]
+
+    def model(x, y):
+        if x is None:
+            return None
+        nx, ny = Counter(x), Counter(y or "")
+        return "".join(c * (nx[c] - ny[c] if ny[c] <= nx[c] else nx[c]) for c in sorted(nx))
+
+    df = spark.createDataFrame(pairs, "x string, y string")
+    for in_order in (False, True):
+        given = df.withColumn("x", F.array_join(F.array_sort(F.split("x", "")), "")) if in_order else df
+        got = sg.subtract(given, "x", "y", in_order=in_order).collect()
+        assert len(got) == len(pairs) and all(r["rest"] == model(r["x"], r["y"]) for r in got)
+        assert [r["rest"] for r in sg.subtract(given, "x", "y", in_order=in_order).where("y is null").collect()] == ["ab"]
+
+
+def test_no_interpreted_sort_and_no_walk_over_all_letters(spark):
+    """Signatures are sorted natively; subtraction walks the letters of y, not those of x."""
+    df = spark.createDataFrame([("stone", "to")], "s string, t string").select(signature("s").alias("x"), signature("t").alias("y"))
+    assert "array_sort" not in plan_text(df, "simple")
+    given = spark.createDataFrame([("enost", "ot")], "x string, y string")
+    p = plan_text(sg.subtract(given, "x", "y"), "simple")
+    assert "array_sort" not in p and "array_distinct" in p and "array_distinct(sort" not in p
