@@ -114,3 +114,17 @@ def test_trending_with_reference_topics(spark):
                                SCHEMA + ", src int")
     allsets = rs.union_all(df, F.col("src"))
     assert [r[0] for r in rows(rs.trending(allsets), "retweets")] == [9, 7, 5]
+
+
+def test_descending_is_in_order_over_many_ranges_and_samples_no_whole_texts(spark):
+    """Equal counts and equal first characters are told apart by the whole text; the ranges are made from few characters."""
+    import random
+    rng = random.Random(3)
+    recs = [("u", "the " + "x" * rng.choice([0, 20, 60]) + str(rng.randint(0, 10**6)), rng.randint(0, 40)) for _ in range(3000)]
+    recs += [("u", "le 1", None), ("u", "the 2", None), ("u", "none", 5)]
+    s = spark.createDataFrame([(*r, i) for i, r in enumerate(recs)], "user string, text string, retweets int, seq long").repartition(7)
+    df = rs.trending(s, ["the"], ["le"])
+    want = sorted(((r[2], r[1]) for r in recs if r[1] != "none"), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [(r["retweets"], r["text"]) for r in df.collect()] == want
+    dealt = [line for line in plan_text(df, "simple").splitlines() if "rangepartitioning" in line]
+    assert dealt and all("substring(text" in line and ", text" not in line for line in dealt)
